@@ -1,25 +1,36 @@
-"""Lines, words and characters of a text column."""
+"""Lines, words and characters of a text column.
+
+Plain string functions do the work where they can: they run over bytes, while
+regular expressions and array lambdas visit characters and elements one by one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The line ends of a text reader and the word separator.
-LINE_END = r"\r\n|\n|\r"
-LAST_LINE_END = r"(\r\n|\n|\r)\z"
 SPACE = " "
 
 
+def _body(text: Column) -> Column:
+    """The text with \\r\\n and \\r turned into \\n and without a line end at its end."""
+    unified = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    unified = F.when(F.contains(text, F.lit("\r")), unified).otherwise(text)
+    shorter = F.left(unified, F.length(unified) - 1)
+    return F.when(F.endswith(unified, F.lit("\n")), shorter).otherwise(unified)
+
+
+def _none() -> Column:
+    return F.array().cast("array<string>")
+
+
 def lines(text: Column) -> Column:
     """The lines a text file with this content would be read as.
 
-    A line end at the very end closes the last line and opens no new one;
-    an empty text has no line.
+    Lines end at \\n, \\r\\n or \\r. A line end at the very end closes the last
+    line and opens no new one; an empty text has no line.
     """
-    body = F.regexp_replace(text, LAST_LINE_END, "")
-    no_lines = F.array().cast("array<string>")
-    return F.when(text == "", no_lines).otherwise(F.split(body, LINE_END))
+    return F.when(text == "", _none()).otherwise(F.split(_body(text), "\n"))
 
 
 def words(line: Column, drop_empty: bool = False) -> Column:
@@ -31,18 +42,27 @@ def words(line: Column, drop_empty: bool = False) -> Column:
     """
     kept = F.rtrim(line)
     parts = F.split(kept, SPACE)
-    nothing = F.array().cast("array<string>")
     if drop_empty:
-        return F.filter(parts, lambda word: word != "")
-    return F.when((kept == "") & (line != ""), nothing).otherwise(parts)
+        return F.array_remove(parts, "")
+    return F.when((kept == "") & (line != ""), _none()).otherwise(parts)
 
 
 def text_words(text: Column, drop_empty: bool = False) -> Column:
     """The words of all lines of a text, in order."""
-    return F.flatten(F.transform(lines(text), lambda line: words(line, drop_empty)))
+    body = _body(text)
+    if drop_empty:
+        return F.array_remove(F.split(F.replace(body, F.lit("\n"), F.lit(SPACE)), SPACE), "")
+    # With no space before any line end, a line end separates words just as a
+    # space does; otherwise each line is split by itself.
+    loose = F.contains(body, F.lit(" \n")) | F.endswith(body, F.lit(SPACE))
+    by_line = F.flatten(F.transform(F.split(body, "\n"), lambda line: words(line)))
+    at_once = F.split(F.replace(body, F.lit("\n"), F.lit(SPACE)), SPACE)
+    return F.when(text == "", _none()).when(loose, by_line).otherwise(at_once)
 
 
 def non_space_chars(text: Column) -> Column:
     """UTF-16 units other than the space; line ends do not count, tabs do."""
-    bare = F.translate(text, " \r\n", "")
+    bare = F.replace(F.replace(text, F.lit(SPACE), F.lit("")), F.lit("\n"), F.lit(""))
+    without_cr = F.replace(bare, F.lit("\r"), F.lit(""))
+    bare = F.when(F.contains(text, F.lit("\r")), without_cr).otherwise(bare)
     return (F.octet_length(F.encode(bare, "UTF-16BE")) / 2).cast("bigint")

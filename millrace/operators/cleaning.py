@@ -28,9 +28,11 @@ def split_side(keys: list[str], share: float, seed: int = 0) -> Column:
     The side of a row does not change when the data is repartitioned, when a
     lost task is run again or when rows are added.
     """
+    if not 0 <= share < 1:
+        raise ValueError("share is at least 0 and below 1")
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
-    draw = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-    return draw < F.lit(int(share * 2**32))
+    # Digests are hexadecimal text, so they compare like numbers.
+    return digest < F.lit(f"{int(share * 2**32):08x}")
 
 
 def keyed_split(

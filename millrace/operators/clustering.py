@@ -63,7 +63,10 @@ def feature_table(
 
 def fit_centres(features: DataFrame, k: int, seed: int) -> list[Centre]:
     """Centres of one k-means fit: at most k rows on the driver."""
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="prediction").fit(features)
+    kmeans = KMeans(
+        k=k, seed=seed, solver="block", featuresCol="features", predictionCol="prediction"
+    )
+    model = kmeans.fit(features)
     return [tuple(float(v) for v in centre) for centre in model.clusterCenters()]
 
 
@@ -197,7 +200,8 @@ def move_centres(
     """
     current = [tuple(map(float, c)) for c in centres]
     for _ in range(steps):
-        moved = {r["cluster"]: tuple(r[c] for c in columns) for r in centre_step(df, columns, current).collect()}
+        step = centre_step(df, columns, current).collect()
+        moved = {row["cluster"]: tuple(row[c] for c in columns) for row in step}
         current = [moved.get(i, c) for i, c in enumerate(current)]
     return current
 

@@ -33,8 +33,9 @@ def char_count(df: DataFrame, text: str, by: list[str]) -> DataFrame:
 
 def token_hits(df: DataFrame, text: str, token: str, by: list[str]) -> DataFrame:
     """How often exactly this word occurs, case and punctuation included."""
-    same = F.filter(text_words(F.col(text)), lambda word: word == token)
-    return df.groupBy(*by).agg(F.sum(F.size(same)).alias("hits"))
+    found = df.select(*by, text_words(F.col(text)).alias("words"))
+    others = F.array_remove("words", token)
+    return found.groupBy(*by).agg(F.sum(F.size("words") - F.size(others)).alias("hits"))
 
 
 def text_lines(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
@@ -59,5 +60,10 @@ def word_sum(df: DataFrame, text: str, drop_empty: bool = False) -> DataFrame:
 
 
 def first_lines(df: DataFrame, text: str, order: str, n: int = 10) -> DataFrame:
-    """The first ``n`` lines in text order."""
-    return text_lines(df, text, [order]).orderBy(order, "line_no").limit(n)
+    """The first ``n`` lines in text order.
+
+    A text that is not empty has a line, so the first ``n`` such texts hold
+    them all and no other text has to be cut into lines.
+    """
+    holders = df.select(order, text).filter(F.col(text) != "").orderBy(order).limit(n)
+    return text_lines(holders, text, [order]).orderBy(order, "line_no").limit(n)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame
@@ -9,6 +11,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions.numeric import line_value
 
+LINE = "slope double, intercept double"
+
 
 def assemble(df: DataFrame, features: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol="features").transform(df)
@@ -37,7 +41,39 @@ def fit_line(
 def line_parameters(df: DataFrame, model: LinearRegressionModel) -> DataFrame:
     """One row: slope of the first feature, and intercept."""
     row = (float(model.coefficients[0]), float(model.intercept))
-    return df.sparkSession.createDataFrame([row], "slope double, intercept double")
+    return df.sparkSession.createDataFrame([row], LINE)
+
+
+def fit_by_moments(
+    df: DataFrame, feature: str, label: str, reg: float = 0.3, mix: float = 0.8
+) -> tuple[float, float]:
+    """Slope and intercept of the same fit with one feature, from one aggregate.
+
+    With one feature the elastic net has a closed form: in units of the
+    population deviations the slope is the correlation, pulled towards zero by
+    the first penalty and shrunk by the second. No vectors are built and one
+    row reaches the driver.
+    """
+    moments = (
+        df.select(F.col(feature).cast("double").alias("x"), F.col(label).cast("double").alias("y"))
+        .na.drop("any")
+        .agg(
+            F.corr("x", "y").alias("r"),
+            F.stddev_pop("x").alias("sx"),
+            F.stddev_pop("y").alias("sy"),
+            F.avg("x").alias("mx"),
+            F.avg("y").alias("my"),
+        )
+        .first()
+    )
+    if moments["mx"] is None:
+        raise ValueError("no complete row to fit")
+    if not moments["sx"] or not moments["sy"]:
+        return 0.0, moments["my"]
+    pulled = max(abs(moments["r"]) - reg * mix / moments["sy"], 0.0)
+    shrunk = math.copysign(pulled, moments["r"]) / (1 + reg * (1 - mix) / moments["sy"])
+    slope = shrunk * moments["sy"] / moments["sx"]
+    return slope, moments["my"] - slope * moments["mx"]
 
 
 def score(df: DataFrame, features: list[str], model: LinearRegressionModel) -> DataFrame:
@@ -46,8 +82,7 @@ def score(df: DataFrame, features: list[str], model: LinearRegressionModel) -> D
 
 
 def score_line(
-    df: DataFrame, feature: str, model: LinearRegressionModel, name: str = "prediction"
+    df: DataFrame, feature: str, slope: float, intercept: float, name: str = "prediction"
 ) -> DataFrame:
     """The same for one feature as column arithmetic, with no vector built."""
-    slope, intercept = float(model.coefficients[0]), float(model.intercept)
     return df.withColumn(name, line_value(slope, F.col(feature), intercept))

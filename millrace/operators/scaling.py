@@ -33,9 +33,15 @@ def unscaled(value: Column, bounds: tuple[float, float], low: float, high: float
 
 
 def minmax_scale(
-    df: DataFrame, columns: list[str], low: float = -1.0, high: float = 1.0, suffix: str = "_scaled"
+    df: DataFrame,
+    columns: list[str],
+    low: float = -1.0,
+    high: float = 1.0,
+    suffix: str = "_scaled",
+    bounds: Bounds | None = None,
 ) -> DataFrame:
-    bounds = fit_bounds(df, columns)
+    """Add each column mapped to [low, high], by given bounds or its own."""
+    bounds = bounds or fit_bounds(df, columns)
     return df.withColumns(
         {c + suffix: scaled(F.col(c).cast("double"), bounds[c], low, high) for c in columns}
     )

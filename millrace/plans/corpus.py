@@ -15,7 +15,7 @@ from millrace.operators.numbers import (
 )
 from millrace.plans.tidy import LINES
 from millrace.session import fresh_path
-from millrace.sources.tables import table
+from millrace.sources.tables import spread, table
 from millrace.sources.text import read_lines, write_lines
 
 TOKEN = "the"
@@ -25,6 +25,11 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 
 
+def _spread_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """For the counts that take much more time than reading the texts."""
+    return spread(_documents(spark, folder), "doc_id")
+
+
 def line_count(spark: SparkSession, folder: str) -> DataFrame:
     return ops.line_count(_documents(spark, folder), "text", ["lang"])
 
@@ -34,15 +39,15 @@ def char_count(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def text_sizes(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.text_sizes(_documents(spark, folder), "text", ["source"])
+    return ops.text_sizes(_spread_documents(spark, folder), "text", ["source"])
 
 
 def token_hits(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.token_hits(_documents(spark, folder), "text", TOKEN, ["lang"])
+    return ops.token_hits(_spread_documents(spark, folder), "text", TOKEN, ["lang"])
 
 
 def word_count(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.word_count(_documents(spark, folder), "text")
+    return ops.word_count(_spread_documents(spark, folder), "text")
 
 
 def word_sum(spark: SparkSession, folder: str) -> DataFrame:

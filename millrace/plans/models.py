@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import clustering, regression
-from millrace.operators.cleaning import keyed_split
+from millrace.operators.cleaning import keyed_split, split_side
 from millrace.operators.scaling import fit_bounds, minmax_scale, unscaled
 from millrace.sources.tables import inline, table
 
@@ -23,9 +23,10 @@ def minmax_scaled(spark: SparkSession, folder: str) -> DataFrame:
 
 def unscaled_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
-    bounds = fit_bounds(orders, ["o_totalprice"])["o_totalprice"]
-    rows = minmax_scale(orders, ["o_totalprice"])
-    back = F.round(unscaled(F.col("o_totalprice_scaled"), bounds, -1.0, 1.0), 2)
+    bounds = fit_bounds(orders, ["o_totalprice"])
+    rows = minmax_scale(orders, ["o_totalprice"], bounds=bounds)
+    back = unscaled(F.col("o_totalprice_scaled"), bounds["o_totalprice"], -1.0, 1.0)
+    back = F.round(back, 2)
     return rows.select("o_orderkey", back.alias("price"))
 
 
@@ -107,20 +108,24 @@ def linear_fit(spark: SparkSession, folder: str) -> DataFrame:
     return line.select(F.round("slope", 3).alias("slope"), F.round("intercept", 3).alias("intercept"))
 
 
+def linear_fit_moments(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _priced_lines(spark, folder)
+    line = inline(spark, [regression.fit_by_moments(rows, "x", "y")], regression.LINE)
+    return line.select(F.round("slope", 3).alias("slope"), F.round("intercept", 3).alias("intercept"))
+
+
 def holdout_fit(spark: SparkSession, folder: str) -> DataFrame:
     """Fit on 70 % of the orders, then the error on both sides of the split."""
     rows = _priced_lines(spark, folder)
-    training, test = keyed_split(rows, ["l_orderkey"], 0.7)
-    model = regression.fit_line(training, ["x"], "y")
-    sides = [
-        regression.score_line(part, "x", model).agg(
-            F.lit(name).alias("part"),
-            F.count("*").alias("n"),
-            F.round(F.sqrt(F.avg((F.col("prediction") - F.col("y")) ** 2)), 3).alias("rmse"),
-        )
-        for name, part in (("training", training), ("test", test))
-    ]
-    return sides[0].unionByName(sides[1])
+    training, _ = keyed_split(rows, ["l_orderkey"], 0.7)
+    slope, intercept = regression.fit_by_moments(training, "x", "y")
+    part = F.when(split_side(["l_orderkey"], 0.7), "training").otherwise("test")
+    gap = F.col("prediction") - F.col("y")
+    return (
+        regression.score_line(rows.withColumn("part", part), "x", slope, intercept)
+        .groupBy("part")
+        .agg(F.count("*").alias("n"), F.round(F.sqrt(F.avg(gap * gap)), 3).alias("rmse"))
+    )
 
 
 def linear_scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -220,10 +225,7 @@ stats AS (
 )
 """
 ALL_LINE = LINE.format(where="")
-TRAINING = """
-CAST('0x' || substr(md5('0|' || CAST(l_orderkey AS VARCHAR)), 1, 8) AS BIGINT)
-  < CAST(floor(0.7 * 4294967296) AS BIGINT)
-"""
+TRAINING = "md5('0|' || CAST(l_orderkey AS VARCHAR)) < 'b3333333'"
 
 FIT = ALL_LINE + "SELECT round(slope, 3) AS slope, round(intercept, 3) AS intercept FROM line"
 
@@ -278,6 +280,7 @@ QUERIES = {
     "labelled_means": (labelled_means, None),
     "elbow": (elbow, None),
     "linear_fit": (linear_fit, FIT),
+    "linear_fit_moments": (linear_fit_moments, FIT),
     "holdout_fit": (holdout_fit, HOLDOUT),
     "linear_scores": (linear_scores, SCORES),
     "linear_in_sample": (in_sample, IN_SAMPLE),

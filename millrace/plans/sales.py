@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.totals import first_match, leaders, top_groups, total_by
 from millrace.session import fresh_path
-from millrace.sources.csv import infer_schema, write_csv
+from millrace.sources.csv import write_csv
 from millrace.sources.tables import table
 from millrace.streaming.files import csv_stream, parquet_stream, run_to_parquet, run_to_table
 from millrace.streaming.totals import running_leaders, running_totals
@@ -33,15 +33,14 @@ def best_days(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def best_days_csv_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The same from a stream of CSV shards, their schema taken from a batch read."""
+    """The same from a stream of CSV shards, with the schema of the batch frame."""
     path = fresh_path(spark, "sales-csv")
     rows = table(spark, folder, "lineitem").select(
         _day("l_shipdate"), "l_quantity", "l_extendedprice"
     )
     write_csv(rows, path, rows_per_file=1_000_000)
-    glob = f"{path}/*.csv"
-    stream = csv_stream(spark, glob, infer_schema(spark, glob))
-    best = running_leaders(stream.withColumn("day", F.col("day").cast("string")), "day", AMOUNT)
+    stream = csv_stream(spark, f"{path}/*.csv", rows.schema)
+    best = running_leaders(stream, "day", AMOUNT)
     return _to_cents(run_to_table(best, f"best_days_{uuid.uuid4().hex}"))
 
 

@@ -112,8 +112,7 @@ FROM orders GROUP BY 1
 """
 
 SPLIT = """
-SELECT CAST('0x' || substr(md5('0|' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT)
-         < CAST(floor(0.7 * 4294967296) AS BIGINT) AS training,
+SELECT md5('0|' || CAST(o_orderkey AS VARCHAR)) < 'b3333333' AS training,
        count(*) AS n, round(sum(o_totalprice), 2) AS price
 FROM orders GROUP BY 1
 """

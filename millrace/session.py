@@ -2,20 +2,34 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def build_session(app_name: str, conf: dict[str, str] | None = None) -> SparkSession:
-    """A session with adaptive execution on; the master comes from spark-submit."""
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def build_session(
+    app_name: str, shuffle_bytes: int | None = None, conf: dict[str, str] | None = None
+) -> SparkSession:
+    """A session with adaptive execution on; the master comes from spark-submit.
+
+    ``shuffle_bytes`` is the expected size of the largest shuffle. Adaptive
+    execution merges small shuffle partitions but never adds any, so a large
+    job has to start with enough of them.
+    """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
     )
+    if shuffle_bytes:
+        partitions = max(200, math.ceil(shuffle_bytes / SHUFFLE_PARTITION_BYTES))
+        builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     for key, value in (conf or {}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
