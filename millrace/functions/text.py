@@ -13,9 +13,9 @@ SPACE = " "
 
 
 def _body(text: Column) -> Column:
-    """The text with \\r\\n and \\r turned into \\n and without a line end at its end."""
-    unified = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
-    unified = F.when(F.contains(text, F.lit("\r")), unified).otherwise(text)
+    """The text with \\n for every line end and none at its end; null if it has no line."""
+    some = F.nullif(text, F.lit(""))
+    unified = F.replace(F.replace(some, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
     shorter = F.left(unified, F.length(unified) - 1)
     return F.when(F.endswith(unified, F.lit("\n")), shorter).otherwise(unified)
 
@@ -28,9 +28,9 @@ def lines(text: Column) -> Column:
     """The lines a text file with this content would be read as.
 
     Lines end at \\n, \\r\\n or \\r. A line end at the very end closes the last
-    line and opens no new one; an empty text has no line.
+    line and opens no new one; an empty or missing text has no line.
     """
-    return F.when(text == "", _none()).otherwise(F.split(_body(text), "\n"))
+    return F.coalesce(F.split(_body(text), "\n"), _none())
 
 
 def words(line: Column, drop_empty: bool = False) -> Column:
@@ -50,14 +50,14 @@ def words(line: Column, drop_empty: bool = False) -> Column:
 def text_words(text: Column, drop_empty: bool = False) -> Column:
     """The words of all lines of a text, in order."""
     body = _body(text)
+    at_once = F.split(F.replace(body, F.lit("\n"), F.lit(SPACE)), SPACE)
     if drop_empty:
-        return F.array_remove(F.split(F.replace(body, F.lit("\n"), F.lit(SPACE)), SPACE), "")
+        return F.coalesce(F.array_remove(at_once, ""), _none())
     # With no space before any line end, a line end separates words just as a
     # space does; otherwise each line is split by itself.
     loose = F.contains(body, F.lit(" \n")) | F.endswith(body, F.lit(SPACE))
     by_line = F.flatten(F.transform(F.split(body, "\n"), lambda line: words(line)))
-    at_once = F.split(F.replace(body, F.lit("\n"), F.lit(SPACE)), SPACE)
-    return F.when(text == "", _none()).when(loose, by_line).otherwise(at_once)
+    return F.coalesce(F.when(loose, by_line).otherwise(at_once), _none())
 
 
 def non_space_chars(text: Column) -> Column:

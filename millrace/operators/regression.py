@@ -58,7 +58,7 @@ def fit_by_moments(
         df.select(F.col(feature).cast("double").alias("x"), F.col(label).cast("double").alias("y"))
         .na.drop("any")
         .agg(
-            F.corr("x", "y").alias("r"),
+            F.covar_pop("x", "y").alias("cov"),
             F.stddev_pop("x").alias("sx"),
             F.stddev_pop("y").alias("sy"),
             F.avg("x").alias("mx"),
@@ -70,8 +70,9 @@ def fit_by_moments(
         raise ValueError("no complete row to fit")
     if not moments["sx"] or not moments["sy"]:
         return 0.0, moments["my"]
-    pulled = max(abs(moments["r"]) - reg * mix / moments["sy"], 0.0)
-    shrunk = math.copysign(pulled, moments["r"]) / (1 + reg * (1 - mix) / moments["sy"])
+    r = moments["cov"] / (moments["sx"] * moments["sy"])
+    pulled = max(abs(r) - reg * mix / moments["sy"], 0.0)
+    shrunk = math.copysign(pulled, r) / (1 + reg * (1 - mix) / moments["sy"])
     slope = shrunk * moments["sy"] / moments["sx"]
     return slope, moments["my"] - slope * moments["mx"]
 

@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+import time
+import uuid
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from millrace.operators.totals import ranked, top_groups, total_by
+from millrace.session import fresh_path
+from millrace.sources.csv import infer_schema, read_csv, write_csv
+from millrace.streaming.files import (
+    csv_stream,
+    run_to_parquet,
+    run_to_table,
+    start_to_console,
+    start_to_parquet,
+)
+from millrace.streaming.totals import running_leaders, running_totals
+
+AMOUNT = "quantity * price"
+
+
+@pytest.fixture(scope="module")
+def shards(spark, tmp_path_factory):
+    """Four CSV shards with 15 days, among them a tie at the tenth place."""
+    folder = str(tmp_path_factory.mktemp("shards") / "sales")
+    rows = [(f"{d}/5/2003 0:00", q, 10.0 + (d % 4)) for d in range(1, 13) for q in (1, 2, 3)]
+    rows += [(f"{d}/6/2003 0:00", 1, 1.0) for d in (1, 2, 3)]
+    df = spark.createDataFrame(rows, "ORDERDATE string, quantity int, price double")
+    write_csv(df.repartition(4, "quantity", "price"), folder)
+    return f"{folder}/*.csv"
+
+
+def test_stream_equals_batch(spark, shards):
+    schema = infer_schema(spark, shards)
+    batch = read_csv(spark, shards, schema)
+    wanted = [tuple(r) for r in top_groups(batch, "ORDERDATE", AMOUNT).collect()]
+    assert len(wanted) == 10
+    for files in (None, 1):
+        stream = csv_stream(spark, shards, schema, files_per_batch=files)
+        best = running_leaders(stream, "ORDERDATE", AMOUNT)
+        found = run_to_table(best, f"best_{uuid.uuid4().hex}", timeout=120)
+        assert [tuple(r) for r in found.collect()] == wanted
+
+
+def test_complete_results_as_parquet(spark, shards):
+    schema = infer_schema(spark, shards)
+    stream = csv_stream(spark, shards, schema, files_per_batch=1)
+    path = fresh_path(spark, "totals")
+    found = run_to_parquet(running_totals(stream, "ORDERDATE", AMOUNT), path, timeout=120)
+    batch = total_by(read_csv(spark, shards, schema), "ORDERDATE", AMOUNT)
+    wanted = ranked(batch, "total", "ORDERDATE").collect()
+    assert found.orderBy(F.desc("total"), "ORDERDATE").collect() == wanted
+
+
+def test_restart_goes_on_where_it_stopped(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("k,v\nx,1\ny,2\n")
+    path, checkpoint = str(tmp_path / "out"), str(tmp_path / "state")
+
+    def run():
+        schema = spark.read.schema("k string, v int").csv(str(folder)).schema
+        stream = csv_stream(spark, f"{folder}/*.csv", schema)
+        query = start_to_parquet(running_totals(stream, "k", "v"), path, checkpoint)
+        assert query.awaitTermination(120)
+
+    run()
+    (folder / "b.csv").write_text("k,v\nx,10\n")
+    run()
+    last = spark.read.parquet(f"{path}/batch=1").collect()
+    assert {r["k"]: r["total"] for r in last} == {"x": 11, "y": 2}
+
+
+def test_sorted_totals_need_complete_output(spark, shards):
+    stream = csv_stream(spark, shards, infer_schema(spark, shards))
+    totals = running_totals(stream, "ORDERDATE", AMOUNT)
+    with pytest.raises(AnalysisException):
+        totals.writeStream.format("memory").queryName("wrong").outputMode("append").start()
+
+
+def test_console(spark, shards, capfd):
+    stream = csv_stream(spark, shards, infer_schema(spark, shards))
+    query = start_to_console(running_totals(stream, "ORDERDATE", AMOUNT))
+    query.processAllAvailable()
+    query.stop()
+    shown, until = "", time.monotonic() + 30
+    while "only showing top 10 rows" not in shown and time.monotonic() < until:
+        time.sleep(0.1)
+        shown += capfd.readouterr().out
+    assert "Batch: 0" in shown and "only showing top 10 rows" in shown

@@ -1,0 +1,160 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from millrace.functions.brackets import is_balanced
+from millrace.functions.text import lines, non_space_chars, text_words, words
+from millrace.operators import corpus
+from millrace.operators.audit import bracket_audit
+from millrace.sources.text import read_lines
+
+
+def plain_lines(text):
+    parts = re.split("\r\n|\n|\r", text)
+    return parts[:-1] if parts[-1] == "" else parts
+
+
+def plain_words(line):
+    parts = line.split(" ")
+    if line == "":
+        return [""]
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def plain_balance(text):
+    depth = 0
+    for char in text:
+        depth += (char == "(") - (char == ")")
+        if depth < 0:
+            return False
+    return depth == 0
+
+
+SAMPLES = [
+    "",
+    " ",
+    "   ",
+    "\n",
+    "\n\n",
+    "a",
+    " a",
+    "a b  ",
+    "a  b",
+    "a\n",
+    "a\n\n b\n",
+    "a \nb",
+    "  \nb",
+    "a\r\nb\rc\n",
+    "a\r\n",
+    "x\ty\fz",
+    "né 😀 DisCo",
+    "DisCo DisCo, DisCo",
+    "a\n   \n\nb c ",
+    " \r \n ",
+]
+
+
+def frame(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+
+
+def check_texts(spark, texts):
+    text = F.col("text")
+    rows = (
+        frame(spark, texts)
+        .select("text", lines(text), text_words(text), non_space_chars(text), is_balanced(text))
+        .collect()
+    )
+    for value, found_lines, found_words, chars, balanced in rows:
+        wanted = plain_lines(value)
+        assert found_lines == wanted, repr(value)
+        assert found_words == [w for line in wanted for w in plain_words(line)], repr(value)
+        bare = "".join(wanted).replace(" ", "")
+        assert chars == len(bare.encode("utf-16-be")) // 2, repr(value)
+        assert balanced == plain_balance(value), repr(value)
+
+
+def test_samples(spark):
+    check_texts(spark, SAMPLES)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text(alphabet="ab ()\n\r\té😀", max_size=30), min_size=20, max_size=60))
+def test_random_texts(spark, texts):
+    check_texts(spark, texts)
+
+
+def test_null_text(spark):
+    row = spark.sql("SELECT CAST(NULL AS STRING) AS text").select(
+        F.size(lines(F.col("text"))), F.size(text_words(F.col("text"))), is_balanced(F.col("text"))
+    )
+    assert tuple(row.first()) == (0, 0, None)
+
+
+@pytest.mark.parametrize(
+    "line, wanted",
+    [("", [""]), ("a b  ", ["a", "b"]), ("   ", []), (" a", ["", "a"]), ("a  b", ["a", "", "b"])],
+)
+def test_words_of_a_line(spark, line, wanted):
+    row = frame(spark, [line]).select(words(F.col("text")), words(F.col("text"), True)).first()
+    assert row[0] == wanted
+    assert row[1] == [w for w in wanted if w]
+
+
+def test_word_counts_agree(spark):
+    df = frame(spark, ["sheena is a punk rocker she is a punk punk"])
+    wanted = {"sheena": 1, "is": 2, "a": 2, "she": 1, "punk": 3, "rocker": 1}
+    assert dict(corpus.word_count(df, "text").collect()) == wanted
+    assert dict(corpus.word_sum(df, "text").collect()) == wanted
+
+
+def test_counts_do_not_depend_on_partitioning(spark):
+    df = frame(spark, SAMPLES * 20)
+    for parts in (1, 7):
+        spread = df.repartition(parts)
+        assert sorted(corpus.word_count(spread, "text").collect()) == sorted(
+            corpus.word_count(df, "text").collect()
+        )
+        assert (
+            corpus.text_sizes(spread, "text", []).collect()
+            == corpus.text_sizes(df, "text", []).collect()
+        )
+
+
+def test_drop_empty(spark):
+    df = frame(spark, SAMPLES)
+    kept = {w: n for w, n in corpus.word_count(df, "text").collect() if w}
+    assert dict(corpus.word_count(df, "text", drop_empty=True).collect()) == kept
+
+
+def test_token_hits_are_exact(spark):
+    df = frame(spark, ["DisCo DisCo, disco", "DisCo\nDisCo ", ""])
+    assert corpus.token_hits(df, "text", "DisCo", []).first()["hits"] == 3
+
+
+def test_first_lines_follow_text_order(spark):
+    texts = ["", "a\nb", "\n", "c", "", "d\ne\nf"]
+    found = corpus.first_lines(frame(spark, texts), "text", "id", 4).collect()
+    assert [tuple(r) for r in found] == [(1, 0, "a"), (1, 1, "b"), (2, 0, ""), (3, 0, "c")]
+
+
+def test_files_read_as_the_lines_of_a_column(spark, tmp_path):
+    text = "a b\r\n\r\n   \rDisCo\nlast"
+    for name in ("one.txt", "two.txt"):
+        (tmp_path / name).write_bytes(text.encode())
+    read = [r["value"] for r in read_lines(spark, f"{tmp_path}/*.txt").collect()]
+    column = frame(spark, [text]).select(F.explode(lines(F.col("text")))).collect()
+    assert sorted(read) == sorted([r[0] for r in column] * 2)
+
+
+def test_bracket_audit(spark):
+    texts = ["(Lord of the (Rings)", "(a)(b)", ")(", "none", "((()))", "())("]
+    row = bracket_audit(frame(spark, texts), "text", []).first()
+    assert (row["balanced"], row["unbalanced"]) == (3, 3)
