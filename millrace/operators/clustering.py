@@ -97,12 +97,20 @@ def cluster_means(
         centres = fit_centres(features, k, seed)
     order = [c for c in columns if c not in scale_columns] + list(scale_columns)
     table = centre_table(df, order, centres)
-    if unscale == "refit" and scale_columns:
-        reach = fit_bounds(table, list(scale_columns))
-        back = {c: scaled(F.col(c), reach[c], *bounds[c]) for c in scale_columns}
-    else:
-        back = {c: unscaled(F.col(c), bounds[c], -1.0, 1.0) for c in scale_columns}
-    return (table.withColumns(back) if back else table).select("cluster", *columns)
+    if unscale == "refit":
+        table = stretch(table, bounds)
+    elif bounds:
+        back = {c: unscaled(F.col(c), b, -1.0, 1.0) for c, b in bounds.items()}
+        table = table.withColumns(back)
+    return table.select("cluster", *columns)
+
+
+def stretch(centres: DataFrame, bounds: Bounds) -> DataFrame:
+    """Map the range the centres span on each column onto the given bounds."""
+    if not bounds:
+        return centres
+    spans = fit_bounds(centres, list(bounds))
+    return centres.withColumns({c: scaled(F.col(c), spans[c], *b) for c, b in bounds.items()})
 
 
 def labelled_cluster_means(
@@ -169,13 +177,11 @@ def least_distance(columns: Sequence[str], centres: Sequence[Centre]) -> Column:
 
 def nearest(columns: Sequence[str], centres: Sequence[Centre]) -> Column:
     """Index of the nearest centre, the lower one on a tie."""
-    found = distances(columns, centres)
-    best = F.lit(len(found) - 1)
-    least = found[-1]
-    for i in range(len(found) - 2, -1, -1):
-        best = F.when(found[i] <= least, F.lit(i)).otherwise(best)
-        least = F.least(found[i], least)
-    return best
+    ranked = [
+        F.struct(gap.alias("gap"), F.lit(i).alias("cluster"))
+        for i, gap in enumerate(distances(columns, centres))
+    ]
+    return (F.least(*ranked) if len(ranked) > 1 else ranked[0])["cluster"]
 
 
 def assign(df: DataFrame, columns: Sequence[str], centres: Sequence[Centre]) -> DataFrame:

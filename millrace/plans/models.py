@@ -64,6 +64,17 @@ def leading_centres(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stretched_centres(spark: SparkSession, folder: str) -> DataFrame:
+    """The moved centres with their prices stretched to the prices' limits."""
+    parts = _parts(spark, folder)
+    centres = clustering.move_centres(parts, AXES, START, STEPS)
+    table_of_centres = clustering.centre_table(parts, AXES, centres)
+    bounds = fit_bounds(parts, ["p_retailprice"])
+    return clustering.stretch(table_of_centres, bounds).select(
+        "cluster", *[F.round(c, 4).alias(c) for c in AXES]
+    )
+
+
 def cluster_means_2d(spark: SparkSession, folder: str) -> DataFrame:
     return clustering.cluster_means(_parts(spark, folder), AXES, 5)
 
@@ -207,6 +218,16 @@ FROM c{STEPS} ORDER BY b DESC, cluster LIMIT 2
 """
 )
 
+STRETCHED = (
+    STEPPED
+    + f"""
+SELECT cluster, round(a, 4) AS p_size,
+       round((b - lowest) / (highest - lowest) * (most - least) + least, 4) AS p_retailprice
+FROM c{STEPS}, (SELECT min(b) AS lowest, max(b) AS highest FROM c{STEPS}),
+     (SELECT min(p_retailprice) AS least, max(p_retailprice) AS most FROM part)
+"""
+)
+
 # The elastic net with one feature has a closed form: the correlation, pulled
 # towards zero by the first penalty and shrunk by the second.
 LINE = """
@@ -273,6 +294,7 @@ QUERIES = {
     "lloyd_step": (lloyd_step, LLOYD),
     "wssse": (wssse, WSSSE),
     "nearest_centre": (nearest_centre, NEAREST),
+    "stretched_centres": (stretched_centres, STRETCHED),
     "leading_centres": (leading_centres, LEADING),
     "cluster_means_2d": (cluster_means_2d, None),
     "cluster_means_3d": (cluster_means_3d, None),

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.numeric import to_int
 from millrace.operators.totals import first_match, leaders, top_groups, total_by
 from millrace.session import fresh_path
 from millrace.sources.csv import write_csv
@@ -69,6 +70,12 @@ def units_per_year(spark: SparkSession, folder: str) -> DataFrame:
     return total_by(rows, "year", "units", "total_units")
 
 
+def units_per_year_int(spark: SparkSession, folder: str) -> DataFrame:
+    """The same narrowed to int, null where a sum no longer fits."""
+    total = F.col("total_units")
+    return units_per_year(spark, folder).withColumn("total_units", to_int(total))
+
+
 def best_year(spark: SparkSession, folder: str) -> DataFrame:
     return leaders(units_per_year(spark, folder), "total_units", "year", 1)
 
@@ -99,6 +106,10 @@ QUERIES = {
     "best_days_stream": (best_days_stream, _best("events", "ts", "value", "LIMIT 10")),
     "daily_totals_stream": (daily_totals_stream, _best("events", "ts", "value", "")),
     "year_totals": (units_per_year, UNITS),
+    "year_totals_int": (
+        units_per_year_int,
+        f"SELECT year, TRY_CAST(total_units AS INTEGER) AS total_units FROM ({UNITS})",
+    ),
     "best_year": (best_year, UNITS + "ORDER BY total_units DESC, year LIMIT 1"),
     "one_year": (one_year, f"SELECT * FROM ({UNITS}) WHERE year = 1998"),
 }

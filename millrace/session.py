@@ -26,6 +26,8 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.compress", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if shuffle_bytes:
         partitions = max(200, math.ceil(shuffle_bytes / SHUFFLE_PARTITION_BYTES))
