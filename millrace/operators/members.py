@@ -39,24 +39,28 @@ def group_members(df: DataFrame, key: str, member: str, part_size: int = 10_000)
     group; together the parts hold every member once.
     """
     counted = df.groupBy(key, member).agg(F.count("*").alias("copies"))
-    # Both measures are kept so that this branch reads the same shuffle as the
-    # branch below instead of counting a second time.
-    sizes = (
-        counted.groupBy(F.col(key).alias("group_key"))
+    # Only the large groups are looked up; they are at most one for every
+    # part_size rows, so Spark mostly finds them small enough to broadcast and
+    # otherwise splits the hot keys of the merge join. The second condition
+    # follows from the first, and makes both uses of ``counted`` read the same
+    # columns, hence the same shuffle.
+    large = (
+        counted.groupBy(F.col(key).alias("large_key"))
         .agg(F.count("*").alias("distinct_members"), F.sum("copies").alias("group_rows"))
-        .withColumn("parts", F.ceil(F.col("distinct_members") / part_size))
+        .filter((F.col("distinct_members") > part_size) & (F.col("group_rows") > part_size))
+        .select("large_key", F.ceil(F.col("distinct_members") / part_size).alias("parts"))
     )
     digest = F.md5(F.col(member).cast("string"))
     draw = F.coalesce(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(0))
+    part = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(draw % F.col("parts"))
     return (
-        counted.join(sizes, F.col(key).eqNullSafe(F.col("group_key")))
+        counted.join(large, F.col(key).eqNullSafe(F.col("large_key")), "left")
         .select(
             key,
-            "group_rows",
-            (draw % F.col("parts")).cast("int").alias("part"),
+            part.cast("int").alias("part"),
             F.struct(F.col(member).alias("member"), "copies").alias("entry"),
         )
         .repartition(key, "part")
-        .groupBy(key, "group_rows", "part")
+        .groupBy(key, "part")
         .agg(F.sort_array(F.collect_list("entry")).alias("members"))
     )

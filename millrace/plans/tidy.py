@@ -85,9 +85,7 @@ def supplier_members(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "lineitem"), "l_returnflag", "l_suppkey", part_size=50
     )
     entries = F.transform("members", lambda m: F.concat_ws(":", m["member"], m["copies"]))
-    return groups.select(
-        "l_returnflag", "group_rows", "part", F.array_join(entries, ",").alias("members")
-    )
+    return groups.select("l_returnflag", "part", F.array_join(entries, ",").alias("members"))
 
 
 EVENT_TEXT = """
@@ -140,11 +138,9 @@ MEMBERS = """
 WITH counted AS (
   SELECT l_returnflag, l_suppkey, count(*) AS copies FROM lineitem GROUP BY ALL
 ), sizes AS (
-  SELECT l_returnflag, CAST(ceil(count(*) / 50.0) AS BIGINT) AS parts,
-         CAST(sum(copies) AS BIGINT) AS group_rows
-  FROM counted GROUP BY 1
+  SELECT l_returnflag, CAST(ceil(count(*) / 50.0) AS BIGINT) AS parts FROM counted GROUP BY 1
 )
-SELECT l_returnflag, group_rows,
+SELECT l_returnflag,
        CAST(CAST('0x' || substr(md5(CAST(l_suppkey AS VARCHAR)), 1, 8) AS BIGINT) % parts
             AS INTEGER) AS part,
        string_agg(l_suppkey || ':' || copies, ',' ORDER BY l_suppkey) AS members

@@ -5,9 +5,12 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from conftest import SMALL
+from millrace.operators.members import group_members, without_listed
+from millrace.sources.tables import table
 
 NO_PLAN_YET = {"best_days_stream", "best_days_csv_stream", "daily_totals_stream"}
 PYTHON = {"part_factors", "factor_histogram"}
@@ -70,7 +73,35 @@ def test_word_count_adds_up_before_the_shuffle(spark):
     assert "partial_count" in plan(spark, "word_count")
 
 
+def test_hot_values_are_split_in_a_merge_join(spark):
+    """A third of the rows hold one value and the list is too large to broadcast."""
+    small = {
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+    }
+    before = {key: spark.conf.get(key, None) for key in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        n = 300_000
+        cold = F.concat(F.lit("k"), F.col("id") % 50_000)
+        line = F.when(F.col("id") % 3 == 0, "hot").otherwise(cold)
+        pad = F.md5(F.col("id").cast("string"))
+        df = spark.range(0, n, 1, 16).select(line.alias("line"), pad.alias("pad"))
+        listed = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("v"))
+        kept = without_listed(df, "line", listed).groupBy(F.substring("pad", 1, 1).alias("first")).count()
+        found = sum(row["count"] for row in kept.collect())
+        text = kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert found == sum(1 for i in range(n) if i % 3 == 0 or i % 50_000 >= 20_000)
+    assert "SortMergeJoin(skew=true)" in text
+
+
 def test_group_members_count_once(spark):
-    frame = queries()["group_members"](spark, SMALL)
+    frame = group_members(table(spark, SMALL, "lineitem"), "l_returnflag", "l_suppkey", 2)
     frame.collect()
     assert "ReusedExchange" in frame._jdf.queryExecution().executedPlan().toString()

@@ -160,7 +160,6 @@ def test_group_members_hold_everything_in_bounded_lists(spark):
     assert found == Counter(
         {("hot", i): 3 for i in range(1000)} | {("cold", 1): 2, (None, 2): 1, ("none", None): 1}
     )
-    assert {r["k"]: r["group_rows"] for r in groups} == {"hot": 3000, "cold": 2, None: 1, "none": 1}
     assert len([r for r in groups if r["k"] == "hot"]) == 10
 
 
