@@ -61,10 +61,14 @@ def feature_table(
         features.unpersist()
 
 
-def fit_centres(features: DataFrame, k: int, seed: int) -> list[Centre]:
-    """Centres of one k-means fit: at most k rows on the driver."""
+def fit_centres(features: DataFrame, k: int, seed: int, solver: str = "block") -> list[Centre]:
+    """Centres of one k-means fit: at most k rows on the driver.
+
+    The block solver is the fastest but keeps its own copy of the vectors; the
+    row solver reads the held table, which several fits can then share.
+    """
     kmeans = KMeans(
-        k=k, seed=seed, solver="block", featuresCol="features", predictionCol="prediction"
+        k=k, seed=seed, solver=solver, featuresCol="features", predictionCol="prediction"
     )
     model = kmeans.fit(features)
     return [tuple(float(v) for v in centre) for centre in model.clusterCenters()]
@@ -145,7 +149,7 @@ def elbow(
     ks = list(range(low, high + 1))
     on_thread = inheritable_thread_target(df.sparkSession)
     with feature_table(clean, columns, keep=columns) as (features, _):
-        fits = [on_thread(partial(fit_centres, features, k, seed)) for k in ks]
+        fits = [on_thread(partial(fit_centres, features, k, seed, "row")) for k in ks]
         with ThreadPool(min(parallelism, len(ks))) as pool:
             centres = pool.map(lambda fit: fit(), fits)
         sums = [F.sum(least_distance(columns, c)).alias(f"k{k}") for k, c in zip(ks, centres)]
