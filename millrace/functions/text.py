@@ -47,17 +47,26 @@ def words(line: Column, drop_empty: bool = False) -> Column:
     return F.when((kept == "") & (line != ""), _none()).otherwise(parts)
 
 
+def _tight(body: Column) -> Column:
+    """The body without lines of spaces alone and without spaces before line ends."""
+    closed = F.concat(body, F.lit("\n"))
+    inked = F.regexp_replace(closed, r"(?dm)^ ++\n", "")
+    kept = F.nullif(F.regexp_replace(inked, r"(?<! ) ++\n", "\n"), F.lit(""))
+    return F.left(kept, F.length(kept) - 1)
+
+
 def text_words(text: Column, drop_empty: bool = False) -> Column:
-    """The words of all lines of a text, in order."""
+    """The words of all lines of a text, in order.
+
+    Once no line ends in spaces, a line end separates words just as a space
+    does, and one split serves the whole text.
+    """
     body = _body(text)
-    at_once = F.split(F.replace(body, F.lit("\n"), F.lit(SPACE)), SPACE)
-    if drop_empty:
-        return F.coalesce(F.array_remove(at_once, ""), _none())
-    # With no space before any line end, a line end separates words just as a
-    # space does; otherwise each line is split by itself.
-    loose = F.contains(body, F.lit(" \n")) | F.endswith(body, F.lit(SPACE))
-    by_line = F.flatten(F.transform(F.split(body, "\n"), lambda line: words(line)))
-    return F.coalesce(F.when(loose, by_line).otherwise(at_once), _none())
+    if not drop_empty:
+        loose = F.contains(body, F.lit(" \n")) | F.endswith(body, F.lit(SPACE))
+        body = F.when(loose, _tight(body)).otherwise(body)
+    found = F.split(F.replace(body, F.lit("\n"), F.lit(SPACE)), SPACE)
+    return F.coalesce(F.array_remove(found, "") if drop_empty else found, _none())
 
 
 def non_space_chars(text: Column) -> Column:

@@ -40,16 +40,17 @@ def token_hits(df: DataFrame, text: str, token: str, by: list[str]) -> DataFrame
 
 def text_lines(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """One row per line with its position (from 0) in its text."""
-    cut = df.select(*keep, lines(F.col(text)).alias("lines"))
-    return cut.select(*keep, F.posexplode("lines").alias("line_no", "line"))
+    return df.select(*keep, F.posexplode(lines(F.col(text))).alias("line_no", "line"))
+
+
+def lines_of(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """One row per line."""
+    return df.select(*keep, F.explode(lines(F.col(text))).alias("line"))
 
 
 def words_of(df: DataFrame, text: str, drop_empty: bool = False) -> DataFrame:
     """One row per word."""
-    # The array is a column of its own, so that unfolding it and the first
-    # counting of the words share one generated loop.
-    found = df.select(text_words(F.col(text), drop_empty).alias("words"))
-    return found.select(F.explode("words").alias("word"))
+    return df.select(F.explode(text_words(F.col(text), drop_empty)).alias("word"))
 
 
 def word_count(df: DataFrame, text: str, drop_empty: bool = False) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.numeric import label_flag
 from millrace.operators.cleaning import clean_numeric, random_split, split_side
-from millrace.operators.corpus import text_lines
+from millrace.operators.corpus import lines_of
 from millrace.operators.members import group_members, without_listed, without_values
 from millrace.sources.tables import table
 
@@ -73,8 +73,8 @@ def drop_values(spark: SparkSession, folder: str) -> DataFrame:
 
 def drop_listed_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Document lines that are no line of the benchmark texts."""
-    document_lines = text_lines(table(spark, folder, "documents"), "text", ["lang"])
-    listed = text_lines(table(spark, folder, "benchmark"), "text", []).select("line")
+    document_lines = lines_of(table(spark, folder, "documents"), "text", ["lang"])
+    listed = lines_of(table(spark, folder, "benchmark"), "text", [])
     kept = without_listed(document_lines, "line", listed)
     return kept.groupBy("lang").agg(F.count("*").alias("lines"))
 
