@@ -42,6 +42,14 @@ def test_three_axes_come_back_in_their_units(spark):
     assert close_to(found.drop("cluster").collect(), BLOBS, (0.02, 0.1, 3.0))
 
 
+def test_same_input_gives_the_same_centres(spark):
+    draw = random.Random(1)
+    points = [(draw.random(), draw.random()) for _ in range(3000)]
+    df = spark.createDataFrame(points, "a double, b double").repartition(6)
+    first = clustering.cluster_means(df, ["a", "b"], 4).collect()
+    assert clustering.cluster_means(df, ["a", "b"], 4).collect() == first
+
+
 def test_refit_stretches_the_outer_centres_to_the_limits(spark):
     df = blobs(spark)
     found = clustering.cluster_means(df, ["a", "b", "c"], 5, ["c"], unscale="refit")

@@ -214,3 +214,29 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
     assert build_session("again") is not None
+
+
+class Unset:
+    """The two parts of a session that the folder choice looks at."""
+
+    def __init__(self, master, folder=None):
+        self.master, self.folder = master, folder
+        self.conf = {}
+        self.sparkContext = self
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_only_a_local_master_may_use_a_temporary_folder():
+    local = Unset("local[2]")
+    assert shared_folder(local) == local.folder and "millrace-" in local.folder
+    assert shared_folder(Unset("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    with pytest.raises(RuntimeError):
+        shared_folder(Unset("yarn"))
+    named = Unset("yarn")
+    named.conf = {"spark.checkpoint.dir": "hdfs:///named/"}
+    assert shared_folder(named) == "hdfs:///named" and named.folder == "hdfs:///named/"
