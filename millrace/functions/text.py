@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 SPACE = " "
 
 
-def _body(text: Column) -> Column:
+def text_body(text: Column) -> Column:
     """The text with \\n for every line end and none at its end; null if it has no line."""
     some = F.nullif(text, F.lit(""))
     unified = F.replace(F.replace(some, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
@@ -20,6 +20,23 @@ def _body(text: Column) -> Column:
     return F.when(F.endswith(unified, F.lit("\n")), shorter).otherwise(unified)
 
 
+def tight_body(body: Column) -> Column:
+    """The body without lines of spaces alone and without spaces before line ends.
+
+    Null if nothing is left. A line end then separates words just as a space does.
+    """
+    closed = F.concat(body, F.lit("\n"))
+    inked = F.regexp_replace(closed, r"(?dm)^ ++\n", "")
+    kept = F.nullif(F.regexp_replace(inked, r"(?<! ) ++\n", "\n"), F.lit(""))
+    loose = F.contains(body, F.lit(" \n")) | F.endswith(body, F.lit(SPACE))
+    return F.when(loose, F.left(kept, F.length(kept) - 1)).otherwise(body)
+
+
+def body_words(body: Column) -> Column:
+    """The words of a tight body."""
+    return F.split(F.replace(body, F.lit("\n"), F.lit(SPACE)), SPACE)
+
+
 def _none() -> Column:
     return F.array().cast("array<string>")
 
@@ -30,7 +47,7 @@ def lines(text: Column) -> Column:
     Lines end at \\n, \\r\\n or \\r. A line end at the very end closes the last
     line and opens no new one; an empty or missing text has no line.
     """
-    return F.coalesce(F.split(_body(text), "\n"), _none())
+    return F.coalesce(F.split(text_body(text), "\n"), _none())
 
 
 def words(line: Column, drop_empty: bool = False) -> Column:
@@ -47,26 +64,11 @@ def words(line: Column, drop_empty: bool = False) -> Column:
     return F.when((kept == "") & (line != ""), _none()).otherwise(parts)
 
 
-def _tight(body: Column) -> Column:
-    """The body without lines of spaces alone and without spaces before line ends."""
-    closed = F.concat(body, F.lit("\n"))
-    inked = F.regexp_replace(closed, r"(?dm)^ ++\n", "")
-    kept = F.nullif(F.regexp_replace(inked, r"(?<! ) ++\n", "\n"), F.lit(""))
-    return F.left(kept, F.length(kept) - 1)
-
-
 def text_words(text: Column, drop_empty: bool = False) -> Column:
-    """The words of all lines of a text, in order.
-
-    Once no line ends in spaces, a line end separates words just as a space
-    does, and one split serves the whole text.
-    """
-    body = _body(text)
-    if not drop_empty:
-        loose = F.contains(body, F.lit(" \n")) | F.endswith(body, F.lit(SPACE))
-        body = F.when(loose, _tight(body)).otherwise(body)
-    found = F.split(F.replace(body, F.lit("\n"), F.lit(SPACE)), SPACE)
-    return F.coalesce(F.array_remove(found, "") if drop_empty else found, _none())
+    """The words of all lines of a text, in order."""
+    if drop_empty:
+        return F.coalesce(F.array_remove(body_words(text_body(text)), ""), _none())
+    return F.coalesce(body_words(tight_body(text_body(text))), _none())
 
 
 def non_space_chars(text: Column) -> Column:

@@ -10,7 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.text import lines, non_space_chars, text_words
+from millrace.functions.text import (
+    body_words,
+    lines,
+    non_space_chars,
+    text_body,
+    text_words,
+    tight_body,
+)
 
 
 def text_sizes(df: DataFrame, text: str, by: list[str]) -> DataFrame:
@@ -38,19 +45,33 @@ def token_hits(df: DataFrame, text: str, token: str, by: list[str]) -> DataFrame
     return found.groupBy(*by).agg(F.sum(F.size("words") - F.size(others)).alias("hits"))
 
 
+def _bodies(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """The first step of cutting texts into rows, as a column of its own.
+
+    In one expression the steps would be repeated inside each other, and the
+    generated loop over the rows would be too long for the JVM to compile.
+    """
+    return df.select(*keep, text_body(F.col(text)).alias("body"))
+
+
 def text_lines(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """One row per line with its position (from 0) in its text."""
-    return df.select(*keep, F.posexplode(lines(F.col(text))).alias("line_no", "line"))
+    cut = F.posexplode(F.split("body", "\n")).alias("line_no", "line")
+    return _bodies(df, text, keep).select(*keep, cut)
 
 
 def lines_of(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """One row per line."""
-    return df.select(*keep, F.explode(lines(F.col(text))).alias("line"))
+    return _bodies(df, text, keep).select(*keep, F.explode(F.split("body", "\n")).alias("line"))
 
 
 def words_of(df: DataFrame, text: str, drop_empty: bool = False) -> DataFrame:
     """One row per word."""
-    return df.select(F.explode(text_words(F.col(text), drop_empty)).alias("word"))
+    bodies = _bodies(df, text, [])
+    if not drop_empty:
+        bodies = bodies.select(tight_body(F.col("body")).alias("body"))
+    words = bodies.select(F.explode(body_words(F.col("body"))).alias("word"))
+    return words.filter(F.col("word") != "") if drop_empty else words
 
 
 def word_count(df: DataFrame, text: str, drop_empty: bool = False) -> DataFrame:

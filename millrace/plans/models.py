@@ -113,16 +113,18 @@ def _priced_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _rounded(line: DataFrame) -> DataFrame:
+    return line.select(*[F.round(c, 3).alias(c) for c in ("slope", "intercept")])
+
+
 def linear_fit(spark: SparkSession, folder: str) -> DataFrame:
     rows = _priced_lines(spark, folder)
-    line = regression.line_parameters(rows, regression.fit_line(rows, ["x"], "y"))
-    return line.select(F.round("slope", 3).alias("slope"), F.round("intercept", 3).alias("intercept"))
+    return _rounded(regression.line_parameters(rows, regression.fit_line(rows, ["x"], "y")))
 
 
 def linear_fit_moments(spark: SparkSession, folder: str) -> DataFrame:
     rows = _priced_lines(spark, folder)
-    line = inline(spark, [regression.fit_by_moments(rows, "x", "y")], regression.LINE)
-    return line.select(F.round("slope", 3).alias("slope"), F.round("intercept", 3).alias("intercept"))
+    return _rounded(inline(spark, [regression.fit_by_moments(rows, "x", "y")], regression.LINE))
 
 
 def holdout_fit(spark: SparkSession, folder: str) -> DataFrame:

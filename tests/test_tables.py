@@ -103,6 +103,12 @@ def test_dirty_csv(spark, tmp_path):
     assert sorted(cleaning.clean_numeric(as_text, ["a", "b"]).collect()) == sorted(bare.collect())
 
 
+def test_quoted_fields_may_hold_the_separator(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('NAME,N\n"Gifts, Ltd",3\nplain,4\n')
+    rows = csv.read_csv(spark, str(tmp_path / "q.csv"), "NAME string, N int").collect()
+    assert [tuple(r) for r in rows] == [("Gifts, Ltd", 3), ("plain", 4)]
+
+
 def test_csv_glob_separator_and_inference(spark, tmp_path):
     (tmp_path / "one.csv").write_text("day;low\n2020-01-01;-5\n2020-01-02;1.5\n")
     (tmp_path / "two.csv").write_text("day;low\n2021-01-01;2\n")
@@ -150,7 +156,8 @@ def test_removed_values_leave_other_copies(spark):
 
 def test_group_members_hold_everything_in_bounded_lists(spark):
     hot = spark.range(3000).select(F.lit("hot").alias("k"), (F.col("id") % 1000).alias("m"))
-    cold = spark.createDataFrame([("cold", 1), ("cold", 1), (None, 2), ("none", None)], "k string, m bigint")
+    rows = [("cold", 1), ("cold", 1), (None, 2), ("none", None)]
+    cold = spark.createDataFrame(rows, "k string, m bigint")
     groups = members.group_members(hot.union(cold), "k", "m", part_size=100).collect()
     found = Counter()
     for row in groups:
