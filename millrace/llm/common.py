@@ -6,7 +6,9 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from millrace.session import fresh_path
 
@@ -48,3 +50,19 @@ def text_chunks(
 def _slice(batch, column, start, stop):
     texts = [text or "" for text in column.slice(start, stop - start).to_pylist()]
     return batch.slice(start, stop - start), texts
+
+
+def with_row_keys(docs: DataFrame, label: str) -> DataFrame:
+    """The rows with ``row_file`` and ``row_number``, which name each row for good.
+
+    Rows read from Parquet have them already; others are stored first. Equal
+    rows get different keys, and a retried task gets the same ones.
+    """
+    keys = [
+        F.col("_metadata.file_path").alias("row_file"),
+        F.col("_metadata.row_index").alias("row_number"),
+    ]
+    try:
+        return docs.select("*", *keys)
+    except AnalysisException:
+        return stored(docs, label).select("*", *keys)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import orc_ids, packing
+from millrace.llm import mixing, orc_ids, packing, simhash_vp, toxicity
 from millrace.session import fresh_path
 from millrace.sources.tables import table
 
@@ -20,7 +20,23 @@ def op4_orc_ids(spark: SparkSession, folder: str) -> DataFrame:
     return orc_ids.with_checksum(orc_ids.read_ids(spark, path))
 
 
+def op5_simhash_vp(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash_vp.near_duplicates(table(spark, folder, "documents"), shingle=4, radius=4)
+    return found.select("doc_id", simhash_vp.hex_print("fp").alias("fingerprint"), "component_id")
+
+
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixture(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_packing": (op1_packing, None),
     "op4_orc_ids": (op4_orc_ids, None),
+    "op5_simhash_vp": (op5_simhash_vp, None),
+    "op6_toxicity": (op6_toxicity, None),
+    "op10_mixing": (op10_mixing, None),
 }
