@@ -5,11 +5,10 @@ its documents: a whole part that all get, and a fraction that is sampled. The
 flight phase of the cube method moves the fractions of three documents at a
 time along the null space of the constraints "number of documents" and "number
 of words", so that both totals stay as they are, until one of the three is 0 or
-1. It runs over blocks of each source, long documents first, so that what stays
-fractional, at most two documents of a block, tends to be short; these meet in
-larger blocks round by round. What is left at the
-end, two documents of a source at most, is the landing: the combination whose
-words come nearest.
+1. It runs over blocks of each source; at most two documents of a block stay
+fractional, and these meet in larger blocks round by round. The last block of a
+source holds a few documents back; they and what stays fractional are the
+landing problem, solved by the combination whose words come nearest.
 """
 
 from __future__ import annotations
@@ -19,6 +18,7 @@ from collections.abc import Iterator, Sequence
 from itertools import product
 from random import Random
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +27,7 @@ from millrace.llm.common import stored, with_row_keys
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_ROWS = 2048
+HELD_BACK = 10
 NEAR = 1e-9
 
 
@@ -78,17 +79,14 @@ def source_targets(
 
 
 def _fly(held: list[list], random: Random) -> list[list]:
-    """Move the fractions of up to three units until one is settled; the settled ones.
+    """Move the fractions of three units until one is settled; the settled ones.
 
-    A unit is [fraction, size, row]. Two units move only if their sizes agree.
+    A unit is [fraction, size, row].
     """
-    if len(held) == 3:
-        (_, a, _), (_, b, _), (_, c, _) = held
-        direction = [c - b, a - c, b - a]
-        if not any(direction):
-            direction = [1, -1, 0]
-    else:
-        direction = [1, -1]
+    (_, a, _), (_, b, _), (_, c, _) = held
+    direction = [c - b, a - c, b - a]
+    if not any(direction):
+        direction = [1, -1, 0]
     up = down = math.inf
     for (fraction, _, _), d in zip(held, direction):
         if d > 0:
@@ -103,28 +101,28 @@ def _fly(held: list[list], random: Random) -> list[list]:
     return settled
 
 
-def _land(held: list[list]) -> list[list]:
-    """Settle the last units so that their words come nearest, the fewest copies first."""
-    choices = product((0, 1), repeat=len(held))
-    off = lambda picks: abs(sum((x - u[0]) * u[1] for x, u in zip(picks, held)))
-    for unit, x in zip(held, min(choices, key=lambda picks: (off(picks), sum(picks)))):
-        unit[0] = x
-    return held
+def _land(units: list[list]) -> list[list]:
+    """Settle the last units so that their words come nearest, then their number."""
+    if units:
+        picks = np.array(list(product((0, 1), repeat=len(units))))
+        fractions, sizes = (np.array([u[i] for u in units], dtype=float) for i in (0, 1))
+        moved = picks - fractions
+        number = abs(moved.sum(axis=1)) * sizes.mean()
+        best = np.argmin(np.round(abs(moved @ sizes) + 0.01 * number, 9))
+        for unit, x in zip(units, picks[best].tolist()):
+            unit[0] = x
+    return units
 
 
 def _flight(seed: int, names: list[str]):
     """Runs of (source_no, block), sorted; ``blocks`` 1 lands a source."""
 
     def fly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, random, last = None, [], None, False
+        key, held, back, random, last = None, [], [], None, False
         at = {name: i for i, name in enumerate(names)}
 
         def close() -> list[list]:
-            if len(held) == 2 and held[0][1] == held[1][1]:
-                done = _fly(held, random)
-            else:
-                done = []
-            return done + (_land(held) if last and held else held)
+            return _land(held + back) if last else held
 
         for batch in batches:
             done = []
@@ -132,9 +130,14 @@ def _flight(seed: int, names: list[str]):
                 run = row[at["source_no"]], row[at["block"]]
                 if run != key:
                     done += close()
-                    key, held, last = run, [], row[at["blocks"]] == 1
+                    key, held, back, last = run, [], [], row[at["blocks"]] == 1
                     random = Random(f"{seed}/{run[0]}/{row[at['blocks']]}/{run[1]}")
-                held.append([row[at["fraction"]], row[at["size"]], row])
+                unit = [row[at["fraction"]], row[at["size"]], row]
+                if last:
+                    back.append(unit)
+                    unit = back.pop(0) if len(back) > HELD_BACK else None
+                if unit:
+                    held.append(unit)
                 while len(held) >= 3:
                     done += _fly(held, random)
             yield from _pack(done, batch.schema, at)
@@ -195,12 +198,14 @@ def mix(
         unsettled = (F.col("fraction") > 0) & (F.col("fraction") < 1)
         dealt = (
             current.filter(unsettled)
-            .withColumn("block", F.pmod(F.xxhash64("doc_id", "size", *others), F.col("blocks")))
+            .withColumn("digest", F.xxhash64("doc_id", "size", *others))
+            .withColumn("block", F.pmod("digest", "blocks"))
             .repartition("source_no", "block")
-            .sortWithinPartitions("source_no", "block", F.desc("size"), "doc_id", *others)
+            .sortWithinPartitions("source_no", "block", "digest", "doc_id", "size", *others)
         )
         flown = stored(
-            dealt.mapInArrow(_flight(seed, dealt.columns), dealt.schema).drop("block"), "mix-flight"
+            dealt.mapInArrow(_flight(seed, dealt.columns), dealt.schema).drop("block", "digest"),
+            "mix-flight",
         )
         parts += [current.filter(~unsettled)]
         current = flown.withColumn("blocks", F.ceil(2 * F.col("blocks") / block_rows))
