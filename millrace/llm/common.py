@@ -27,29 +27,32 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def text_chunks(
+def text_slices(
     batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = CHUNK_BYTES
-) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Slices of batches with about ``limit`` bytes of text (one row at least).
 
     A null text counts as empty.
     """
     for batch in batches:
-        column = batch.column(text)
-        sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+        column = pc.fill_null(batch.column(text), "")
+        sizes = pc.binary_length(column).to_pylist()
         start = held = 0
         for i, size in enumerate(sizes):
             if i > start and held + size > limit:
-                yield _slice(batch, column, start, i)
+                yield batch.slice(start, i - start), column.slice(start, i - start)
                 start, held = i, 0
             held += size
         if start < len(sizes):
-            yield _slice(batch, column, start, len(sizes))
+            yield batch.slice(start), column.slice(start)
 
 
-def _slice(batch, column, start, stop):
-    texts = [text or "" for text in column.slice(start, stop - start).to_pylist()]
-    return batch.slice(start, stop - start), texts
+def text_chunks(
+    batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = CHUNK_BYTES
+) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """The same with the texts as strings."""
+    for batch, column in text_slices(batches, text, limit):
+        yield batch, column.to_pylist()
 
 
 def with_row_keys(docs: DataFrame, label: str) -> DataFrame:

@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import text_chunks
-from millrace.llm.tokens import END_ID, TOKENIZER, RunEncoder
+from millrace.llm.common import text_slices
+from millrace.llm.tokens import END_ID, TOKENIZER, encoder
 
 FILE_SCHEMA = "doc_id bigint, first bigint, n_tokens bigint, ids array<int>"
 END_BYTES = END_ID.to_bytes(4, "little")
@@ -50,10 +50,10 @@ def write_ids(
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = RunEncoder(path_of_tokenizer)
+        encode_texts = encoder(path_of_tokenizer).encode
         first = 0
-        for batch, texts in text_chunks(batches):
-            held = [part + END_BYTES for part in encoder.encode(texts)]
+        for batch, texts in text_slices(batches):
+            held = [part + END_BYTES for part in encode_texts(texts)]
             counts = np.fromiter((len(x) // 4 for x in held), dtype=np.int64, count=len(held))
             stops = np.cumsum(counts)
             ids = pa.ListArray.from_arrays(
@@ -78,44 +78,45 @@ def write_ids(
     )
 
 
-def read_ids(spark: SparkSession, path: str, doc_ids: Iterable[int] | None = None) -> DataFrame:
+def read_ids(
+    spark: SparkSession,
+    path: str,
+    doc_ids: Iterable[int] | None = None,
+    checksum: bool = False,
+) -> DataFrame:
     """Columns doc_id, start, n_tokens, ids of the files under ``path``.
 
     ``start`` is the number of ids of all documents before. ``doc_ids`` of a few
     documents becomes a filter that the files' statistics and Bloom filters
-    see; a start then still counts all documents.
+    see; a start then still counts all documents. ``checksum`` gives ids_crc32,
+    the crc32 of the ids as little-endian unsigned 32-bit integers, in place of
+    the ids, which then stay in the task that reads them.
     """
     files = spark.read.schema(FILE_SCHEMA).orc(path)
-    part = F.col("_metadata.file_path")
+    part = F.col("_metadata.file_path").alias("part")
     order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # One row a file.
     bases = (
-        files.groupBy(part.alias("part"))
+        files.groupBy(part)
         .agg(F.sum("n_tokens").alias("total"))
         .select("part", F.coalesce(F.sum("total").over(order), F.lit(0)).alias("base"))
     )
     rows = files if doc_ids is None else files.filter(F.col("doc_id").isin(list(doc_ids)))
-    return (
-        rows.select("doc_id", "first", "n_tokens", "ids", part.alias("part"))
-        .join(bases, "part")
-        .select("doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids")
-    )
-
-
-def with_checksum(rows: DataFrame) -> DataFrame:
-    """``read_ids`` rows with crc32 of the ids in place of the ids."""
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("ids")
-            offsets = lists.offsets.to_numpy()
-            held = memoryview(lists.values.to_numpy().astype("<u4", copy=False)).cast("B")
-            sums = [zlib.crc32(held[4 * a : 4 * b]) for a, b in zip(offsets, offsets[1:])]
-            columns = [batch.column(name) for name in ("doc_id", "start", "n_tokens")]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(sums, pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
-
-    schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
-    return rows.select("doc_id", "start", "n_tokens", "ids").mapInArrow(check, schema)
+    rows, last = rows.select("doc_id", "first", "n_tokens", part, "ids"), "ids"
+    if checksum:
+        schema = "doc_id bigint, first bigint, n_tokens bigint, part string, ids_crc32 bigint"
+        rows, last = rows.mapInArrow(_checksums, schema), "ids_crc32"
+    start = (F.col("base") + F.col("first")).alias("start")
+    return rows.join(bases, "part").select("doc_id", start, "n_tokens", last)
+
+
+def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lists = batch.column("ids")
+        offsets = lists.offsets.to_numpy()
+        held = memoryview(lists.values.to_numpy().astype("<u4", copy=False)).cast("B")
+        sums = [zlib.crc32(held[4 * a : 4 * b]) for a, b in zip(offsets, offsets[1:])]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:4], pa.array(sums, pa.int64())],
+            names=[*batch.schema.names[:4], "ids_crc32"],
+        )

@@ -26,8 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored, text_chunks
-from millrace.llm.tokens import END_ID, TOKENIZER, RunEncoder
+from millrace.llm.common import stored, text_slices
+from millrace.llm.tokens import END_ID, TOKENIZER, encoder
 
 LENGTH = 4096
 UNIT = 64
@@ -182,12 +182,12 @@ def cut_pieces(
     end = END_ID.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = RunEncoder(path)
+        encode_texts = encoder(path).encode
         task = TaskContext.get().partitionId()
         seen: Counter = Counter()
-        for batch, texts in text_chunks(batches):
+        for batch, texts in text_slices(batches):
             rows = []
-            for doc, ids in enumerate(encoder.encode(texts)):
+            for doc, ids in enumerate(encode_texts(texts)):
                 ids += end
                 held, total = memoryview(ids), len(ids) // 4
                 points = cut_points(total, length, unit)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, orc_ids, packing, simhash_vp, toxicity
+from millrace.llm import ann_vp, mixing, orc_ids, packing, simhash_vp, toxicity, viterbi
 from millrace.session import fresh_path
 from millrace.sources.tables import table
 
@@ -17,7 +17,7 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op4_orc_ids(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "ids-orc")
     orc_ids.write_ids(table(spark, folder, "documents"), path)
-    return orc_ids.with_checksum(orc_ids.read_ids(spark, path))
+    return orc_ids.read_ids(spark, path, checksum=True)
 
 
 def op5_simhash_vp(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,6 +29,15 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op7_ann_vp(spark: SparkSession, folder: str) -> DataFrame:
+    asks = F.col("vec_id") % 50 == 0
+    return ann_vp.nearest(table(spark, folder, "embeddings"), asks, k=5, factor=1.0)
+
+
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return viterbi.token_counts(table(spark, folder, "documents"))
+
+
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixture(table(spark, folder, "documents"))
 
@@ -38,5 +47,7 @@ QUERIES = {
     "op4_orc_ids": (op4_orc_ids, None),
     "op5_simhash_vp": (op5_simhash_vp, None),
     "op6_toxicity": (op6_toxicity, None),
+    "op7_ann_vp": (op7_ann_vp, None),
+    "op9_token_counts": (op9_token_counts, None),
     "op10_mixing": (op10_mixing, None),
 }

@@ -1,9 +1,9 @@
 """Token ids of whole texts, by a public tokenizer file.
 
-The tokenizer cuts a text into runs of letters, single digits, runs of other
-signs and a few endings such as ``'s`` before it looks up anything, and drops
-white space. Runs repeat far more often than they are new, so each worker keeps
-the ids of the runs it has met and calls the tokenizer for new ones only. The
+The tokenizer drops white space, and cuts the rest into runs of letters, single
+digits, runs of other signs and a few endings such as ``'s`` before it looks up
+anything. Words and runs repeat far more often than they are new, so each worker
+keeps the ids of those it has met and calls the tokenizer for new runs only. A
 store is emptied when it is full, which costs time but never changes a result.
 Texts with characters for which cutting first could differ (combining marks,
 scripts beyond Latin, names of special tokens) go to the tokenizer whole.
@@ -14,17 +14,17 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-STORE_RUNS = 500_000
+STORED = 400_000
 ASK_RUNS = 32
-CHUNK_CHARS = 4_000_000
 
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 _DIGITS = "0-9²³¹¼½¾"
@@ -36,10 +36,12 @@ _RUNS = re.compile(
 # Latin letters and common signs are safe to cut; the capital I with a dot,
 # whose small form is two characters, is not.
 _WHOLE_ONLY = re.compile("[^\x00-įı-ɏ‐-‧€]")
+# Python takes the control signs for white space, the tokenizer does not.
+_SPECIAL = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
 
 
 def _safe_to_cut(text: str) -> bool:
-    if "<|" in text:
+    if any(sign in text for sign in _SPECIAL):
         return False
     try:
         text.encode("latin-1")
@@ -48,15 +50,22 @@ def _safe_to_cut(text: str) -> bool:
     return True
 
 
-class RunEncoder:
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+_CLASS = np.full(256, _OTHER, dtype=np.uint8)
+_CLASS[[9, 10, 11, 12, 13, 32]] = _SPACE
+_CLASS[[b for b in range(256) if b >= 0x80 or chr(b).isalpha()]] = _LETTER
+_CLASS[list(b"0123456789")] = _DIGIT
+
+
+class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers, in bytes."""
 
-    def __init__(self, path: str, store_runs: int = STORE_RUNS):
+    def __init__(self, path: str, stored: int = STORED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.store_runs = store_runs
+        self.stored = stored
         self.known: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends_run = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
@@ -66,7 +75,7 @@ class RunEncoder:
         done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", each.ids).tobytes() for each in done]
 
-    def _runs(self, runs: list[str]) -> list[bytes]:
+    def _ask(self, runs: list[str]) -> list[bytes]:
         """Ids of single runs, asked for many at a time: each ends with a word-end piece."""
         lines = ["\n".join(runs[i : i + ASK_RUNS]) for i in range(0, len(runs), ASK_RUNS)]
         done = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
@@ -78,15 +87,89 @@ class RunEncoder:
         stops = stops.tolist()
         return [held[a:b] for a, b in zip([0, *stops], stops)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [_RUNS.findall(text) if _safe_to_cut(text) else None for text in texts]
-        known = self.known
-        if len(known) > self.store_runs:
-            known.clear()
-        new = list(set(chain.from_iterable(runs for runs in cut if runs)).difference(known))
-        known.update(zip(new, self._runs(new)))
-        look = known.__getitem__
-        return [
-            self._whole([text])[0] if runs is None else b"".join(map(look, runs))
-            for text, runs in zip(texts, cut)
-        ]
+    def _learn(self, pieces: list[str]) -> None:
+        cut = [_RUNS.findall(piece) for piece in pieces]
+        new = list(set(chain.from_iterable(cut)).difference(self.known))
+        self.known.update(zip(new, self._ask(new)))
+        for piece, runs in zip(pieces, cut):
+            if len(runs) != 1:
+                self.known[piece] = b"".join([self.known[run] for run in runs])
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text of a string column without nulls."""
+        texts = texts.cast(pa.large_string())
+        held = np.frombuffer(texts.buffers()[1], dtype=np.int64)
+        held = held[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[held[0] : held[-1]]
+        starts = held - held[0]
+        whole = [i for i in _suspects(data, starts) if not _safe_to_cut(texts[i].as_py())]
+
+        cuts = np.flatnonzero(_first_of_piece(data, starts))
+        spans = np.searchsorted(cuts, starts)
+        pieces = pa.LargeStringArray.from_buffers(
+            len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data))
+        )
+        kept = _CLASS[data[cuts[:-1]]] != _SPACE
+        for i in whole:
+            kept[spans[i] : spans[i + 1]] = False
+        coded = pieces.filter(pa.array(kept)).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(self.known) > self.stored:
+            self.known.clear()
+        self._learn(list(set(distinct).difference(self.known)))
+        found = [self.known[piece] for piece in distinct]
+
+        # Lay the ids of the pieces behind each other, in the order of the texts.
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        begins = np.cumsum(sizes) - sizes
+        codes = coded.indices.to_numpy()
+        lengths = np.zeros(len(pieces), dtype=np.int64)
+        lengths[kept] = sizes[codes]
+        stops = np.concatenate([[0], np.cumsum(lengths)])
+        shift = np.repeat(begins[codes] - stops[:-1][kept], lengths[kept])
+        ids = np.frombuffer(b"".join(found), dtype="<u4")[shift + np.arange(stops[-1])]
+        flat, bounds = ids.tobytes(), (stops[spans] * 4).tolist()
+        encoded = [flat[a:b] for a, b in zip(bounds, bounds[1:])]
+        for i in whole:
+            encoded[i] = self._whole([texts[i].as_py()])[0]
+        return encoded
+
+
+def _first_of_piece(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where to cut: at runs, but a word with a sign that needs a look stays whole.
+
+    Those are the apostrophe, signs of two bytes that are no letters, and longer ones.
+    """
+    kind = _CLASS[data]
+    first = np.ones(len(data) + 1, dtype=bool)
+    first[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    if len(data):
+        after = np.append(data[1:], 0)
+        look = (data == 0x27) | (data == 0xC2) | (data >= 0xCA)
+        look |= (data == 0xC3) & ((after == 0x97) | (after == 0xB7))
+        word = np.zeros(len(data) + 1, dtype=bool)
+        word[1:-1] = (kind[1:] == _SPACE) != (kind[:-1] == _SPACE)
+        word[starts] = True
+        number = np.cumsum(word[:-1], dtype=np.int32)
+        keep_whole = np.zeros(int(number[-1]) + 1, dtype=bool)
+        keep_whole[number[look]] = True
+        first[:-1] &= word[:-1] | ~keep_whole[number]
+    first[starts] = True
+    return first
+
+
+def _suspects(data: np.ndarray, starts: np.ndarray) -> list[int]:
+    """Texts with bytes that may stand for signs that are not safe to cut."""
+    if not len(data):
+        return []
+    after = np.append(data[1:], 0)
+    odd = (data >= 0xC4) & ((data >= 0xC9) | ((data == 0xC4) & (after == 0xB0)))
+    odd |= (data >= 0x1C) & (data <= 0x1F)
+    odd |= (data == ord("<")) & (after == ord("|"))
+    return np.unique(np.searchsorted(starts, np.flatnonzero(odd), side="right") - 1).tolist()
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One for each worker, so that words met in one task are known in the next."""
+    return Encoder(path)
