@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import ann_vp, mixing, orc_ids, packing, simhash_vp, toxicity, viterbi
+from millrace.llm import ann_vp, fingerprints, mixing, orc_ids, packing, simhash_vp, toxicity, viterbi
 from millrace.session import fresh_path
 from millrace.sources.tables import table
 
@@ -34,6 +34,10 @@ def op7_ann_vp(spark: SparkSession, folder: str) -> DataFrame:
     return ann_vp.nearest(table(spark, folder, "embeddings"), asks, k=5, factor=1.0)
 
 
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.document_fingerprints(table(spark, folder, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return viterbi.token_counts(table(spark, folder, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op5_simhash_vp": (op5_simhash_vp, None),
     "op6_toxicity": (op6_toxicity, None),
     "op7_ann_vp": (op7_ann_vp, None),
+    "op8_fingerprints": (op8_fingerprints, None),
     "op9_token_counts": (op9_token_counts, None),
     "op10_mixing": (op10_mixing, None),
 }
