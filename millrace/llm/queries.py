@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import ann_vp, fingerprints, mixing, orc_ids, packing, simhash_vp, toxicity, viterbi
+from millrace.llm import ann_vp, fingerprints, mixing, orc_ids, packing, pii, quotes, simhash_vp, toxicity, viterbi
 from millrace.session import fresh_path
 from millrace.sources.tables import table
 
@@ -14,6 +14,14 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data(table(spark, folder, "documents"))
+
+
+def op3_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    return quotes.linked(table(spark, folder, "conversations"))
+
+
 def op4_orc_ids(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "ids-orc")
     orc_ids.write_ids(table(spark, folder, "documents"), path)
@@ -48,6 +56,8 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": (op1_packing, None),
+    "op2_pii": (op2_pii, None),
+    "op3_quotes": (op3_quotes, None),
     "op4_orc_ids": (op4_orc_ids, None),
     "op5_simhash_vp": (op5_simhash_vp, None),
     "op6_toxicity": (op6_toxicity, None),
