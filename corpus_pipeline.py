@@ -1,24 +1,53 @@
-"""Documents to packed sequences: one stage after another over stored tables."""
+"""Documents to packed sequences: one stage after another over stored tables.
+
+Toxic documents go, one document of each group of near-duplicates stays,
+personal data is masked, sources are mixed to their weights (a document that is
+taken twice is two rows from there on), and the texts are packed.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import packing
+from millrace.llm import mixing, packing, pii, simhash_vp, toxicity
 from millrace.llm.common import stored
 from millrace.sources.tables import table
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash_vp.without_near_duplicates(docs, shingle=4, radius=4)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.without_personal_data(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(docs)
+
+
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES = [("packing", pack_documents)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near duplicates", drop_near_duplicates),
+    ("personal data", mask_personal_data),
+    ("mixing", mix_sources),
+    ("packing", pack_documents),
+]
+# Fingerprints, votes of neighbours and sampling have no SQL form; the tests
+# compare the stages with plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,8 +3,8 @@
 The tokenizer drops white space, and cuts the rest into runs of letters, single
 digits, runs of other signs and a few endings such as ``'s`` before it looks up
 anything. Words and runs repeat far more often than they are new, so each worker
-keeps the ids of those it has met and calls the tokenizer for new runs only. A
-store is emptied when it is full, which costs time but never changes a result.
+keeps the ids of those it has met lately and calls the tokenizer for others only;
+what it still keeps costs time but never changes a result.
 Texts with characters for which cutting first could differ (combining marks,
 scripts beyond Latin, names of special tokens) go to the tokenizer whole.
 """
@@ -23,7 +23,7 @@ import pyarrow as pa
 
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-STORED = 400_000
+STORED = 300_000
 ASK_RUNS = 32
 
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
@@ -55,6 +55,10 @@ _CLASS = np.full(256, _OTHER, dtype=np.uint8)
 _CLASS[[9, 10, 11, 12, 13, 32]] = _SPACE
 _CLASS[[b for b in range(256) if b >= 0x80 or chr(b).isalpha()]] = _LETTER
 _CLASS[list(b"0123456789")] = _DIGIT
+_LOOK = np.zeros(256, dtype=bool)
+_LOOK[[0x27, 0xC2, *range(0xCA, 256)]] = True
+_ODD = (b"<|", b"\x1c", b"\x1d", b"\x1e", b"\x1f", "İ".encode())
+_TIMES = ("×".encode(), "÷".encode())
 
 
 class Encoder:
@@ -66,7 +70,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.stored = stored
+        # Runs met lately, and those met before them; each of ``stored`` at most.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends_run = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_run[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
@@ -87,13 +93,33 @@ class Encoder:
         stops = stops.tolist()
         return [held[a:b] for a, b in zip([0, *stops], stops)]
 
-    def _learn(self, pieces: list[str]) -> None:
-        cut = [_RUNS.findall(piece) for piece in pieces]
-        new = list(set(chain.from_iterable(cut)).difference(self.known))
-        self.known.update(zip(new, self._ask(new)))
-        for piece, runs in zip(pieces, cut):
-            if len(runs) != 1:
-                self.known[piece] = b"".join([self.known[run] for run in runs])
+    def _ids_of(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces: a run each, or a word that needs a look."""
+        if len(self.known) > self.stored:
+            self.known, self.older = {}, self.known
+        found = list(map(self.known.get, pieces))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        for i in missing:
+            found[i] = self.older.get(pieces[i])
+        missed = [pieces[i] for i in missing]
+        self.known.update(
+            (piece, found[i]) for i, piece in zip(missing, missed) if found[i] is not None
+        )
+        missing = [i for i in missing if found[i] is None]
+        # Letters alone are one run.
+        runs = [i for i in missing if pieces[i].isalpha()]
+        words = [i for i in missing if not pieces[i].isalpha()]
+        cut = [_RUNS.findall(pieces[i]) for i in words]
+        parts = list(set(chain.from_iterable(cut)))
+        asked = [pieces[i] for i in runs] + parts
+        answers = self._ask(asked)
+        for i, ids in zip(runs, answers):
+            found[i] = ids
+        ids_of_part = dict(zip(parts, answers[len(runs) :]))
+        for i, each in zip(words, cut):
+            found[i] = b"".join([ids_of_part[part] for part in each])
+        self.known.update((pieces[i], found[i]) for i in missing)
+        return found
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text of a string column without nulls."""
@@ -113,11 +139,7 @@ class Encoder:
         for i in whole:
             kept[spans[i] : spans[i + 1]] = False
         coded = pieces.filter(pa.array(kept)).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.known) > self.stored:
-            self.known.clear()
-        self._learn(list(set(distinct).difference(self.known)))
-        found = [self.known[piece] for piece in distinct]
+        found = self._ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
 
         # Lay the ids of the pieces behind each other, in the order of the texts.
         sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
@@ -160,7 +182,8 @@ def _first_of_piece(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def _suspects(data: np.ndarray, starts: np.ndarray) -> list[int]:
     """Texts with bytes that may stand for signs that are not safe to cut."""
-    if not len(data):
+    held = data.tobytes()
+    if not len(data) or (data.max() < 0xC9 and not any(sign in held for sign in _ODD)):
         return []
     after = np.append(data[1:], 0)
     odd = (data >= 0xC4) & ((data >= 0xC9) | ((data == 0xC4) & (after == 0xB0)))
@@ -169,6 +192,32 @@ def _suspects(data: np.ndarray, starts: np.ndarray) -> list[int]:
     return np.unique(np.searchsorted(starts, np.flatnonzero(odd), side="right") - 1).tolist()
 
 
+def _first_of_piece(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where to cut: at runs, but a word with a sign that needs a look stays whole.
+
+    Those are the apostrophe, signs of two bytes that are no letters, and longer ones.
+    """
+    kind = _CLASS[data]
+    first = np.ones(len(data) + 1, dtype=bool)
+    first[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    look = _LOOK[data]
+    held = data.tobytes()
+    if any(sign in held for sign in _TIMES):
+        after = np.append(data[1:], 0)
+        look |= (data == 0xC3) & ((after == 0x97) | (after == 0xB7))
+    if look.any():
+        space = kind == _SPACE
+        word = np.zeros(len(data) + 1, dtype=bool)
+        word[1:-1] = space[1:] != space[:-1]
+        word[starts] = True
+        number = np.cumsum(word[:-1], dtype=np.int32)
+        keep_whole = np.zeros(int(number[-1]) + 1, dtype=bool)
+        keep_whole[number[look]] = True
+        first[:-1] &= word[:-1] | ~keep_whole[number]
+    first[starts] = True
+    return first
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One for each worker, so that words met in one task are known in the next."""
