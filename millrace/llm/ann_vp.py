@@ -146,15 +146,14 @@ def nearest(
     """
     if factor < 1:
         raise ValueError("factor must be at least 1")
-    keyed = with_row_keys(vectors, "vectors").filter(
-        F.col(id_col).isNotNull() & usable(vector_col)
-    )
+    keyed, keys = with_row_keys(vectors, "vectors")
+    keyed = keyed.filter(F.col(id_col).isNotNull() & usable(vector_col))
     rows = stored(
         keyed.select(
             F.col(id_col).cast("bigint").alias("id"),
             F.col(vector_col).cast("array<double>").alias("vector"),
             F.size(vector_col).alias("length"),
-            F.xxhash64("row_file", "row_number").alias("row"),
+            F.xxhash64(*keys).alias("row"),
             F.coalesce(is_query, F.lit(False)).alias("asks"),
         ),
         "vectors-usable",
@@ -166,9 +165,9 @@ def nearest(
         every = F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other)
         return df.withColumn(own, F.pmod("row", F.lit(parts)).cast("int")).select("*", every)
 
-    keys = ["length", "shard", "block"]
-    held = dealt(rows.drop("asks"), "shard", shards, "block", blocks).groupBy(keys)
-    asked = dealt(rows.filter("asks").drop("asks"), "block", blocks, "shard", shards).groupBy(keys)
+    task = ["length", "shard", "block"]
+    held = dealt(rows.drop("asks"), "shard", shards, "block", blocks).groupBy(task)
+    asked = dealt(rows.filter("asks").drop("asks"), "block", blocks, "shard", shards).groupBy(task)
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         columns = [pa.array([], pa.int64())] * 3 + [pa.array([], pa.float64())]

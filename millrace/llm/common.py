@@ -8,7 +8,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from millrace.session import fresh_path
 
@@ -55,17 +54,33 @@ def text_chunks(
         yield batch, column.to_pylist()
 
 
-def with_row_keys(docs: DataFrame, label: str) -> DataFrame:
-    """The rows with ``row_file`` and ``row_number``, which name each row for good.
+def fresh_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores before it if the frame has it already."""
+    taken = {name.lower() for name in df.columns}
+    fresh = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        fresh.append(name)
+    return fresh
 
-    Rows read from Parquet have them already; others are stored first. Equal
-    rows get different keys, and a retried task gets the same ones.
+
+def with_row_keys(docs: DataFrame, label: str) -> tuple[DataFrame, list[str]]:
+    """The rows with two more columns that name each row for good, and their names.
+
+    They are the file and the place in it. Rows read from Parquet have them
+    already; others are stored first. Equal rows get different keys, and a
+    retried task gets the same ones.
     """
-    keys = [
-        F.col("_metadata.file_path").alias("row_file"),
-        F.col("_metadata.row_index").alias("row_number"),
-    ]
+    names = fresh_names(docs, "row_file", "row_number")
+
+    def keyed(df: DataFrame) -> DataFrame:
+        row = df.metadataColumn("_metadata")
+        return df.select(
+            "*", row["file_path"].alias(names[0]), row["row_index"].alias(names[1])
+        )
+
     try:
-        return docs.select("*", *keys)
+        return keyed(docs), names
     except AnalysisException:
-        return stored(docs, label).select("*", *keys)
+        return keyed(stored(docs, label)), names

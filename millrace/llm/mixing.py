@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored, with_row_keys
+from millrace.llm.common import fresh_names, stored, with_row_keys
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_ROWS = 2048
@@ -235,19 +235,21 @@ def mixture(docs: DataFrame, **how) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The documents as often as the mixture takes them, with their own columns only."""
-    keyed = with_row_keys(docs, "mix-docs")
+    keyed, keys = with_row_keys(docs, "mix-docs")
     narrow = keyed.select(
         "doc_id",
         F.col("source").cast("string").alias("source"),
         word_count(F.col("text")).alias("size"),
-        "row_file",
-        "row_number",
+        *[F.col(key).alias(f"key_{i}") for i, key in enumerate(keys)],
     )
+    (copy,) = fresh_names(keyed, "copy_of_row")
     taken = (
         mix(stored(narrow, "mix-sizes"), **how)
         .filter(F.col("copies") > 0)
-        .select("row_file", "row_number", F.sequence(F.lit(1), F.col("copies")).alias("copies"))
+        .select(
+            *[F.col(f"key_{i}").alias(key) for i, key in enumerate(keys)],
+            F.sequence(F.lit(1), F.col("copies")).alias(copy),
+        )
     )
-    return keyed.join(taken, ["row_file", "row_number"]).select(
-        *docs.columns, F.explode("copies").alias("copy_of_row")
-    ).drop("copy_of_row")
+    joined = keyed.join(taken, keys)
+    return joined.withColumn(copy, F.explode(copy)).select(*docs.columns)

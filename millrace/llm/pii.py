@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored, text_chunks, with_row_keys
+from millrace.llm.common import fresh_names, stored, text_chunks, with_row_keys
 
 KINDS = ("email", "ip", "card", "phone")
 SPAN = "array<struct<kind:string,start:bigint,stop:bigint>>"
@@ -287,16 +287,15 @@ def listed(spans: str) -> Column:
     return F.concat_ws(",", F.concat(*map(shown, KINDS)))
 
 
-def with_spans(docs: DataFrame, label: str, **how) -> tuple[DataFrame, DataFrame]:
-    """The documents with row keys, and a row for each with base and more spans."""
-    keys = ["row_file", "row_number"]
-    keyed = with_row_keys(docs, f"{label}-docs")
-    found = stored(found_in(keyed, ["doc_id", *keys], "text"), f"{label}-found")
+def with_spans(docs: DataFrame, **how) -> tuple[DataFrame, list[str], DataFrame]:
+    """The documents with row keys, the keys, and a row for each with base and more spans."""
+    keyed, keys = with_row_keys(docs, "pii-docs")
+    found = stored(found_in(keyed, ["doc_id", *keys], "text"), "pii-found")
     more = discovered(keyed, found, keys, **how)
     joined = found.join(more, keys, "left").select(
         "doc_id", *keys, "base", F.coalesce("more", F.array().cast(SPAN)).alias("more")
     )
-    return keyed, joined
+    return keyed, keys, joined
 
 
 def personal_data(docs: DataFrame, **how) -> DataFrame:
@@ -306,7 +305,7 @@ def personal_data(docs: DataFrame, **how) -> DataFrame:
     those by rule. A null text is empty and has none; repeated rows come back
     each on its own; an empty table gives no rows.
     """
-    _, spans = with_spans(docs, "pii", **how)
+    _, _, spans = with_spans(docs, **how)
     counts = [F.size(of_kind("base", k)).cast("bigint").alias(f"n_{k}") for k in KINDS]
     return spans.select(
         "doc_id",
@@ -331,18 +330,16 @@ def without_personal_data(docs: DataFrame, **how) -> DataFrame:
 
     A null text stays null.
     """
-    keys = ["row_file", "row_number"]
-    keyed, spans = with_spans(docs, "pii", **how)
-    some = spans.select(*keys, F.concat("base", "more").alias("masked_spans")).filter(
-        F.size("masked_spans") > 0
-    )
-    rows = keyed.join(some, keys, "left").select(*docs.columns, "masked_spans")
+    keyed, keys, spans = with_spans(docs, **how)
+    (column,) = fresh_names(keyed, "masked_spans")
+    some = spans.select(*keys, F.concat("base", "more").alias(column)).filter(F.size(column) > 0)
+    rows = keyed.join(some, keys, "left").select(*docs.columns, column)
     names = docs.columns
 
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
-            found = batch.column("masked_spans").to_pylist()
+            found = batch.column(column).to_pylist()
             new = [
                 t if not spans else masked(t, [(s["start"], s["stop"], s["kind"]) for s in spans])
                 for t, spans in zip(texts.to_pylist(), found)

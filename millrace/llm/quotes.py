@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import stored
 
-MARKS = r"^[ \t]*(>[ \t]*)+"
+MARKS = r"^[> \t]*"
 NEW_LINE = r"\r\n|\r|\n"
 # A line such as "On Monday X wrote:" right above a quote belongs to the quote.
 INTRODUCTION = r"(?m)^[^\r\n>]*\bwrote:[ \t]*(\r\n|\r|\n)(?=[ \t]*>)"
@@ -86,7 +86,7 @@ def own_passages(own: DataFrame, wanted: DataFrame) -> DataFrame:
     """
     asked = wanted.select("conv_id").distinct()
     texts = own.join(asked, "conv_id", "left_semi")
-    paragraphs = F.split("own", rf"({NEW_LINE})[ \t]*({NEW_LINE})+")
+    paragraphs = F.split("own", rf"({NEW_LINE})[ \t]*({NEW_LINE})[\r\n]*")
     lines = F.split("own", NEW_LINE)
     return (
         texts.select(

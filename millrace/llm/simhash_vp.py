@@ -253,9 +253,9 @@ def without_near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4)
     Among rows with that id the first in the table's files stays; a null id
     stays only where the group has no other.
     """
-    keyed = with_row_keys(docs, "dedup-docs")
-    keep = ["doc_id", "row_file", "row_number"]
-    found = _classes(keyed, shingle, radius, keep, "text")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), *keep)).alias("first")
-    kept = found.groupBy("root").agg(first).select("first.row_file", "first.row_number")
-    return keyed.join(kept, ["row_file", "row_number"], "left_semi").select(*docs.columns)
+    keyed, keys = with_row_keys(docs, "dedup-docs")
+    found = _classes(keyed, shingle, radius, ["doc_id", *keys], "text")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", *keys)
+    firsts = found.groupBy("root").agg(F.min(order).alias("first"))
+    kept = firsts.select(*[F.col("first")[key].alias(key) for key in keys])
+    return keyed.join(kept, keys, "left_semi").select(*docs.columns)

@@ -307,9 +307,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **how)
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **how) -> DataFrame:
     """The documents that score below ``threshold``, with their own columns only."""
-    keyed = with_row_keys(docs, "toxicity-docs")
-    rejected = scored(keyed, labels, ("row_file", "row_number"), **how).filter(
-        F.col("score") >= threshold
-    )
-    keys = ["row_file", "row_number"]
+    keyed, keys = with_row_keys(docs, "toxicity-docs")
+    rejected = scored(keyed, labels, tuple(keys), **how).filter(F.col("score") >= threshold)
     return keyed.join(rejected.select(*keys), keys, "left_anti").select(*docs.columns)

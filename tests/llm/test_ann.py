@@ -1,0 +1,104 @@
+"""Nearest neighbours against all cosines."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import ann_vp
+from millrace.llm.queries import QUERIES
+
+SMALL = "/root/testdata/sf0.001"
+SCHEMA = "vec_id bigint, embedding array<float>, score string, row string, shard int"
+
+
+def plain(rows, asks, k=5):
+    """(query, rank, id) and cosines over rows (id, vector or null)."""
+    usable = []
+    for place, (i, vector) in enumerate(rows):
+        if i is None or vector is None or any(x is None or not np.isfinite(x) for x in vector):
+            continue
+        x = np.array(vector, dtype=np.float64)
+        if x.any():
+            usable.append((place, i, x))
+    found = []
+    for place, i, x in usable:
+        if not asks(i):
+            continue
+        scores = []
+        for other, j, y in usable:
+            if other != place and len(y) == len(x):
+                scale = np.sqrt((x * x).sum()) * np.sqrt((y * y).sum())
+                scores.append((-round(float((x * y).sum() / scale), 12), j))
+        found += [(i, rank, j, -s) for rank, (s, j) in enumerate(sorted(scores)[:k], 1)]
+    return sorted(found)
+
+
+def check(found, wanted):
+    rows = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found)
+    assert [r[:3] for r in rows] == [w[:3] for w in wanted]
+    assert np.allclose([r[3] for r in rows], [w[3] for w in wanted], atol=1e-11)
+
+
+def test_query(spark):
+    rows = [tuple(r)[:2] for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()]
+    check(QUERIES["op7_ann_vp"][0](spark, SMALL).collect(), plain(rows, lambda i: i % 50 == 0))
+
+
+def vectors(n=900, dim=6, seed=0):
+    random_ = np.random.default_rng(seed)
+    near = random_.normal(size=(12, dim))
+    rows = near[random_.integers(0, 12, n)] + 0.2 * random_.normal(size=(n, dim))
+    return [(i, np.float32(row).tolist()) for i, row in enumerate(rows)]
+
+
+@pytest.mark.parametrize("shard_rows, query_rows", [(100, 5), (10_000, 10_000)])
+def test_shards_and_blocks_lose_nothing(spark, shard_rows, query_rows):
+    rows = vectors()
+    frame = spark.createDataFrame([(*r, "x", "y", 1) for r in rows], SCHEMA)
+    found = ann_vp.nearest(
+        frame, F.col("vec_id") % 20 == 0, shard_rows=shard_rows, query_rows=query_rows
+    )
+    check(found.collect(), plain(rows, lambda i: i % 20 == 0))
+
+
+def test_ties_copies_and_unusable_vectors(spark):
+    same = [0.5, 0.25, -1.0, 2.0]
+    rows = [(i, same) for i in range(400, 0, -1)]
+    rows += [(i, [x * 2.0 for x in same]) for i in range(401, 500)]
+    rows += [(500, None), (501, [0.0] * 4), (502, [1.0, None, 0.0, 0.0]), (503, [float("nan")] * 4)]
+    rows += [(504, [float("inf"), 0.0, 0.0, 0.0]), (505, []), (None, same), (550, [1.0, 2.0])]
+    rows += [(50, [1.0, 0.0, 0.0, 0.0]), (50, same), (600, [1e-30, 0.0, 0.0, 1e-30])]
+    frame = spark.createDataFrame([(*r, "x", "y", 1) for r in rows], SCHEMA)
+    found = ann_vp.nearest(frame, F.col("vec_id") % 50 == 0, shard_rows=64, query_rows=2)
+    check(found.collect(), plain(rows, lambda i: i % 50 == 0))
+
+
+def test_fewer_candidates_than_asked_for(spark):
+    rows = vectors(3)
+    frame = spark.createDataFrame([(*r, "x", "y", 1) for r in rows], SCHEMA)
+    check(ann_vp.nearest(frame, F.lit(True)).collect(), plain(rows, lambda i: True))
+    assert ann_vp.nearest(frame.limit(0), F.lit(True)).count() == 0
+    assert ann_vp.nearest(frame, F.lit(None).cast("boolean")).count() == 0
+
+
+def test_factor_trades_recall_for_work():
+    rows = np.array([v for _, v in vectors(3000, 8, 1)], dtype=float)
+    ids = np.arange(len(rows))
+    asked = ids[::30]
+    wanted = None
+    visits = []
+    for factor in (1.0, 1.5, 3.0):
+        search = ann_vp.Search(rows, ids, ids, 5, factor)
+        seen = []
+        leaf = search.leaf
+        search.leaf = lambda r, a, leaf=leaf, seen=seen: (seen.append(len(a)), leaf(r, a))
+        q, r, _ = search.run(rows[asked], asked)
+        found = set(zip(q.tolist(), r.tolist()))
+        wanted = wanted or found
+        visits.append(sum(seen))
+        assert len(found & wanted) >= 0.5 * len(wanted)
+    assert visits[0] > visits[1] > visits[2]
+    with pytest.raises(ValueError):
+        ann_vp.nearest(None, None, factor=0.5)

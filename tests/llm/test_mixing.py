@@ -1,0 +1,125 @@
+"""Balanced mixing: targets by plain arithmetic, the sample by its properties."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+from millrace.llm import mixing
+from millrace.llm.queries import QUERIES
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def plain_targets(sizes, weights=(3, 1, 2), share=1.5, most=2.0):
+    """Share out by weight, cap, share the excess again until no target is above."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {name: weights[i % len(weights)] for i, name in enumerate(names)}
+    cap = {name: most * sizes[name] for name in names}
+    open_, targets, rest = set(names), {}, share * sum(sizes.values())
+    while open_:
+        whole = sum(weight[n] for n in open_)
+        full = {n for n in open_ if rest * weight[n] / whole >= cap[n]}
+        if not full:
+            targets |= {n: rest * weight[n] / whole for n in open_}
+            break
+        targets |= {n: cap[n] for n in full}
+        rest -= sum(cap[n] for n in full)
+        open_ -= full
+    return targets
+
+
+def words(text):
+    return len((text or "").encode().split())
+
+
+def check(rows, docs, near):
+    """Rows against the documents (doc_id, text, source)."""
+    wanted = Counter((d[0], words(d[1])) for d in docs)
+    assert Counter((r.doc_id, r.size) for r in rows) == wanted
+    sizes = defaultdict(int)
+    for _, text, source in docs:
+        sizes[source] += words(text)
+    targets = plain_targets(sizes)
+    taken = defaultdict(int)
+    for row in rows:
+        assert row.source_size == sizes[row.source]
+        assert row.target == pytest.approx(targets[row.source], rel=1e-9, abs=1e-9)
+        assert row.taken in {0, row.size, 2 * row.size}
+        taken[row.source] += row.taken
+    for source, target in targets.items():
+        assert abs(taken[source] - target) <= near(source)
+
+
+def test_query(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "source")
+    rows = QUERIES["op10_mixing"][0](spark, SMALL).collect()
+    largest = defaultdict(int)
+    for doc in docs.collect():
+        largest[doc.source] = max(largest[doc.source], words(doc.text))
+    check(rows, [tuple(d) for d in docs.collect()], lambda s: max(20, 0.3 * largest[s]))
+    again = QUERIES["op10_mixing"][0](spark, SMALL).collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
+
+
+def test_reruns_agree_however_the_rows_are_dealt(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    one = mixing.mixture(docs.repartition(7)).collect()
+    other = mixing.mixture(docs.coalesce(1).orderBy("n_chars")).collect()
+    assert sorted(map(tuple, one)) == sorted(map(tuple, other))
+
+
+def test_many_blocks_meet_their_targets(spark):
+    random_ = random.Random(1)
+    rows = [(i, f"s{min(3, i % 9)}", random_.randint(0, 900)) for i in range(4000)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, source string, size bigint")
+    mixed = mixing.mix(frame, block_rows=16).collect()
+    assert Counter((r.doc_id, r.source, r.size) for r in mixed) == Counter(rows)
+    taken, target, copies, expected = (defaultdict(float) for _ in range(4))
+    for row in mixed:
+        taken[row.source] += row.copies * row.size
+        target[row.source] = row.target
+        copies[row.source] += row.copies
+        expected[row.source] += row.target / row.source_size
+        assert 0 <= row.copies <= 2
+    for source in target:
+        assert abs(taken[source] - target[source]) < 10
+        assert abs(copies[source] - expected[source]) < 10
+
+
+def test_sampling_follows_the_fractions(spark):
+    """Over seeds each document is taken as often as its source's rate says."""
+    rows = [(i, "a" if i < 40 else "b", 10 + i) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, source string, size bigint").coalesce(1)
+    total, seeds = Counter(), 6
+    for seed in range(seeds):
+        for row in mixing.mix(frame, seed=seed).collect():
+            total[row.doc_id] += row.copies
+            rate = row.target / row.source_size
+            if row.source == "b":
+                rate_b = rate
+    mean = sum(total[i] for i in range(40, 60)) / 20 / seeds
+    assert mean == pytest.approx(rate_b, abs=0.15)
+
+
+def test_odd_rows(odd, odd_rows, nothing):
+    rows = mixing.mixture(odd).collect()
+    docs = [(r[0], r[1], r[3]) for r in odd_rows]
+    check(rows, docs, lambda s: 120_000)
+    assert mixing.mixture(nothing).count() == 0
+    kept = mixing.mixed_documents(odd)
+    assert kept.columns == odd.columns
+    known = Counter(odd_rows)
+    for row, count in Counter(map(tuple, kept.collect())).items():
+        assert count <= 2 * known[row]
+    assert mixing.mixed_documents(nothing).count() == 0
+
+
+def test_only_empty_documents(spark):
+    rows = [(i, "", f"s{i % 2}") for i in range(6)] + [(9, None, None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = mixing.mixture(frame).collect()
+    assert len(found) == 7
+    assert all((r.size, r.target, r.taken) == (0, 0.0, 0) for r in found)

@@ -1,0 +1,224 @@
+"""Near-duplicates by SimHash, components, and document fingerprints."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from millrace.llm import fingerprints, simhash_vp
+from millrace.llm.components import component_roots
+from millrace.llm.queries import QUERIES
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def plain_print(text, shingle=4):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    parts = [b" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))]
+    hashes = [xxhash.xxh64_intdigest(part, 42) for part in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(prints, ids, radius=4):
+    """Component number of each row: the smallest id reachable, null if none."""
+    parent = list(range(len(prints)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(prints)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= radius:
+                parent[find(i)] = find(j)
+    least = defaultdict(lambda: None)
+    for i, doc_id in enumerate(ids):
+        root = find(i)
+        if doc_id is not None and (least[root] is None or doc_id < least[root]):
+            least[root] = doc_id
+    return [least[find(i)] for i in range(len(prints))], [find(i) for i in range(len(prints))]
+
+
+def key(row):
+    return tuple((x is not None, x) for x in row)
+
+
+def test_near_duplicates_of_odd_rows(odd, odd_rows):
+    prints = [plain_print(row[1]) for row in odd_rows]
+    ids = [row[0] for row in odd_rows]
+    wanted = sorted(zip(ids, prints, plain_components(prints, ids)[0]), key=key)
+    rows = simhash_vp.near_duplicates(odd).collect()
+    found = [(r.doc_id, r.fp % (1 << 64), r.component_id) for r in rows]
+    assert sorted(found, key=key) == wanted
+
+
+def test_query_against_all_pairs(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    prints = [plain_print(d.text) for d in docs]
+    ids = [d.doc_id for d in docs]
+    wanted = sorted(zip(ids, (f"{p:016x}" for p in prints), plain_components(prints, ids)[0]))
+    rows = QUERIES["op5_simhash_vp"][0](spark, SMALL).collect()
+    assert sorted((r.doc_id, r.fingerprint, r.component_id) for r in rows) == wanted
+
+
+def test_one_of_each_group_stays(odd, odd_rows, nothing):
+    kept = simhash_vp.without_near_duplicates(odd)
+    assert kept.columns == odd.columns
+    prints = [plain_print(row[1]) for row in odd_rows]
+    _, roots = plain_components(prints, [row[0] for row in odd_rows])
+    groups = defaultdict(list)
+    for row, root in zip(odd_rows, roots):
+        groups[root].append(row)
+    by_text = {row[1]: root for row, root in zip(odd_rows, roots)}
+    found = kept.collect()
+    assert len(found) == len(groups)
+    for row in found:
+        ids = [r[0] for r in groups[by_text[row.text]]]
+        named = [i for i in ids if i is not None]
+        assert row.doc_id == (min(named) if named else None)
+    assert simhash_vp.without_near_duplicates(nothing).count() == 0
+    assert simhash_vp.near_duplicates(nothing).count() == 0
+
+
+@pytest.mark.parametrize("radius", [0, 1, 4, 7])
+def test_links_lose_no_pair(spark, radius):
+    random_ = np.random.default_rng(radius)
+    centres = random_.integers(0, 1 << 63, 30, dtype=np.uint64)
+    near = [
+        c ^ np.uint64(sum(1 << int(b) for b in random_.choice(64, random_.integers(0, 6), False)))
+        for c in centres
+        for _ in range(40)
+    ]
+    # A chain, a dense ball of more points than a leaf holds, and extremes.
+    chain = [(1 << i) - 1 for i in range(64)]
+    ball = [0xFFFF << 40 ^ (1 << a) ^ (1 << b) for a in range(32) for b in range(a)]
+    values = sorted({int(x) for x in near} | set(chain) | set(ball) | {0, (1 << 64) - 1})
+    signed = [(v - (1 << 64) if v >> 63 else v,) for v in values]
+    links = simhash_vp.linked_prints(spark.createDataFrame(signed, "fp bigint"), radius)
+    edges = [(r.a % (1 << 64), r.b % (1 << 64)) for r in links.collect()]
+    assert all((a ^ b).bit_count() <= 64 for a, b in edges)
+    _, wanted = plain_components(values, range(len(values)), radius)
+    place = {v: i for i, v in enumerate(values)}
+    parent = list(range(len(values)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in edges:
+        parent[find(place[a])] = find(place[b])
+    found = [find(i) for i in range(len(values))]
+    assert len(set(zip(found, wanted))) == len(set(found)) == len(set(wanted))
+
+
+def test_components(spark):
+    random_ = random.Random(3)
+    chain = list(range(200))
+    random_.shuffle(chain)
+    pairs = list(zip(chain, chain[1:])) + [(1000, i) for i in range(1001, 1300)]
+    pairs += [(5000, 5000), (None, 3), (6000, 6001), (6001, 6000)]
+    found = component_roots(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()
+    roots = {r.node: r.root for r in found}
+    assert {roots[i] for i in range(200)} == {0}
+    assert {roots[i] for i in range(1000, 1300)} == {1000}
+    assert roots[6000] == roots[6001] == 6000
+    assert len(found) == 502 and 5000 not in roots
+    assert component_roots(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def spark_hash(spark, pairs):
+    """xxhash64 of word pairs, as the operator has them."""
+    frame = spark.createDataFrame(list(enumerate(pairs)), "i int, p struct<a:string,b:string>")
+    rows = frame.select("i", F.xxhash64("p.a", "p.b").alias("h")).collect()
+    return {pairs[r.i]: r.h % (1 << 64) for r in rows}
+
+
+def test_fingerprints_against_plain_votes(spark):
+    texts = ["One two  three TWO one\ttwo", "one", "", "a b " * 700 + "c", "x\ny " + "long" * 50]
+    pairs = []
+    for text in texts:
+        words = text.lower().split() or [""]
+        pairs.append(list(zip(words, [*words[1:], None])))
+    hashes = spark_hash(spark, sorted({p for each in pairs for p in each}, key=str))
+    wanted = []
+    for each in pairs:
+        weights = [min(16, len(a) + len(b or "") + 1) for a, b in each]
+        total = sum(weights)
+        wanted.append(
+            sum(
+                1 << bit
+                for bit in range(64)
+                if 2 * sum(w for w, p in zip(weights, each) if hashes[p] >> bit & 1) > total
+            )
+        )
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    found = {r.i: r.fp % (1 << 64) for r in fingerprints.fingerprints(frame, ["i"], "text").collect()}
+    assert [found[i] for i in range(len(texts))] == wanted
+
+
+def edited(texts, i):
+    quarter = len(texts[i]) // 4
+    return texts[i][: len(texts[i]) - quarter] + texts[(i + 1) % len(texts)][:quarter]
+
+
+def test_fingerprint_query(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    docs.sort(key=lambda d: d.doc_id)
+    texts = [d.text for d in docs]
+    rows = sorted(QUERIES["op8_fingerprints"][0](spark, SMALL).collect(), key=lambda r: r.doc_id)
+    assert [r.doc_id for r in rows] == [d.doc_id for d in docs]
+    assert [r.n_chars for r in rows] == [len(t) for t in texts]
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert [r.edited_sha256 for r in rows] == [digest(edited(texts, i)) for i in range(len(texts))]
+    prints = [int(r.fingerprint, 16) for r in rows]
+    by_text = defaultdict(set)
+    for text, p, row, after in zip(texts, prints, rows, prints[1:] + prints[:1]):
+        by_text[text].add(p)
+        apart = (p ^ int(row.edited_fingerprint, 16)).bit_count()
+        assert row.near_edited == 1 - apart / 64
+        assert row.near_next == 1 - (p ^ after).bit_count() / 64
+    assert max(map(len, by_text.values())) == 1
+    closer = sum(r.near_edited > r.near_next for r in rows)
+    assert closer > 0.95 * len(rows)
+
+
+def test_fingerprints_of_odd_rows(spark, odd, odd_rows, nothing):
+    rows = fingerprints.document_fingerprints(odd).collect()
+    assert sorted((r.n_chars for r in rows)) == sorted(len(r[1] or "") for r in odd_rows)
+    alone = spark.createDataFrame([(7, "just one short text here")], "doc_id bigint, text string")
+    row = fingerprints.document_fingerprints(alone).first()
+    assert row.near_next == 1.0 and row.n_chars == 24
+    assert row.edited_sha256 == hashlib.sha256(b"just one short tex" + b"just o").hexdigest()
+    assert fingerprints.document_fingerprints(nothing).count() == 0
+
+
+@pytest.mark.parametrize("radius", [0, 2, 3])
+def test_block_tables_find_all(spark, radius):
+    random_ = np.random.default_rng(1)
+    base = [int(x) for x in random_.integers(0, 1 << 63, 40, dtype=np.uint64)]
+    values = {b ^ sum(1 << int(i) for i in random_.choice(64, n, False)) for b in base for n in range(5)}
+    signed = [(v - (1 << 64) if v >> 63 else v,) for v in values] + [(None,)]
+    frame = spark.createDataFrame(signed, "fp bigint")
+    found = fingerprints.near_prints(frame, frame, radius).collect()
+    wanted = {
+        (a, b, (a ^ b).bit_count()) for a in values for b in values if (a ^ b).bit_count() <= radius
+    }
+    got = [(r.query_fp % (1 << 64), r.fp % (1 << 64), r.distance) for r in found]
+    assert len(got) == len(set(got)) and set(got) == wanted
+    assert fingerprints.near_prints(frame.limit(0), frame, radius).count() == 0
+
+
+def test_native_plan(odd, capsys):
+    fingerprints.fingerprints(odd, ["doc_id"], "text").explain()
+    plan = capsys.readouterr().out
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
