@@ -173,8 +173,13 @@ def training_rows(labels: DataFrame, target: str, examples: int) -> DataFrame:
     return drawn[0].unionByName(drawn[1])
 
 
-def vocabulary(train: DataFrame, size: int, least: float) -> list[str]:
-    """The terms whose presence tells the classes apart best (chi-square at least ``least``)."""
+def vocabulary(train: DataFrame, size: int, least: float, times: float) -> list[str]:
+    """The terms whose presence tells the classes apart best.
+
+    Their chi-square is at least ``least``, and they are ``times`` as frequent in
+    one class as in the other: words of a language or a subject that one class
+    merely has more of are left out.
+    """
 
     def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_chunks(batches):
@@ -191,9 +196,9 @@ def vocabulary(train: DataFrame, size: int, least: float) -> list[str]:
     n, toxic = map(float, totals.first())
     if not 0 < toxic < n:
         return []
-    both = F.col("both").cast("double")
-    off = both * n - F.col("seen") * toxic
-    chi = off * off * n / (F.col("seen") * (n - F.col("seen")) * toxic * (n - toxic))
+    both, seen = F.col("both").cast("double"), F.col("seen")
+    off = both * n - seen * toxic
+    chi = off * off * n / (seen * (n - seen) * toxic * (n - toxic))
     ranked = (
         train.select("text", "label")
         .mapInArrow(presence, "term string, label int")
@@ -201,7 +206,8 @@ def vocabulary(train: DataFrame, size: int, least: float) -> list[str]:
         .agg(F.count("*").cast("double").alias("seen"), F.sum("label").alias("both"))
         .filter((F.col("seen") >= 4) & (F.col("seen") < n))
         .withColumn("chi", chi)
-        .filter(F.col("chi") >= least)
+        .withColumn("odds", (both + 0.5) / toxic / ((seen - both + 0.5) / (n - toxic)))
+        .filter((F.col("chi") >= least) & ~F.col("odds").between(1 / times, times))
         .orderBy(F.col("chi").desc(), "term")
         .limit(size)
     )
@@ -234,6 +240,7 @@ def scored(
     examples: int = 6000,
     terms: int = 1000,
     chi_square: float = 25.0,
+    odds: float = 3.0,
     neighbours: int = 15,
 ) -> DataFrame:
     """The kept columns with ``score`` and ``evidence``, the nearest examples' ids.
@@ -248,7 +255,7 @@ def scored(
     drawn = training_rows(labels, target, examples)
     rows = docs.select("doc_id", "text").join(drawn, F.col("doc_id") == F.col("example_id"))
     train = stored(rows.select("text", F.col("label").cast("int").alias("label")), "toxic-train")
-    chosen = vocabulary(train, terms, chi_square)
+    chosen = vocabulary(train, terms, chi_square, odds)
     counted = stored(with_counts(docs, [*keep], chosen), "toxic-counts")
 
     seen = counted.select(F.explode("terms").alias("term")).groupBy("term").count().collect()
