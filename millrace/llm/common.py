@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 
 from millrace.session import fresh_path
 
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 8_000_000
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-STORED = 300_000
+STORED = 400_000
 ASK_RUNS = 32
 
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"

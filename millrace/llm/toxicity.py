@@ -232,6 +232,26 @@ def with_counts(docs: DataFrame, keep: list[str], terms: list[str]) -> DataFrame
     return narrow.mapInArrow(count, schema)
 
 
+def document_frequencies(counted: DataFrame, size: int) -> dict[int, int]:
+    """In how many of all documents each of the ``size`` terms occurs.
+
+    Added up within each task, which gives a row for each term at most.
+    """
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, dtype=np.int64)
+        for batch in batches:
+            total += np.bincount(batch.column("terms").flatten().to_numpy(), minlength=size)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(seen, pa.int32()), pa.array(total[seen])], names=["term", "documents"]
+        )
+
+    parts = counted.select("terms").mapInArrow(add, "term int, documents bigint")
+    rows = parts.groupBy("term").agg(F.sum("documents").alias("documents")).collect()
+    return {row["term"]: row["documents"] for row in rows}
+
+
 def scored(
     docs: DataFrame,
     labels: DataFrame,
@@ -258,11 +278,10 @@ def scored(
     chosen = vocabulary(train, terms, chi_square, odds)
     counted = stored(with_counts(docs, [*keep], chosen), "toxic-counts")
 
-    seen = counted.select(F.explode("terms").alias("term")).groupBy("term").count().collect()
-    total = counted.count()
+    seen, total = document_frequencies(counted, len(chosen)), counted.count()
     idf = np.full(len(chosen), math.log(1 + total) + 1)
-    for row in seen:
-        idf[row["term"]] = math.log((1 + total) / (1 + row["count"])) + 1
+    for term, documents in seen.items():
+        idf[term] = math.log((1 + total) / (1 + documents)) + 1
     known = labels.filter(F.col(target).isin(0, 1) & ~held_out("doc_id"))
     class_rows = dict(known.groupBy(target).count().collect())
     taken = dict(train.groupBy("label").count().collect())
