@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.numeric import to_int
 from millrace.operators.totals import first_match, leaders, top_groups, total_by
-from millrace.session import fresh_path
+from millrace.session import fresh_path, remove_path
 from millrace.sources.csv import write_csv
 from millrace.sources.tables import table
 from millrace.streaming.files import csv_stream, parquet_stream, run_to_parquet, run_to_table
 from millrace.streaming.totals import running_leaders, running_totals
 
+# The stream reports take the tables as so many files at least, a few a batch.
+ARRIVALS = 4
+FILES_PER_BATCH = 2
 AMOUNT = "l_quantity * l_extendedprice"
 
 
@@ -39,27 +44,36 @@ def best_days_csv_stream(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "lineitem").select(
         _day("l_shipdate"), "l_quantity", "l_extendedprice"
     )
-    write_csv(rows, path, rows_per_file=1_000_000)
-    stream = csv_stream(spark, f"{path}/*.csv", rows.schema)
+    write_csv(rows.repartition(ARRIVALS), path, rows_per_file=1_000_000)
+    stream = csv_stream(spark, f"{path}/*.csv", rows.schema, files_per_batch=FILES_PER_BATCH)
     best = running_leaders(stream, "day", AMOUNT)
-    return _to_cents(run_to_table(best, f"best_days_{uuid.uuid4().hex}"))
+    found = run_to_table(best, f"best_days_{uuid.uuid4().hex}", limit=10)
+    remove_path(spark, path)
+    return _to_cents(found)
 
 
-def event_days(spark: SparkSession, folder: str) -> DataFrame:
-    schema = table(spark, folder, "events").schema
-    # A stream reads a folder or a glob; the braces turn this one name into a glob.
-    stream = parquet_stream(spark, f"{folder}/{{events.parquet}}", schema)
-    return stream.select(_day("ts"), "value")
+@contextmanager
+def arriving_events(spark: SparkSession, folder: str) -> Iterator[DataFrame]:
+    """The events as files that arrive a few at a time; deleted at the end."""
+    path = fresh_path(spark, "events-arriving")
+    events = table(spark, folder, "events").select(_day("ts"), "value")
+    try:
+        events.repartition(ARRIVALS).write.parquet(path)
+        yield parquet_stream(spark, path, events.schema, files_per_batch=FILES_PER_BATCH)
+    finally:
+        remove_path(spark, path)
 
 
 def best_days_stream(spark: SparkSession, folder: str) -> DataFrame:
-    best = running_leaders(event_days(spark, folder), "day", "value")
-    return _to_cents(run_to_table(best, f"best_event_days_{uuid.uuid4().hex}"))
+    with arriving_events(spark, folder) as events:
+        best = running_leaders(events, "day", "value")
+        return _to_cents(run_to_table(best, f"best_event_days_{uuid.uuid4().hex}", limit=10))
 
 
 def daily_totals_stream(spark: SparkSession, folder: str) -> DataFrame:
-    totals = running_totals(event_days(spark, folder), "day", "value")
-    return _to_cents(run_to_parquet(totals, fresh_path(spark, "daily-totals")))
+    with arriving_events(spark, folder) as events:
+        totals = running_totals(events, "day", "value")
+        return _to_cents(run_to_parquet(totals, fresh_path(spark, "daily-totals")))
 
 
 def units_per_year(spark: SparkSession, folder: str) -> DataFrame:

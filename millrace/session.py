@@ -56,6 +56,12 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate data that nothing will read again."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no earlier run has used."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from millrace.session import fresh_path
+from millrace.session import fresh_path, remove_path
 
 
 def csv_stream(
@@ -17,32 +17,48 @@ def csv_stream(
     header: bool = True,
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """CSV files arriving under a folder or glob; a stream needs its schema given."""
+    """CSV files arriving under a folder or glob; a stream needs its schema given.
+
+    ``files_per_batch`` bounds what one batch reads, also when a backlog has
+    gathered; without it a batch takes all there is.
+    """
     reader = spark.readStream.schema(schema).option("sep", sep).option("header", header)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.csv(path)
 
 
-def parquet_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.readStream.schema(schema).parquet(path)
+def parquet_stream(
+    spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None
+) -> DataFrame:
+    """Parquet files arriving under a folder or glob; ``files_per_batch`` as for CSV."""
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
 
 
-def run_to_table(result: DataFrame, name: str, timeout: int | None = None) -> DataFrame:
+def run_to_table(
+    result: DataFrame, name: str, limit: int, timeout: int | None = None
+) -> DataFrame:
     """Read all files there are, keep the last complete result in memory.
 
-    The rows end up on the driver: for results bounded by a limit.
+    The rows end up on the driver, so there are ``limit`` of them at most; the
+    result should be sorted. The stream's state is deleted afterwards.
     """
     spark = result.sparkSession
+    state = fresh_path(spark, f"stream-{name}")
     query = (
-        result.writeStream.format("memory")
+        result.limit(limit)
+        .writeStream.format("memory")
         .queryName(name)
         .outputMode("complete")
-        .option("checkpointLocation", fresh_path(spark, f"stream-{name}"))
+        .option("checkpointLocation", state)
         .trigger(availableNow=True)
         .start()
     )
     _finish(query, timeout)
+    remove_path(spark, state)
     return spark.table(name)
 
 
@@ -72,8 +88,10 @@ def start_to_parquet(
 def run_to_parquet(result: DataFrame, path: str, timeout: int | None = None) -> DataFrame:
     """Read all files there are and return the last complete result."""
     spark = result.sparkSession
-    query = start_to_parquet(result, path, fresh_path(spark, "stream-state"))
+    state = fresh_path(spark, "stream-state")
+    query = start_to_parquet(result, path, state)
     _finish(query, timeout)
+    remove_path(spark, state)
     batches = [p["batchId"] for p in query.recentProgress if p["numInputRows"] > 0]
     if not batches:
         return spark.createDataFrame([], result.schema)
@@ -81,11 +99,16 @@ def run_to_parquet(result: DataFrame, path: str, timeout: int | None = None) ->
 
 
 def start_to_console(result: DataFrame, rows: int = 10) -> StreamingQuery:
-    """Print the leading rows of every complete result, for trying things out."""
+    """Print the leading rows of every complete result, for trying things out.
+
+    Only those rows reach the driver. State and offsets go to the shared folder.
+    """
     return (
-        result.writeStream.format("console")
+        result.limit(rows)
+        .writeStream.format("console")
         .outputMode("complete")
         .option("numRows", rows)
+        .option("checkpointLocation", fresh_path(result.sparkSession, "stream-console"))
         .start()
     )
 

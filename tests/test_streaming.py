@@ -1,16 +1,21 @@
 from __future__ import annotations
 
+import tempfile
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from millrace.operators.totals import ranked, top_groups, total_by
-from millrace.session import fresh_path
+from conftest import SMALL
+from millrace.plans.catalog import reports
+from millrace.session import fresh_path, shared_folder
 from millrace.sources.csv import infer_schema, read_csv, write_csv
 from millrace.streaming.files import (
     csv_stream,
+    parquet_stream,
     run_to_parquet,
     run_to_table,
     start_to_console,
@@ -40,7 +45,7 @@ def test_stream_equals_batch(spark, shards):
     for files in (None, 1):
         stream = csv_stream(spark, shards, schema, files_per_batch=files)
         best = running_leaders(stream, "ORDERDATE", AMOUNT)
-        found = run_to_table(best, f"best_{uuid.uuid4().hex}", timeout=120)
+        found = run_to_table(best, f"best_{uuid.uuid4().hex}", limit=10, timeout=120)
         assert [tuple(r) for r in found.collect()] == wanted
 
 
@@ -80,10 +85,50 @@ def test_sorted_totals_need_complete_output(spark, shards):
         totals.writeStream.format("memory").queryName("wrong").outputMode("append").start()
 
 
+def test_a_table_in_memory_is_bounded(spark, shards):
+    stream = csv_stream(spark, shards, infer_schema(spark, shards))
+    totals = running_totals(stream, "ORDERDATE", AMOUNT)
+    found = run_to_table(totals, f"few_{uuid.uuid4().hex}", limit=3, timeout=120)
+    assert [tuple(r) for r in found.collect()] == [tuple(r) for r in totals_of(spark, shards)[:3]]
+
+
+def totals_of(spark, shards):
+    batch = read_csv(spark, shards, infer_schema(spark, shards))
+    return ranked(total_by(batch, "ORDERDATE", AMOUNT), "total", "ORDERDATE").collect()
+
+
+def test_backlogs_are_read_in_batches(spark, shards, tmp_path):
+    schema = infer_schema(spark, shards)
+    read_csv(spark, shards, schema).repartition(4).write.parquet(str(tmp_path / "in"))
+    streams = [
+        csv_stream(spark, shards, schema, files_per_batch=1),
+        parquet_stream(spark, str(tmp_path / "in"), schema, files_per_batch=1),
+    ]
+    for i, stream in enumerate(streams):
+        totals = running_totals(stream, "ORDERDATE", AMOUNT)
+        path = f"{tmp_path}/out{i}"
+        query = start_to_parquet(totals, path, f"{tmp_path}/state{i}")
+        assert query.awaitTermination(120)
+        assert len([p for p in query.recentProgress if p["numInputRows"]]) > 1
+        last = max(Path(path).iterdir(), key=lambda p: int(p.name.split("=")[1]))
+        assert spark.read.parquet(str(last)).count() == len(totals_of(spark, shards))
+
+
 def test_console(spark, shards):
+    before = set(Path(tempfile.gettempdir()).glob("temporary-*"))
+    kept = set(Path(shared_folder(spark)).iterdir())
     stream = csv_stream(spark, shards, infer_schema(spark, shards))
-    query = start_to_console(running_totals(stream, "ORDERDATE", AMOUNT))
+    query = start_to_console(running_totals(stream, "ORDERDATE", AMOUNT), rows=5)
     query.processAllAvailable()
     read = sum(p["numInputRows"] for p in query.recentProgress)
     query.stop()
     assert query.exception() is None and read == 39
+    assert set(Path(tempfile.gettempdir()).glob("temporary-*")) == before
+    assert any("stream-console" in p.name for p in set(Path(shared_folder(spark)).iterdir()) - kept)
+
+
+def test_stream_reports_leave_no_copies(spark):
+    before = set(Path(shared_folder(spark)).iterdir())
+    for name in ("best_days_stream", "best_days_csv_stream"):
+        assert reports()[name](spark, SMALL).count() == 10
+    assert set(Path(shared_folder(spark)).iterdir()) == before
