@@ -1,77 +1,164 @@
-"""K-means jobs: centres, labelled centres, costs, elbow, fixed-start steps.
-
-Fits read their rows many times, so the cleaned rows are written once with
-``checkpoint`` to the shared folder; a lost executor costs a re-read, not a
-second cleaning. Rows are ordered within partitions beforehand, since the
-random start of k-means depends on row order.
+"""K-means jobs: fitted clusterings, centres, labelled centres, costs, elbow, fixed-start steps.
+
+Fits read their rows many times, so the cleaned rows are written once to the
+shared folder and deleted after the fit; a lost executor costs a re-read, not a
+second cleaning. The random start of k-means depends on how rows lie in
+partitions, so every fit deals them anew by their values over a fixed number of
+partitions and sorts them there: equal rows give equal centres whatever the
+cluster and its shuffle settings.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
 from functools import partial
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Pipeline
+from pyspark import inheritable_thread_target
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.numeric import label_flag
+from millrace.functions.numeric import label_flag, to_double
 from millrace.operators.cleaning import clean_numeric
 from millrace.operators.scaling import Bounds, fit_bounds, scaled, unscaled
-from millrace.session import shared_folder
+from millrace.session import fresh_path, remove_path
 
 Centre = tuple[float, ...]
 
+# Partitions of a fit. Raise it for large tables; other numbers start elsewhere.
+PARTS = 8
+# Centres times axes that may travel as literals of an expression.
+MOST_LITERALS = 512
+
 
 @contextmanager
-def feature_table(
-    rows: DataFrame, columns: list[str], scale_columns: Sequence[str] = (), keep: Sequence[str] = ()
-) -> Iterator[tuple[DataFrame, Bounds]]:
-    """Rows as feature vectors, held for repeated reads, and the scaler's bounds.
+def stored_rows(rows: DataFrame) -> Iterator[DataFrame]:
+    """The rows as a table in the shared folder, deleted at the end.
 
-    ``scale_columns`` are mapped to [-1, 1]. ``keep`` names columns to carry
-    along beside the vector.
+    Everything that reads them has to run inside.
     """
-    shared_folder(rows.sparkSession)
-    stable = rows.sortWithinPartitions(*columns).checkpoint()
+    spark = rows.sparkSession
+    path = fresh_path(spark, "features")
+    try:
+        rows.write.parquet(path)
+        yield spark.read.schema(rows.schema).parquet(path)
+    finally:
+        remove_path(spark, path)
+
+
+def fixed_layout(rows: DataFrame, columns: Sequence[str], parts: int) -> DataFrame:
+    """Rows dealt by value over ``parts`` partitions, sorted in each."""
+    return rows.repartition(parts, *columns).sortWithinPartitions(*columns)
+
+
+@dataclass
+class Clustering:
+    """A fitted clustering: scaler, assembler and k-means in one pipeline."""
+
+    columns: list[str]
+    bounds: Bounds
+    model: PipelineModel
+
+    @property
+    def axes(self) -> list[str]:
+        """The columns in the order of the feature vector, scaled ones last."""
+        return [c for c in self.columns if c not in self.bounds] + list(self.bounds)
+
+    def raw_centres(self) -> list[Centre]:
+        """Centres in feature space: k rows on the driver."""
+        return [tuple(map(float, c)) for c in self.model.stages[-1].clusterCenters()]
+
+    def centres(self, df: DataFrame, unscale: str = "inverse") -> DataFrame:
+        """Cluster number and centre, in the units of the columns.
+
+        A scaled column is brought back by the inverse of its scaling. With
+        ``unscale="refit"`` the centres are instead stretched so that the
+        smallest and the largest one land on the column's minimum and maximum.
+        ``df`` only names the session.
+        """
+        table = centre_table(df, self.axes, self.raw_centres())
+        if unscale == "refit":
+            table = stretch(table, self.bounds)
+        else:
+            back = {c: unscaled(F.col(c), b, -1.0, 1.0) for c, b in self.bounds.items()}
+            table = table.withColumns(back) if back else table
+        return table.select("cluster", *self.columns)
+
+    def assign(self, df: DataFrame) -> DataFrame:
+        """The rows with the ``cluster`` each belongs to.
+
+        The columns are read as numbers, as in the fit; rows where one is
+        missing or no number are left out. Any table that has them will do.
+        """
+        return self._transformed(df).select(*df.columns, "cluster")
+
+    def cost(self, df: DataFrame) -> DataFrame:
+        """One row: the sum of squared distances to the own centre, in feature space."""
+        centres = F.lit([list(c) for c in self.raw_centres()])
+        own = F.element_at(centres, F.col("cluster") + 1)
+        gaps = F.zip_with(vector_to_array("features"), own, lambda x, y: (x - y) * (x - y))
+        squared = F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap)
+        return self._transformed(df).agg(F.sum(squared).alias("cost"))
+
+    def _transformed(self, df: DataFrame) -> DataFrame:
+        numbers = {f"axis_{i}": to_double(F.col(c)) for i, c in enumerate(self.columns)}
+        rows = df.withColumns(numbers).na.drop("any", subset=list(numbers))
+        return self.model.transform(rows)
+
+
+def fit_clustering(
+    rows: DataFrame,
+    columns: list[str],
+    k: int,
+    scale_columns: Sequence[str] = (),
+    seed: int = 1,
+    parts: int = PARTS,
+) -> Clustering:
+    """Fit k-means to rows whose columns are complete numbers.
+
+    ``scale_columns`` are mapped to [-1, 1] first. The rows are read as often as
+    the fit needs them; give it a stored table.
+    """
+    name = {c: f"axis_{i}" for i, c in enumerate(columns)}
+    laid = fixed_layout(rows, columns, parts).withColumns(
+        {axis: F.col(c).cast("double") for c, axis in name.items()}
+    )
     stages = []
-    inputs = [c for c in columns if c not in scale_columns]
+    inputs = [name[c] for c in columns if c not in scale_columns]
     if scale_columns:
+        unscaled_axes = [name[c] for c in scale_columns]
         stages = [
-            VectorAssembler(inputCols=list(scale_columns), outputCol="unscaled"),
+            VectorAssembler(inputCols=unscaled_axes, outputCol="unscaled"),
             MinMaxScaler(min=-1.0, max=1.0, inputCol="unscaled", outputCol="scaled"),
         ]
         inputs.append("scaled")
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
-    fitted = Pipeline(stages=stages).fit(stable)
+    stages.append(KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster"))
+    model = Pipeline(stages=stages).fit(laid)
     bounds: Bounds = {}
     if scale_columns:
-        scaler = fitted.stages[1]
+        scaler = model.stages[1]
         bounds = dict(zip(scale_columns, zip(scaler.originalMin, scaler.originalMax)))
-    features = fitted.transform(stable).select(*keep, "features")
-    features.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield features, bounds
-    finally:
-        features.unpersist()
-
+    return Clustering(list(columns), bounds, model)
 
-def fit_centres(features: DataFrame, k: int, seed: int, solver: str = "block") -> list[Centre]:
-    """Centres of one k-means fit: at most k rows on the driver.
 
-    The block solver is the fastest but keeps its own copy of the vectors; the
-    row solver reads the held table, which several fits can then share.
-    """
-    kmeans = KMeans(
-        k=k, seed=seed, solver=solver, featuresCol="features", predictionCol="prediction"
-    )
-    model = kmeans.fit(features)
-    return [tuple(float(v) for v in centre) for centre in model.clusterCenters()]
+def cluster(
+    df: DataFrame,
+    columns: list[str],
+    k: int,
+    scale_columns: Sequence[str] = (),
+    seed: int = 1,
+    parts: int = PARTS,
+) -> Clustering:
+    """Clean the columns and cluster them; repeated rows count once."""
+    with stored_rows(clean_numeric(df.select(*columns), columns)) as rows:
+        return fit_clustering(rows, columns, k, scale_columns, seed, parts)
 
 
 def centre_table(df: DataFrame, columns: Sequence[str], centres: Sequence[Centre]) -> DataFrame:
@@ -87,26 +174,15 @@ def cluster_means(
     scale_columns: Sequence[str] = (),
     seed: int = 1,
     unscale: str = "inverse",
+    parts: int = PARTS,
 ) -> DataFrame:
     """Clean the columns, cluster them and return the centres in their own units.
 
-    A scaled column is brought back by the inverse of its scaling. With
-    ``unscale="refit"`` the centres are instead stretched so that the smallest
-    and the largest one land on the column's minimum and maximum.
+    ``unscale`` as in ``Clustering.centres``.
     """
     if unscale not in ("inverse", "refit"):
         raise ValueError("unscale is 'inverse' or 'refit'")
-    clean = clean_numeric(df.select(*columns), columns)
-    with feature_table(clean, columns, scale_columns) as (features, bounds):
-        centres = fit_centres(features, k, seed)
-    order = [c for c in columns if c not in scale_columns] + list(scale_columns)
-    table = centre_table(df, order, centres)
-    if unscale == "refit":
-        table = stretch(table, bounds)
-    elif bounds:
-        back = {c: unscaled(F.col(c), b, -1.0, 1.0) for c, b in bounds.items()}
-        table = table.withColumns(back)
-    return table.select("cluster", *columns)
+    return cluster(df, columns, k, scale_columns, seed, parts).centres(df, unscale)
 
 
 def stretch(centres: DataFrame, bounds: Bounds) -> DataFrame:
@@ -118,18 +194,24 @@ def stretch(centres: DataFrame, bounds: Bounds) -> DataFrame:
 
 
 def labelled_cluster_means(
-    df: DataFrame, columns: list[str], label: str, good: str, k: int, top: int = 2, seed: int = 1
+    df: DataFrame,
+    columns: list[str],
+    label: str,
+    good: str,
+    k: int,
+    top: int = 2,
+    seed: int = 1,
+    parts: int = PARTS,
 ) -> DataFrame:
     """Cluster on the columns and a 0/1 label; the centres with most 1-labels.
 
     Rows without a label are dropped with the other incomplete rows.
     """
-    rows = df.select(*columns, label).withColumn("flag", label_flag(F.col(label), good))
-    clean = clean_numeric(rows, [*columns, "flag"])
+    flagged = df.select(*columns, label).withColumn("flag", label_flag(F.col(label), good))
     axes = [*columns, "flag"]
-    with feature_table(clean, axes) as (features, _):
-        centres = fit_centres(features, k, seed)
-    return leading_centres(centre_table(df, axes, centres), "flag", top).select(*columns)
+    with stored_rows(clean_numeric(flagged, axes)) as rows:
+        fitted = fit_clustering(rows, axes, k, seed=seed, parts=parts)
+    return leading_centres(fitted.centres(df), "flag", top).select(*columns)
 
 
 def leading_centres(centres: DataFrame, axis: str, n: int) -> DataFrame:
@@ -138,32 +220,40 @@ def leading_centres(centres: DataFrame, axis: str, n: int) -> DataFrame:
 
 
 def elbow(
-    df: DataFrame, columns: list[str], low: int, high: int, seed: int = 1, parallelism: int = 4
+    df: DataFrame,
+    columns: list[str],
+    low: int,
+    high: int,
+    seed: int = 1,
+    parallelism: int = 4,
+    parts: int = PARTS,
 ) -> DataFrame:
     """Cost of the k-means fit for every k from ``low`` to ``high``.
 
-    All fits share one feature table and a few run at a time; the costs of all
-    of them are then summed in a single pass.
+    All fits share one stored table and a few run at a time.
     """
-    clean = clean_numeric(df.select(*columns), columns)
     ks = list(range(low, high + 1))
     on_thread = inheritable_thread_target(df.sparkSession)
-    with feature_table(clean, columns, keep=columns) as (features, _):
-        fits = [on_thread(partial(fit_centres, features, k, seed, "row")) for k in ks]
+
+    def cost_of(rows: DataFrame, k: int) -> float:
+        return fit_clustering(rows, columns, k, seed=seed, parts=parts).cost(rows).first()["cost"]
+
+    with stored_rows(clean_numeric(df.select(*columns), columns)) as rows:
+        fits = [on_thread(partial(cost_of, rows, k)) for k in ks]
         with ThreadPool(min(parallelism, len(ks))) as pool:
-            centres = pool.map(lambda fit: fit(), fits)
-        sums = [F.sum(least_distance(columns, c)).alias(f"k{k}") for k, c in zip(ks, centres)]
-        costs = features.agg(*sums).first()
-    rows = [(k, costs[f"k{k}"]) for k in ks]
-    return df.sparkSession.createDataFrame(rows, "k int, cost double")
+            costs = pool.map(lambda fit: fit(), fits)
+    return df.sparkSession.createDataFrame(list(zip(ks, costs)), "k int, cost double")
 
 
 def distances(columns: Sequence[str], centres: Sequence[Centre]) -> list[Column]:
     """Squared distance to each centre, as plain arithmetic over the columns.
 
-    The centres travel as literals, so assigning rows joins nothing. Meant for
-    few centres and axes; use a fitted model's ``transform`` beyond that.
+    The centres travel as literals, so assigning rows joins nothing. The
+    expression grows with centres times axes, which may be ``MOST_LITERALS`` at
+    most; ``Clustering`` has no such bound.
     """
+    if len(centres) * len(columns) > MOST_LITERALS:
+        raise ValueError(f"more than {MOST_LITERALS} numbers as literals; use a fitted clustering")
     result = []
     for centre in centres:
         terms = [(F.col(c) - F.lit(v)) * (F.col(c) - F.lit(v)) for c, v in zip(columns, centre)]

@@ -107,6 +107,78 @@ def elbow(spark: SparkSession, folder: str) -> DataFrame:
     return clustering.elbow(_parts(spark, folder), AXES, 2, 10)
 
 
+# Orders fall into five groups that lie far apart, by the number of their
+# priority. A clustering then has to find the groups, and its centres are plain
+# averages.
+def _grouped_orders(spark: SparkSession, folder: str) -> DataFrame:
+    number = F.substring("o_orderpriority", 1, 1).cast("double")
+    return table(spark, folder, "orders").select(
+        "o_orderkey",
+        "o_orderpriority",
+        number.alias("number"),
+        (number * 1000 + F.col("o_totalprice") / 100_000).alias("a"),
+        ((number % 3) * 500 + F.col("o_custkey") % 10).cast("double").alias("b"),
+        (number * number * 70 + F.col("o_orderkey") % 7).cast("double").alias("c"),
+    )
+
+
+def _sorted_out(centres: DataFrame, columns: list[str]) -> DataFrame:
+    """Centres without their numbers, which are arbitrary."""
+    return centres.select(*[F.round(c, 4).alias(c) for c in columns])
+
+
+def group_centres_2d(spark: SparkSession, folder: str) -> DataFrame:
+    orders = _grouped_orders(spark, folder)
+    return _sorted_out(clustering.cluster_means(orders, ["a", "b"], 5), ["a", "b"])
+
+
+def group_centres_3d(spark: SparkSession, folder: str) -> DataFrame:
+    orders, axes = _grouped_orders(spark, folder), ["a", "b", "c"]
+    return _sorted_out(clustering.cluster_means(orders, axes, 5, scale_columns=["c"]), axes)
+
+
+def group_centres_refit(spark: SparkSession, folder: str) -> DataFrame:
+    orders, axes = _grouped_orders(spark, folder), ["a", "b", "c"]
+    refit = clustering.cluster_means(orders, axes, 5, scale_columns=["c"], unscale="refit")
+    return _sorted_out(refit, axes)
+
+
+def labelled_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """The centres of the two groups whose label does not say so: 2-HIGH and 1-URGENT are bad."""
+    orders = _grouped_orders(spark, folder).withColumn(
+        "label", F.when(F.col("number") <= 2, "bad").otherwise("fine")
+    )
+    best = clustering.labelled_cluster_means(orders, ["a", "b"], "label", good="fine", k=5)
+    return _sorted_out(best, ["a", "b"])
+
+
+def assigned_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders by the fitted clustering's choice: one priority each."""
+    orders = _grouped_orders(spark, folder)
+    fitted = clustering.cluster(orders, ["a", "b"], 5)
+    return (
+        fitted.assign(orders)
+        .groupBy("cluster")
+        .agg(
+            F.min("o_orderpriority").alias("lowest"),
+            F.max("o_orderpriority").alias("highest"),
+            F.count("*").alias("n"),
+        )
+        .drop("cluster")
+    )
+
+
+def group_cost(spark: SparkSession, folder: str) -> DataFrame:
+    """The elbow where its bend is known: the cost falls to the spread within the groups."""
+    costs = clustering.elbow(_grouped_orders(spark, folder), ["a", "b"], 4, 6)
+    low, bend, after = (F.max(F.when(F.col("k") == k, F.col("cost"))) for k in (4, 5, 6))
+    return costs.agg(
+        F.round(bend, 2).alias("cost"),
+        (low > 10 * bend).alias("falls_before"),
+        (after > 0.2 * bend).alias("flat_after"),
+    )
+
+
 def _priced_lines(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "lineitem").select(
         "l_orderkey", F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y")
@@ -119,7 +191,7 @@ def _rounded(line: DataFrame) -> DataFrame:
 
 def linear_fit(spark: SparkSession, folder: str) -> DataFrame:
     rows = _priced_lines(spark, folder)
-    return _rounded(regression.line_parameters(rows, regression.fit_line(rows, ["x"], "y")))
+    return _rounded(regression.fit_one(rows, "x", "y"))
 
 
 def linear_fit_moments(spark: SparkSession, folder: str) -> DataFrame:
@@ -144,9 +216,9 @@ def holdout_fit(spark: SparkSession, folder: str) -> DataFrame:
 def linear_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Prediction and sum of the label for every quantity."""
     rows = _priced_lines(spark, folder)
-    model = regression.fit_line(rows, ["x"], "y")
+    line = regression.fit_by_moments(rows, "x", "y")
     return (
-        regression.score(rows, ["x"], model)
+        regression.score_line(rows, "x", *line)
         .groupBy("x")
         .agg(
             F.count("*").alias("n"),
@@ -169,10 +241,9 @@ def in_sample(spark: SparkSession, folder: str) -> DataFrame:
 
 def new_points(spark: SparkSession, folder: str) -> DataFrame:
     """The fitted line at quantities that no row has."""
-    rows = _priced_lines(spark, folder)
-    model = regression.fit_line(rows, ["x"], "y")
-    points = inline(spark, [(-0.5,), (3.14,), (70.0,)], "x double")
-    scored = regression.score(points, ["x"], model)
+    line = regression.fit_by_moments(_priced_lines(spark, folder), "x", "y")
+    points = inline(spark, [(0.25,), (17.5,), (120.0,)], "x double")
+    scored = regression.score_line(points, "x", *line)
     return scored.select("x", F.round("prediction", 3).alias("prediction"))
 
 
@@ -250,6 +321,46 @@ stats AS (
 ALL_LINE = LINE.format(where="")
 TRAINING = "md5('0|' || CAST(l_orderkey AS VARCHAR)) < 'b3333333'"
 
+GROUPED = """
+WITH numbered AS (
+  SELECT *, CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS number FROM orders
+), grouped AS (
+  SELECT o_orderpriority, number, number * 1000 + o_totalprice / 100000 AS a,
+         CAST(number % 3 * 500 + o_custkey % 10 AS DOUBLE) AS b,
+         CAST(number * number * 70 + o_orderkey % 7 AS DOUBLE) AS c
+  FROM numbered
+)
+"""
+# Repeated rows count once in a clustering.
+CENTRES_2D = GROUPED + """
+SELECT round(avg(a), 4) AS a, round(avg(b), 4) AS b
+FROM (SELECT DISTINCT number, a, b FROM grouped) {where} GROUP BY number
+"""
+CENTRES_3D = GROUPED + """
+SELECT round(avg(a), 4) AS a, round(avg(b), 4) AS b, round(avg(c), 4) AS c
+FROM (SELECT DISTINCT number, a, b, c FROM grouped) GROUP BY number
+"""
+CENTRES_REFIT = GROUPED + """
+, centres AS (
+  SELECT avg(a) AS a, avg(b) AS b, avg(c) AS c
+  FROM (SELECT DISTINCT number, a, b, c FROM grouped) GROUP BY number
+)
+SELECT round(a, 4) AS a, round(b, 4) AS b,
+       round((c - lowest) / (highest - lowest) * (most - least) + least, 4) AS c
+FROM centres, (SELECT min(c) AS lowest, max(c) AS highest FROM centres),
+     (SELECT min(c) AS least, max(c) AS most FROM grouped)
+"""
+ASSIGNED = GROUPED + """
+SELECT o_orderpriority AS lowest, o_orderpriority AS highest, count(*) AS n
+FROM grouped GROUP BY o_orderpriority
+"""
+GROUP_COST = GROUPED + """
+, points AS (SELECT DISTINCT number, a, b FROM grouped)
+SELECT round(sum((a - ma) * (a - ma) + (b - mb) * (b - mb)), 2) AS cost,
+       true AS falls_before, true AS flat_after
+FROM points JOIN (SELECT number, avg(a) AS ma, avg(b) AS mb FROM points GROUP BY 1) USING (number)
+"""
+
 FIT = ALL_LINE + "SELECT round(slope, 3) AS slope, round(intercept, 3) AS intercept FROM line"
 
 HOLDOUT = (
@@ -283,7 +394,7 @@ POINTS = (
     ALL_LINE
     + """
 SELECT CAST(p AS DOUBLE) AS x, round(slope * p + intercept, 3) AS prediction
-FROM line, (VALUES (-0.5), (3.14), (70.0)) AS points(p)
+FROM line, (VALUES (0.25), (17.5), (120.0)) AS points(p)
 """
 )
 
@@ -303,6 +414,12 @@ QUERIES = {
     "cluster_means_3d_refit": (cluster_means_3d_refit, None),
     "labelled_means": (labelled_means, None),
     "elbow": (elbow, None),
+    "group_centres_2d": (group_centres_2d, CENTRES_2D.format(where="")),
+    "group_centres_3d": (group_centres_3d, CENTRES_3D),
+    "group_centres_refit": (group_centres_refit, CENTRES_REFIT),
+    "labelled_groups": (labelled_groups, CENTRES_2D.format(where="WHERE number <= 2")),
+    "assigned_groups": (assigned_groups, ASSIGNED),
+    "group_cost": (group_cost, GROUP_COST),
     "linear_fit": (linear_fit, FIT),
     "linear_fit_moments": (linear_fit_moments, FIT),
     "holdout_fit": (holdout_fit, HOLDOUT),

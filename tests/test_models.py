@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
@@ -8,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from millrace.operators import clustering, regression, scaling
+from millrace.session import shared_folder
 
 BLOBS = [
     (-0.8, 1.0, 100.0),
@@ -86,6 +88,59 @@ def test_elbow(spark):
     assert spark.catalog is not None and not spark.sparkContext._jsc.getPersistentRDDs()
 
 
+def test_fits_leave_nothing_in_the_shared_folder(spark):
+    before = set(Path(shared_folder(spark)).iterdir())
+    df = blobs(spark)
+    clustering.cluster_means(df, ["a", "b", "c"], 3, ["c"]).collect()
+    clustering.labelled_cluster_means(df, ["a", "b"], "LABEL", "Ok", 3).collect()
+    clustering.elbow(df, ["a"], 2, 3).collect()
+    assert set(Path(shared_folder(spark)).iterdir()) == before
+
+
+def test_centres_do_not_depend_on_the_session(spark):
+    draw = random.Random(1)
+    points = [(draw.random(), draw.random()) for _ in range(3000)]
+    df = spark.createDataFrame(points, "a double, b double")
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")
+    before = {name: spark.conf.get(name) for name in names}
+    found = []
+    try:
+        for parts, adaptive in ((1, "true"), (4, "true"), (7, "false")):
+            spark.conf.set(names[0], parts)
+            spark.conf.set(names[1], adaptive)
+            rows = clustering.cluster_means(df.repartition(parts), ["a", "b"], 6).collect()
+            found.append([tuple(round(v, 6) for v in row) for row in rows])
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert found[0] == found[1] == found[2]
+
+
+def test_a_fitted_clustering_assigns_new_rows(spark):
+    fitted = clustering.cluster(blobs(spark), ["a", "b", "c"], 5, scale_columns=["c"])
+    centres = {r["cluster"]: tuple(r)[1:] for r in fitted.centres(blobs(spark)).collect()}
+    new = spark.createDataFrame(
+        [("x", "-0.8", 1.0, 100.0), ("y", "0.5", 1.5, 850.0), ("z", None, 1.0, 1.0)],
+        "name string, a string, b double, c double",
+    )
+    rows = {r["name"]: r for r in fitted.assign(new).collect()}
+    assert sorted(rows) == ["x", "y"]
+    for name, blob in (("x", BLOBS[0]), ("y", BLOBS[3])):
+        assert close_to([centres[rows[name]["cluster"]]], [blob], (0.02, 0.1, 3.0))
+    at_centres = spark.createDataFrame(list(centres.values()), "a double, b double, c double")
+    assert fitted.cost(at_centres).first()["cost"] == pytest.approx(0, abs=1e-12)
+
+
+def test_many_centres(spark):
+    draw = random.Random(2)
+    df = spark.createDataFrame([(draw.random(), draw.random()) for _ in range(5000)], "a double, b double")
+    fitted = clustering.cluster(df, ["a", "b"], 200)
+    assert 0 < fitted.cost(df).first()["cost"] < 10
+    assert fitted.assign(df).select("cluster").distinct().count() == 200
+    with pytest.raises(ValueError):
+        clustering.assign(df, ["a", "b"], [(0.0, 0.0)] * 300)
+
+
 def test_text_input_and_dirty_rows(spark):
     df = blobs(spark).selectExpr("string(a) a", "concat(' ', b) b")
     extra = spark.createDataFrame([("x", "1"), (None, "2")], df.schema)
@@ -139,23 +194,37 @@ def test_scaling_equals_the_library_scaler(spark):
     assert ours.agg(F.max(F.abs(back - F.col("c")))).first()[0] < 1e-9
 
 
-POINTS = [(0.0, 0.0), (0.3, 0.5), (0.9, 0.8), (1.0, 0.8)]
-POINTS += [(2.0, 2.2), (2.2, 2.4), (3.0, 3.7), (4.0, 4.3)]
+def own_points(n=40, seed=9):
+    """A noisy rising line."""
+    draw = random.Random(seed)
+    return [(x / 4, 1.5 * x / 4 - 2 + draw.gauss(0, 0.3)) for x in range(n)]
+
+
+def closed_form(points, reg=0.3, mix=0.8):
+    n = len(points)
+    mx, my = (sum(p[i] for p in points) / n for i in (0, 1))
+    sx, sy = (sum((p[i] - m) ** 2 for p in points) ** 0.5 / n**0.5 for i, m in ((0, mx), (1, my)))
+    r = sum((x - mx) * (y - my) for x, y in points) / n / sx / sy
+    slope = (r - reg * mix / sy) / (1 + reg * (1 - mix) / sy) * sy / sx
+    return slope, my - slope * mx
 
 
 def test_line(spark):
-    df = spark.createDataFrame(POINTS + [(None, 1.0)], "X double, label double")
+    points = own_points()
+    df = spark.createDataFrame(points + [(None, 1.0)], "X double, label double")
     model = regression.fit_line(df, ["X"], "label")
     slope, intercept = regression.line_parameters(df, model).first()
-    assert slope == pytest.approx(0.9071278687, abs=1e-8)
-    assert intercept == pytest.approx(0.3180608199, abs=1e-8)
+    assert (slope, intercept) == pytest.approx(closed_form(points), abs=1e-8)
+    assert tuple(regression.fit_one(df, "X", "label").first()) == pytest.approx(
+        (slope, intercept), abs=1e-8
+    )
     by_moments = regression.fit_by_moments(df, "X", "label")
     assert by_moments == pytest.approx((slope, intercept), abs=1e-8)
-    assert model.summary.predictions.count() == len(POINTS)
-    new = spark.createDataFrame([(-0.5,), (3.14,), (7.0,)], "X double")
+    assert model.summary.predictions.count() == len(points)
+    new = spark.createDataFrame([(-1.25,), (2.5,), (11.0,)], "X double")
     scored = regression.score(new, ["X"], model).collect()
     assert [r["prediction"] for r in scored] == pytest.approx(
-        [slope * x + intercept for x in (-0.5, 3.14, 7.0)]
+        [slope * x + intercept for x in (-1.25, 2.5, 11.0)]
     )
     plain = regression.score_line(new, "X", slope, intercept).collect()
     assert [r["prediction"] for r in plain] == pytest.approx([r["prediction"] for r in scored])
