@@ -20,16 +20,25 @@ def text_body(text: Column) -> Column:
     return F.when(F.endswith(unified, F.lit("\n")), shorter).otherwise(unified)
 
 
-def tight_body(body: Column) -> Column:
-    """The body without lines of spaces alone and without spaces before line ends.
+def without_loose_spaces(body: Column) -> Column:
+    """The body, each line closed, without lines of spaces alone and spaces before line ends.
 
-    Null if nothing is left. A line end then separates words just as a space does.
+    Null for a body that has none of these, which is most of them.
     """
     closed = F.concat(body, F.lit("\n"))
     inked = F.regexp_replace(closed, r"(?dm)^ ++\n", "")
-    kept = F.nullif(F.regexp_replace(inked, r"(?<! ) ++\n", "\n"), F.lit(""))
     loose = F.contains(body, F.lit(" \n")) | F.endswith(body, F.lit(SPACE))
-    return F.when(loose, F.left(kept, F.length(kept) - 1)).otherwise(body)
+    return F.when(loose, F.regexp_replace(inked, r"(?<! ) ++\n", "\n"))
+
+
+def tight_body(body: Column, closed: Column) -> Column:
+    """The body without loose spaces, given ``without_loose_spaces`` of it; null if nothing is left.
+
+    A line end then separates words just as a space does. Let ``closed`` be a
+    column of its own: it is used more than once.
+    """
+    opened = F.left(closed, F.length(closed) - 1)
+    return F.when(closed.isNull(), body).when(closed != "", opened)
 
 
 def body_words(body: Column) -> Column:
@@ -68,12 +77,14 @@ def text_words(text: Column, drop_empty: bool = False) -> Column:
     """The words of all lines of a text, in order."""
     if drop_empty:
         return F.coalesce(F.array_remove(body_words(text_body(text)), ""), _none())
-    return F.coalesce(body_words(tight_body(text_body(text))), _none())
+    body = text_body(text)
+    return F.coalesce(body_words(tight_body(body, without_loose_spaces(body))), _none())
 
 
 def non_space_chars(text: Column) -> Column:
-    """UTF-16 units other than the space; line ends do not count, tabs do."""
+    """UTF-16 units other than the space; line ends do not count, tabs do. 0 for null."""
     bare = F.replace(F.replace(text, F.lit(SPACE), F.lit("")), F.lit("\n"), F.lit(""))
     without_cr = F.replace(bare, F.lit("\r"), F.lit(""))
     bare = F.when(F.contains(text, F.lit("\r")), without_cr).otherwise(bare)
-    return (F.octet_length(F.encode(bare, "UTF-16BE")) / 2).cast("bigint")
+    units = F.octet_length(F.encode(bare, "UTF-16BE")) / 2
+    return F.coalesce(units, F.lit(0)).cast("bigint")

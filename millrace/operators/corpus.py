@@ -15,18 +15,20 @@ from millrace.functions.text import (
     lines,
     non_space_chars,
     text_body,
-    text_words,
     tight_body,
+    without_loose_spaces,
 )
 
 
 def text_sizes(df: DataFrame, text: str, by: list[str]) -> DataFrame:
     """Texts, lines, words and non-space characters per group."""
-    return df.groupBy(*by).agg(
+    sizes = F.size(lines(F.col(text))).alias("lines"), non_space_chars(F.col(text)).alias("chars")
+    counted = _worded(df.select(*by, text, *sizes), text, [*by, "lines", "chars"])
+    return counted.groupBy(*by).agg(
         F.count("*").alias("texts"),
-        F.sum(F.size(lines(F.col(text)))).alias("lines"),
-        F.sum(F.size(text_words(F.col(text)))).alias("words"),
-        F.sum(non_space_chars(F.col(text))).alias("chars"),
+        F.sum("lines").alias("lines"),
+        F.sum(_array_size("words")).alias("words"),
+        F.sum("chars").alias("chars"),
     )
 
 
@@ -40,9 +42,9 @@ def char_count(df: DataFrame, text: str, by: list[str]) -> DataFrame:
 
 def token_hits(df: DataFrame, text: str, token: str, by: list[str]) -> DataFrame:
     """How often exactly this word occurs, case and punctuation included."""
-    found = df.select(*by, text_words(F.col(text)).alias("words"))
-    others = F.array_remove("words", token)
-    return found.groupBy(*by).agg(F.sum(F.size("words") - F.size(others)).alias("hits"))
+    found = _worded(df, text, by)
+    hits = _array_size("words") - _array_size(F.array_remove("words", token))
+    return found.groupBy(*by).agg(F.sum(hits).alias("hits"))
 
 
 def _bodies(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
@@ -54,6 +56,22 @@ def _bodies(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     return df.select(*keep, text_body(F.col(text)).alias("body"))
 
 
+def _tight(bodies: DataFrame, keep: list[str]) -> DataFrame:
+    """The bodies without loose spaces, the costly step as a column of its own."""
+    closed = bodies.select(*keep, "body", without_loose_spaces(F.col("body")).alias("closed"))
+    return closed.select(*keep, tight_body(F.col("body"), F.col("closed")).alias("body"))
+
+
+def _worded(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """One row per text with its words; null if it has none."""
+    bodies = _tight(_bodies(df, text, keep), keep)
+    return bodies.select(*keep, body_words(F.col("body")).alias("words"))
+
+
+def _array_size(values) -> F.Column:
+    return F.coalesce(F.array_size(values), F.lit(0))
+
+
 def text_lines(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """One row per line with its position (from 0) in its text."""
     cut = F.posexplode(F.split("body", "\n")).alias("line_no", "line")
@@ -69,7 +87,7 @@ def words_of(df: DataFrame, text: str, drop_empty: bool = False) -> DataFrame:
     """One row per word."""
     bodies = _bodies(df, text, [])
     if not drop_empty:
-        bodies = bodies.select(tight_body(F.col("body")).alias("body"))
+        bodies = _tight(bodies, [])
     words = bodies.select(F.explode(body_words(F.col("body"))).alias("word"))
     return words.filter(F.col("word") != "") if drop_empty else words
 

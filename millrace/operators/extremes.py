@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 
 def global_extremes(df: DataFrame, low: str, high: str) -> DataFrame:
@@ -24,16 +25,20 @@ def describe_long(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum and maximum, one row per column.
 
     All columns are summarized in a single pass; the one resulting row is then
-    unfolded. Values stay numeric (``DataFrame.describe`` gives them as text).
+    unfolded. Values stay numeric (``DataFrame.describe`` gives them as text):
+    minima and maxima are bigint where every column is an integer, which keeps
+    them exact, and double otherwise.
     """
+    whole = all(isinstance(df.schema[name].dataType, IntegralType) for name in columns)
+    kind = "bigint" if whole else "double"
     summaries = [
         F.struct(
             F.lit(name).alias("column"),
             F.count(name).alias("n"),
             F.avg(name).alias("mean"),
             F.stddev_samp(name).alias("stddev"),
-            F.min(name).cast("double").alias("lowest"),
-            F.max(name).cast("double").alias("highest"),
+            F.min(name).cast(kind).alias("lowest"),
+            F.max(name).cast(kind).alias("highest"),
         )
         for name in columns
     ]

@@ -30,37 +30,28 @@ def without_listed(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
     return df.join(listed, F.col(column).eqNullSafe(F.col("listed")), "left_anti")
 
 
-def group_members(df: DataFrame, key: str, member: str, part_size: int = 10_000) -> DataFrame:
-    """The members of each group with their number of copies, in bounded lists.
+def group_members(df: DataFrame, key: str, member: str) -> DataFrame:
+    """The members of each group: one row for each (key, member), with its copies.
 
-    Copies are counted before anything is gathered. A group with more than
-    ``part_size`` distinct members is spread by a digest of the member over as
-    many parts as needed, each its own row, so that no task holds a whole hot
-    group; together the parts hold every member once.
+    Copies are added up before the shuffle, and no row depends on how many
+    others its group has. Null is a key and a member like any other.
     """
-    counted = df.groupBy(key, member).agg(F.count("*").alias("copies"))
-    # Only the large groups are looked up; they are at most one for every
-    # part_size rows, so Spark mostly finds them small enough to broadcast and
-    # otherwise splits the hot keys of the merge join. The second condition
-    # follows from the first, and makes both uses of ``counted`` read the same
-    # columns, hence the same shuffle.
-    large = (
-        counted.groupBy(F.col(key).alias("large_key"))
-        .agg(F.count("*").alias("distinct_members"), F.sum("copies").alias("group_rows"))
-        .filter((F.col("distinct_members") > part_size) & (F.col("group_rows") > part_size))
-        .select("large_key", F.ceil(F.col("distinct_members") / part_size).alias("parts"))
-    )
-    digest = F.md5(F.col(member).cast("string"))
-    draw = F.coalesce(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(0))
-    part = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(draw % F.col("parts"))
+    return df.groupBy(key, member).agg(F.count("*").alias("copies"))
+
+
+def member_lists(df: DataFrame, key: str, member: str, buckets: int) -> DataFrame:
+    """The same as lists, ``buckets`` of them for every group, by a digest of the member.
+
+    A row put in changes only the list its member belongs to. The caller says
+    how far the largest group has to be divided; a list holds about the
+    group's distinct members by ``buckets``. Lists without members are left out.
+    """
+    if buckets < 1:
+        raise ValueError("buckets is at least 1")
+    entry = F.struct(F.col(member).alias("member"), "copies")
     return (
-        counted.join(large, F.col(key).eqNullSafe(F.col("large_key")), "left")
-        .select(
-            key,
-            part.cast("int").alias("part"),
-            F.struct(F.col(member).alias("member"), "copies").alias("entry"),
-        )
-        .repartition(key, "part")
-        .groupBy(key, "part")
+        group_members(df, key, member)
+        .select(key, F.pmod(F.xxhash64(member), F.lit(buckets)).cast("int").alias("bucket"), entry.alias("entry"))
+        .groupBy(key, "bucket")
         .agg(F.sort_array(F.collect_list("entry")).alias("members"))
     )

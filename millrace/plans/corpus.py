@@ -15,7 +15,7 @@ from millrace.operators.numbers import (
 )
 from millrace.plans.tidy import LINES
 from millrace.session import fresh_path
-from millrace.sources.tables import spread, table
+from millrace.sources.tables import table
 from millrace.sources.text import read_lines, write_lines
 
 TOKEN = "the"
@@ -25,11 +25,6 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 
 
-def _spread_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """For the counts that take much more time than reading the texts."""
-    return spread(_documents(spark, folder), "doc_id")
-
-
 def line_count(spark: SparkSession, folder: str) -> DataFrame:
     return ops.line_count(_documents(spark, folder), "text", ["lang"])
 
@@ -39,15 +34,15 @@ def char_count(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def text_sizes(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.text_sizes(_spread_documents(spark, folder), "text", ["source"])
+    return ops.text_sizes(_documents(spark, folder), "text", ["source"])
 
 
 def token_hits(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.token_hits(_spread_documents(spark, folder), "text", TOKEN, ["lang"])
+    return ops.token_hits(_documents(spark, folder), "text", TOKEN, ["lang"])
 
 
 def word_count(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.word_count(_spread_documents(spark, folder), "text")
+    return ops.word_count(_documents(spark, folder), "text")
 
 
 def word_sum(spark: SparkSession, folder: str) -> DataFrame:
@@ -121,8 +116,8 @@ SELECT lang, CAST(sum(len({LINES})) AS BIGINT) AS lines FROM documents GROUP BY
 """
 
 CHARS = r"""
-CAST(sum(length(regexp_replace(text, '[ \r\n]', '', 'g'))
-       + length(regexp_replace(text, '[^\x{10000}-\x{10FFFF}]', '', 'g'))) AS BIGINT)
+CAST(coalesce(sum(length(regexp_replace(text, '[ \r\n]', '', 'g'))
+       + length(regexp_replace(text, '[^\x{10000}-\x{10FFFF}]', '', 'g'))), 0) AS BIGINT)
 """
 
 CHAR_COUNT = f"SELECT lang, {CHARS} AS chars FROM documents GROUP BY 1"
@@ -172,8 +167,9 @@ WITH chars AS (
 ), verdict AS (
   SELECT {key}, min(d) >= 0 AND arg_max(d, i) = 0 AS ok FROM depth GROUP BY 1
 )
-SELECT {grouping} count(*) FILTER (WHERE coalesce(ok, true)) AS balanced,
-       count(*) FILTER (WHERE NOT coalesce(ok, true)) AS unbalanced
+SELECT {grouping} count(*) FILTER (WHERE {text} IS NOT NULL AND coalesce(ok, true)) AS balanced,
+       count(*) FILTER (WHERE NOT coalesce(ok, true)) AS unbalanced,
+       count(*) FILTER (WHERE {text} IS NULL) AS missing
 FROM {name} LEFT JOIN verdict USING ({key}) {"GROUP BY " + by if by else ""}
 """
 
@@ -195,7 +191,7 @@ WITH RECURSIVE numbers AS (
 """
 
 HISTOGRAM = FACTORS.format(value="o_custkey", name="orders") + """
-SELECT CAST(factor AS INTEGER) AS factor, CAST(sum(copies) AS BIGINT) AS n
+SELECT factor, CAST(sum(copies) AS BIGINT) AS n
 FROM steps WHERE factor IS NOT NULL GROUP BY 1
 """
 

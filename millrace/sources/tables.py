@@ -12,19 +12,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """A scan's rows over at least one partition per core.
-
-    A file with one large row group is read by one task, which then does all
-    the work that follows. Only such a scan is shuffled, once, by a key with
-    many values; a scan that already keeps every core busy is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
-
-
 def inline(spark: SparkSession, rows: Iterable, schema: StructType | str | list[str]) -> DataFrame:
     """A small table from rows written in the program (tuples or scalars)."""
     return spark.createDataFrame(list(rows), schema)

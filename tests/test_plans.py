@@ -7,10 +7,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from conftest import SMALL
-from millrace.operators.members import group_members, without_listed
-from millrace.sources.tables import table
+from millrace.plans.catalog import reports
+from millrace.operators.members import without_listed
 
 NO_PLAN_YET = {"best_days_stream", "best_days_csv_stream", "daily_totals_stream"}
 PYTHON = {"part_factors", "factor_histogram"}
@@ -20,14 +19,19 @@ MODELS = {
     "cluster_means_3d_refit",
     "labelled_means",
     "elbow",
+    "group_centres_2d",
+    "group_centres_3d",
+    "group_centres_refit",
+    "labelled_groups",
+    "group_cost",
 }
 
 
 def plan(spark, name):
-    return queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    return reports()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - NO_PLAN_YET - MODELS))
+@pytest.mark.parametrize("name", sorted(set(reports()) - NO_PLAN_YET - MODELS))
 def test_no_cross_join_and_python_only_for_factors(spark, name):
     text = plan(spark, name)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
@@ -51,7 +55,7 @@ def columns_read(text):
     [
         ("best_days", {"l_quantity", "l_extendedprice", "l_shipdate"}),
         ("year_extremes", {"o_totalprice", "o_orderdate"}),
-        ("word_count", {"doc_id", "text"}),
+        ("word_count", {"text"}),
         ("drop_values", {"c_mktsegment"}),
         ("nearest_centre", {"p_partkey", "p_size", "p_retailprice"}),
         ("factor_histogram", {"o_custkey"}),
@@ -103,7 +107,14 @@ def test_hot_values_are_split_in_a_merge_join(spark):
     assert "SortMergeJoin(skew=true)" in text
 
 
-def test_group_members_count_once(spark):
-    frame = group_members(table(spark, SMALL, "lineitem"), "l_returnflag", "l_suppkey", 2)
-    frame.collect()
-    assert "ReusedExchange" in frame._jdf.queryExecution().executedPlan().toString()
+@pytest.mark.parametrize("name", ["word_count", "group_members", "token_hits", "text_sizes"])
+def test_one_exchange(spark, name):
+    text = plan(spark, name)
+    assert text.count("Exchange hashpartitioning") == text.count("Exchange ") == 1
+    assert "partial_" in text
+
+
+def test_the_costly_step_of_word_count_stands_once(spark):
+    """Two nested replacements, in one column."""
+    text = plan(spark, "word_count")
+    assert text.count("regexp_replace(") == 2

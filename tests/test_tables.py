@@ -50,6 +50,12 @@ def test_describe_matches_describe(spark):
             assert typed[name][ours] == pytest.approx(float(shown[theirs][name]))
 
 
+def test_whole_numbers_keep_their_limits(spark):
+    df = spark.createDataFrame([(2**53 + 1, 1), (-(2**53) - 1, 2)], "n bigint, m int")
+    rows = {r["column"]: r for r in extremes.describe_long(df, ["n", "m"]).collect()}
+    assert (rows["n"]["lowest"], rows["n"]["highest"]) == (-(2**53) - 1, 2**53 + 1)
+
+
 def test_top_groups_settle_ties_by_key(spark):
     rows = [(f"d{i:02}", 1, 5.0) for i in range(12)] + [("d11", 2, 2.5)]
     df = spark.createDataFrame(rows, "day string, quantity int, price double")
@@ -60,12 +66,12 @@ def test_top_groups_settle_ties_by_key(spark):
 
 def test_year_of_maximum_and_one_year(spark):
     sales = tables.inline(
-        spark, [(2016, 100), (2017, 15), (2018, 1000), (2019, 50)], "year int, euros int"
+        spark, [(2001, 70), (2002, 930), (2003, 8), (2001, 30), (2004, 640)], "year int, euros int"
     )
     total = totals.total_by(sales, "year", "euros", "total_euros")
     assert total.schema["total_euros"].dataType.simpleString() == "bigint"
-    assert tuple(totals.first_match(total, "year = 2019").first()) == (2019, 50)
-    assert tuple(totals.leaders(total, "total_euros", "year", 1).first()) == (2018, 1000)
+    assert tuple(totals.first_match(total, "year = 2001").first()) == (2001, 100)
+    assert tuple(totals.leaders(total, "total_euros", "year", 1).first()) == (2002, 930)
     assert totals.first_match(total, "year = 1900").count() == 0
 
 
@@ -142,32 +148,47 @@ def test_random_split_is_whole(spark):
 
 
 def test_removed_values_leave_other_copies(spark):
-    rows = [("p",), ("p",), ("DisCo",), ("DisCo",), (None,), (None,)]
+    rows = [("p",), ("p",), ("Lamp",), ("Lamp",), (None,), (None,)]
     df = spark.createDataFrame(rows, "line string")
-    kept = members.without_values(df, "line", ["DisCo"])
+    kept = members.without_values(df, "line", ["Lamp"])
     assert Counter(r[0] for r in kept.collect()) == {"p": 2, None: 2}
-    assert members.without_values(df, "line", ["DisCo", None]).count() == 2
-    listed = spark.createDataFrame([("DisCo",), ("DisCo",), ("q",)], "v string")
+    assert members.without_values(df, "line", ["Lamp", None]).count() == 2
+    listed = spark.createDataFrame([("Lamp",), ("Lamp",), ("q",)], "v string")
     kept = members.without_listed(df, "line", listed)
     assert Counter(r[0] for r in kept.collect()) == {"p": 2, None: 2}
-    listed = spark.createDataFrame([("DisCo",), (None,)], "v string")
+    listed = spark.createDataFrame([("Lamp",), (None,)], "v string")
     assert members.without_listed(df, "line", listed).count() == 2
 
 
-def test_group_members_hold_everything_in_bounded_lists(spark):
+def grouped(spark, extra=()):
     hot = spark.range(3000).select(F.lit("hot").alias("k"), (F.col("id") % 1000).alias("m"))
-    rows = [("cold", 1), ("cold", 1), (None, 2), ("none", None)]
-    cold = spark.createDataFrame(rows, "k string, m bigint")
-    groups = members.group_members(hot.union(cold), "k", "m", part_size=100).collect()
-    found = Counter()
-    for row in groups:
-        assert len(row["members"]) < 200
-        for entry in row["members"]:
-            found[row["k"], entry["member"]] += entry["copies"]
-    assert found == Counter(
+    rows = [("cold", 1), ("cold", 1), (None, 2), ("none", None), *extra]
+    return hot.union(spark.createDataFrame(rows, "k string, m bigint"))
+
+
+def test_group_members_hold_everything(spark):
+    found = members.group_members(grouped(spark), "k", "m").collect()
+    assert Counter({(r["k"], r["m"]): r["copies"] for r in found}) == Counter(
         {("hot", i): 3 for i in range(1000)} | {("cold", 1): 2, (None, 2): 1, ("none", None): 1}
     )
-    assert len([r for r in groups if r["k"] == "hot"]) == 10
+    assert len(found) == 1003
+
+
+def test_one_row_more_changes_no_other_row(spark):
+    for count in (members.group_members, lambda *a: members.member_lists(*a, buckets=7)):
+        before = {str(r) for r in count(grouped(spark), "k", "m").collect()}
+        after = {str(r) for r in count(grouped(spark, [("hot", 5000)]), "k", "m").collect()}
+        assert len(before - after) <= 1 and len(after - before) == 1
+
+
+def test_member_lists_hold_the_same(spark):
+    lists = members.member_lists(grouped(spark), "k", "m", buckets=10).collect()
+    found = {(r["k"], e["member"]): e["copies"] for r in lists for e in r["members"]}
+    rows = members.group_members(grouped(spark), "k", "m").collect()
+    assert found == {(r["k"], r["m"]): r["copies"] for r in rows}
+    assert len([r for r in lists if r["k"] == "hot"]) == 10
+    with pytest.raises(ValueError):
+        members.member_lists(grouped(spark), "k", "m", buckets=0)
 
 
 def factors_of(n):
@@ -191,6 +212,30 @@ def test_prime_factors(spark):
         assert found[n] == factors_of(n), n
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_prime_factors_of_large_numbers(spark, ansi):
+    wanted = {
+        2**31: [2] * 31,
+        2**31 + 11: [2**31 + 11],
+        2**32 + 6: [2, 83, 1277, 20261],
+        1048583 * 1048589: [1048583, 1048589],
+        1048583**2: [1048583, 1048583],
+        2**61 - 1: [2**61 - 1],
+        2**63 - 1: [7, 7, 73, 127, 337, 92737, 649657],
+        4294967291 * 2147483647: [2147483647, 4294967291],
+        -(2**40): [],
+        None: None,
+    }
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        df = spark.createDataFrame([(v,) for v in wanted], "n bigint")
+        found = {r["n"]: r["factors"] for r in numbers.with_factors(df, "n").collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert found == wanted
+
+
 def test_factor_histogram(spark):
     values = [12, 12, 7, 1, 0, 60]
     df = spark.createDataFrame([(v,) for v in values], "n int")
@@ -207,16 +252,6 @@ def test_squares(spark):
     assert numbers.square_sum(rows, "n", []).first()[0] == 55
 
 
-def test_spread_only_shuffles_scans_that_are_too_narrow(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(1000).coalesce(1).write.parquet(path)
-    narrow = spark.read.parquet(path)
-    assert tables.spread(narrow, "id").rdd.getNumPartitions() == 8
-    assert tables.spread(narrow, "id").count() == 1000
-    wide = spark.range(0, 1000, 1, 16)
-    assert tables.spread(wide, "id") is wide
-
-
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
