@@ -9,6 +9,7 @@ import pytest
 
 from millrace.llm import mixing
 from millrace.llm.queries import QUERIES
+from odd_corpus import nothing, odd, odd_rows  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 

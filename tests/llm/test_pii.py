@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 
 from millrace.llm import pii
 from millrace.llm.queries import QUERIES
+from odd_corpus import nothing, odd, odd_rows  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 # The wanted patterns, fixed values.

@@ -7,6 +7,7 @@ from collections import Counter
 import corpus_pipeline
 from millrace.llm import pii, toxicity
 from millrace.llm.common import stored
+from odd_corpus import ids_of, tokenizer  # noqa: F401
 from test_mixing import plain_targets, words
 from test_prints import plain_components, plain_print
 from test_tokens import check_packing

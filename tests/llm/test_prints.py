@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from millrace.llm import fingerprints, simhash_vp
 from millrace.llm.components import component_roots
 from millrace.llm.queries import QUERIES
+from odd_corpus import nothing, odd, odd_rows  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 

@@ -18,6 +18,7 @@ from millrace.llm import orc_ids, packing, viterbi
 from millrace.llm.queries import QUERIES
 from millrace.llm.tokens import Encoder
 from millrace.session import fresh_path
+from odd_corpus import ids_of, nothing, odd, odd_rows, tokenizer  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 TEXT = st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \n.,'\"sStTdD0123é’½İß<|\x1c´ａ")), max_size=60)
