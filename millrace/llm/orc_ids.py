@@ -110,11 +110,12 @@ def read_ids(
     return rows.join(bases, "part").select("doc_id", start, "n_tokens", last)
 
 
+# Arrow holds the ids as 32-bit numbers, little-endian on all machines Spark runs on.
 def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lists = batch.column("ids")
         offsets = lists.offsets.to_numpy()
-        held = memoryview(lists.values.to_numpy().astype("<u4", copy=False)).cast("B")
+        held = memoryview(lists.values.to_numpy()).cast("B")
         sums = [zlib.crc32(held[4 * a : 4 * b]) for a, b in zip(offsets, offsets[1:])]
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:4], pa.array(sums, pa.int64())],

@@ -226,6 +226,8 @@ def discovered(
     )
     likely = stored(likely, "pii-patterns")
     names = [row["pattern"] for row in likely.select("pattern").distinct().collect()]
+    if not names:
+        return found.filter(F.lit(False)).select(*keep, F.array().cast(SPAN).alias("more"))
     counted = stored(occurrences(docs, names, text), "pii-uses")
     # A pattern glued to its instances is no word of its own and counts them alone.
     uses = F.coalesce("uses", F.lit(0)).alias("uses")

@@ -55,6 +55,8 @@ _CLASS = np.full(256, _OTHER, dtype=np.uint8)
 _CLASS[[9, 10, 11, 12, 13, 32]] = _SPACE
 _CLASS[[b for b in range(256) if b >= 0x80 or chr(b).isalpha()]] = _LETTER
 _CLASS[list(b"0123456789")] = _DIGIT
+_SMALL = np.arange(256, dtype=np.uint8)
+_SMALL[65:91] += 32
 _LOOK = np.zeros(256, dtype=bool)
 _LOOK[[0x27, 0xC2, *range(0xCA, 256)]] = True
 _ODD = (b"<|", b"\x1c", b"\x1d", b"\x1e", b"\x1f", "İ".encode())
@@ -129,11 +131,13 @@ class Encoder:
         data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[held[0] : held[-1]]
         starts = held - held[0]
         whole = [i for i in _suspects(data, starts) if not _safe_to_cut(texts[i].as_py())]
+        # The tokenizer does the same to all letters; here it saves meeting words twice.
+        data = _SMALL[data]
 
         cuts = np.flatnonzero(_first_of_piece(data, starts))
         spans = np.searchsorted(cuts, starts)
         pieces = pa.LargeStringArray.from_buffers(
-            len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data))
+            len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(data)
         )
         kept = _CLASS[data[cuts[:-1]]] != _SPACE
         for i in whole:
