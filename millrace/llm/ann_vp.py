@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored, with_row_keys
+from millrace.llm.common import let_workers_import, stored, with_row_keys
 
 SHARD_ROWS = 8192
 QUERY_ROWS = 4096
@@ -180,6 +180,7 @@ def nearest(
             columns = [pa.array(column) for column in columns]
         return pa.Table.from_arrays(columns, names=["query_id", "query_row", "id", "score"])
 
+    let_workers_import(vectors)
     found = held.cogroup(asked).applyInArrow(
         search, "query_id bigint, query_row bigint, id bigint, score double"
     )

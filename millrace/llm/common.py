@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import re
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 from millrace.session import fresh_path
 
 CHUNK_BYTES = 8_000_000
+PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -26,6 +30,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def let_workers_import(df: DataFrame) -> None:
+    """Python workers on this machine find the package wherever the driver was started.
+
+    On a cluster the package is installed or sent with ``--py-files``, as any other.
+    """
+    settings = df.sparkSession.sparkContext.environment
+    paths = [path for path in settings.get("PYTHONPATH", "").split(os.pathsep) if path]
+    if PACKAGE_ROOT not in paths:
+        settings["PYTHONPATH"] = os.pathsep.join([*paths, PACKAGE_ROOT])
+
+
+def map_arrow(df: DataFrame, work: Callable, schema: StructType | str) -> DataFrame:
+    """``mapInArrow`` with functions of this package."""
+    let_workers_import(df)
+    return df.mapInArrow(work, schema)
+
+
 def text_slices(
     batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = CHUNK_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
@@ -68,19 +89,23 @@ def fresh_names(df: DataFrame, *names: str) -> list[str]:
 def with_row_keys(docs: DataFrame, label: str) -> tuple[DataFrame, list[str]]:
     """The rows with two more columns that name each row for good, and their names.
 
-    They are the file and the place in it. Rows read from Parquet have them
-    already; others are stored first. Equal rows get different keys, and a
+    They are the file and the place in it. A plain scan of Parquet files has them
+    already; other frames are stored first. Equal rows get different keys, and a
     retried task gets the same ones.
     """
     names = fresh_names(docs, "row_file", "row_number")
+    scan = docs if _is_scan(docs) else stored(docs, label)
+    row = scan.metadataColumn("_metadata")
+    keys = [row["file_path"].alias(names[0]), row["row_index"].alias(names[1])]
+    return scan.select("*", *keys), names
 
-    def keyed(df: DataFrame) -> DataFrame:
-        row = df.metadataColumn("_metadata")
-        return df.select(
-            "*", row["file_path"].alias(names[0]), row["row_index"].alias(names[1])
-        )
 
-    try:
-        return keyed(docs), names
-    except AnalysisException:
-        return keyed(stored(docs, label)), names
+def _is_scan(df: DataFrame) -> bool:
+    """Whether the frame is a scan of Parquet files, with columns or rows left out at most.
+
+    Anything else may give a row of a file more than once.
+    """
+    plan = df._jdf.queryExecution().analyzed().toString()
+    nodes = [re.sub(r"^[\s:+-]+", "", line) for line in plan.strip().splitlines()]
+    simple = all(re.match("Project |Filter |SubqueryAlias |Relation ", node) for node in nodes)
+    return simple and bool(re.search(r"\] parquet$", nodes[-1]))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fresh_names, stored, with_row_keys
+from millrace.llm.common import fresh_names, map_arrow, stored, with_row_keys
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_ROWS = 2048
@@ -204,7 +204,7 @@ def mix(
             .sortWithinPartitions("source_no", "block", "digest", "doc_id", "size", *others)
         )
         flown = stored(
-            dealt.mapInArrow(_flight(seed, dealt.columns), dealt.schema).drop("block", "digest"),
+            map_arrow(dealt, _flight(seed, dealt.columns), dealt.schema).drop("block", "digest"),
             "mix-flight",
         )
         parts += [current.filter(~unsettled)]

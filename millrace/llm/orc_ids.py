@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import text_slices
+from millrace.llm.common import map_arrow, text_slices
 from millrace.llm.tokens import END_ID, TOKENIZER, encoder
 
 FILE_SCHEMA = "doc_id bigint, first bigint, n_tokens bigint, ids array<int>"
@@ -67,7 +67,7 @@ def write_ids(
             first += int(stops[-1])
 
     (
-        ordered.mapInArrow(encode, FILE_SCHEMA)
+        map_arrow(ordered, encode, FILE_SCHEMA)
         .write.option("orc.create.index", "true")
         .option("orc.row.index.stride", row_index_stride)
         .option("orc.stripe.size", stripe_bytes)
@@ -105,7 +105,7 @@ def read_ids(
     rows, last = rows.select("doc_id", "first", "n_tokens", part, "ids"), "ids"
     if checksum:
         schema = "doc_id bigint, first bigint, n_tokens bigint, part string, ids_crc32 bigint"
-        rows, last = rows.mapInArrow(_checksums, schema), "ids_crc32"
+        rows, last = map_arrow(rows, _checksums, schema), "ids_crc32"
     start = (F.col("base") + F.col("first")).alias("start")
     return rows.join(bases, "part").select("doc_id", start, "n_tokens", last)
 

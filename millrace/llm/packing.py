@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored, text_slices
+from millrace.llm.common import map_arrow, stored, text_slices
 from millrace.llm.tokens import END_ID, TOKENIZER, encoder
 
 LENGTH = 4096
@@ -204,7 +204,7 @@ def cut_pieces(
     narrow = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")
     )
-    return narrow.mapInArrow(cut, PIECES)
+    return map_arrow(narrow, cut, PIECES)
 
 
 def pack(
@@ -245,11 +245,10 @@ def pack(
             columns = [batch.column(name) for name in KEPT] + [pa.array(sequence), pa.array(slot)]
             yield pa.RecordBatch.from_arrays(columns, names=[*KEPT, "sequence_id", "slot"])
 
-    placed = (
-        pieces.join(bases, ["length", "task"])
-        .select(*KEPT, (F.col("base") + F.col("rank_in_task")).alias("rank"))
-        .mapInArrow(place, PLACED)
+    ranked = pieces.join(bases, ["length", "task"]).select(
+        *KEPT, (F.col("base") + F.col("rank_in_task")).alias("rank")
     )
+    placed = map_arrow(ranked, place, PLACED)
     ahead = Window.partitionBy("sequence_id").orderBy("slot")
     ahead = ahead.rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("length").over(ahead), F.lit(0))

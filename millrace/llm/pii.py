@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fresh_names, stored, text_chunks, with_row_keys
+from millrace.llm.common import fresh_names, map_arrow, stored, text_chunks, with_row_keys
 
 KINDS = ("email", "ip", "card", "phone")
 SPAN = "array<struct<kind:string,start:bigint,stop:bigint>>"
@@ -147,7 +147,7 @@ def found_in(docs: DataFrame, keep: list[str], text: str) -> DataFrame:
     schema = narrow.select(
         *keep, F.lit(None).cast(SPAN).alias("base"), F.lit(None).cast(HINT).alias("hints")
     ).schema
-    return narrow.mapInArrow(work, schema)
+    return map_arrow(narrow, work, schema)
 
 
 _SPANS = pa.list_(
@@ -184,9 +184,8 @@ def occurrences(docs: DataFrame, patterns: list[str], text: str) -> DataFrame:
             names=["pattern", "uses"],
         )
 
-    counted = docs.select(F.col(text).alias("searched_text")).mapInArrow(
-        work, "pattern string, uses bigint"
-    )
+    texts = docs.select(F.col(text).alias("searched_text"))
+    counted = map_arrow(texts, work, "pattern string, uses bigint")
     return counted.groupBy("pattern").agg(F.sum("uses").alias("uses"))
 
 
@@ -350,7 +349,7 @@ def without_personal_data(docs: DataFrame, **how) -> DataFrame:
             columns["text"] = pa.array(new, texts.type)
             yield pa.RecordBatch.from_pydict(columns)
 
-    result = rows.mapInArrow(mask, docs.schema)
+    result = map_arrow(rows, mask, docs.schema)
     if "n_chars" not in names:
         return result
     kind = docs.schema["n_chars"].dataType

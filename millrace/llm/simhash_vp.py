@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored, text_chunks, with_row_keys
+from millrace.llm.common import map_arrow, stored, text_chunks, with_row_keys
 from millrace.llm.components import component_roots
 
 SEED = 42
@@ -70,7 +70,7 @@ def with_fingerprints(docs: DataFrame, keep: list[str], shingle: int, text: str)
 
     narrow = docs.select(*keep, F.col(text).alias("fingerprinted_text"))
     schema = narrow.select(*keep, F.lit(0).cast("bigint").alias("fp")).schema
-    return narrow.mapInArrow(work, schema)
+    return map_arrow(narrow, work, schema)
 
 
 def hex_print(column: str) -> Column:
@@ -213,7 +213,7 @@ def linked_prints(points: DataFrame, radius: int, clean: int = 2) -> DataFrame:
     if not 0 <= radius or radius + clean > FIELDS:
         raise ValueError("radius and clean groups must fit the fields of a fingerprint")
     dealt = shards(points, radius, clean).repartition("shard").sortWithinPartitions("shard")
-    return dealt.mapInArrow(_links_of_shards(radius), "a bigint, b bigint")
+    return map_arrow(dealt, _links_of_shards(radius), "a bigint, b bigint")
 
 
 def _classes(docs: DataFrame, shingle: int, radius: int, keep: list[str], text: str) -> DataFrame:

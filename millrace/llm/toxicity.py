@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored, text_chunks, with_row_keys
+from millrace.llm.common import map_arrow, stored, text_chunks, with_row_keys
 
 WORDS = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (4, 5, 6, 7)
@@ -200,8 +200,7 @@ def vocabulary(train: DataFrame, size: int, least: float, times: float) -> list[
     off = both * n - seen * toxic
     chi = off * off * n / (seen * (n - seen) * toxic * (n - toxic))
     ranked = (
-        train.select("text", "label")
-        .mapInArrow(presence, "term string, label int")
+        map_arrow(train.select("text", "label"), presence, "term string, label int")
         .groupBy("term")
         .agg(F.count("*").cast("double").alias("seen"), F.sum("label").alias("both"))
         .filter((F.col("seen") >= 4) & (F.col("seen") < n))
@@ -229,7 +228,7 @@ def with_counts(docs: DataFrame, keep: list[str], terms: list[str]) -> DataFrame
     narrow = docs.select(*keep, F.col("text").alias("counted_text"))
     empty = F.array().cast("array<int>")
     schema = narrow.select(*keep, empty.alias("terms"), empty.alias("times")).schema
-    return narrow.mapInArrow(count, schema)
+    return map_arrow(narrow, count, schema)
 
 
 def document_frequencies(counted: DataFrame, size: int) -> dict[int, int]:
@@ -247,7 +246,7 @@ def document_frequencies(counted: DataFrame, size: int) -> dict[int, int]:
             [pa.array(seen, pa.int32()), pa.array(total[seen])], names=["term", "documents"]
         )
 
-    parts = counted.select("terms").mapInArrow(add, "term int, documents bigint")
+    parts = map_arrow(counted.select("terms"), add, "term int, documents bigint")
     rows = parts.groupBy("term").agg(F.sum("documents").alias("documents")).collect()
     return {row["term"]: row["documents"] for row in rows}
 
@@ -317,7 +316,7 @@ def scored(
 
     ids = F.array().cast("array<bigint>").alias("evidence")
     schema = counted.select(*keep, F.lit(0.0).alias("score"), ids).schema
-    return counted.mapInArrow(score, schema)
+    return map_arrow(counted, score, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **how) -> DataFrame:

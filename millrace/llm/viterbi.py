@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import text_chunks
+from millrace.llm.common import map_arrow, text_chunks
 
 PIECES = "piece_bpe_32k.model"
 MARK = "▁"
@@ -138,4 +138,4 @@ def token_counts(
     narrow = docs.select(*keep, F.col(text_col).alias("counted_text"))
     zero = F.lit(0).cast("bigint").alias("n_tokens")
     schema = narrow.select(*keep, zero, F.lit(0.0).alias("score")).schema
-    return narrow.mapInArrow(count, schema)
+    return map_arrow(narrow, count, schema)
