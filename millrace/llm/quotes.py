@@ -109,8 +109,10 @@ def linked(messages: DataFrame) -> DataFrame:
     thread, depth, turn is a reply order. ``quotes`` and ``linked`` count the
     quoted passages and those found. A quote of what nobody wrote earlier in the
     conversation links nowhere. Messages that repeat conv_id and turn all come
-    back and share their link. A null text stays null; null conversations or
-    turns link nothing. An empty table gives no rows.
+    back; those with quotes share their link. A null text stays null; null
+    conversations or turns link nothing. An empty table gives no rows.
+
+    Messages without quotes, mostly nearly all, are neither shuffled nor joined.
     """
     kept = messages.select("conv_id", F.col("turn").cast("bigint").alias("turn"), "role", "text")
     quoting = kept.filter(has_quotes("text"))
@@ -148,17 +150,25 @@ def linked(messages: DataFrame) -> DataFrame:
         "depth",
     )
     same = (F.col("conv_id") == F.col("of_conv")) & (F.col("turn") == F.col("of_turn"))
-    return kept.join(answers, same, "left").select(
-        "conv_id",
-        "turn",
-        "role",
-        without_quotes("text").alias("text"),
+    message = ["conv_id", "turn", "role", without_quotes("text").alias("text")]
+    none = F.lit(0).cast("bigint")
+    answered = quoting.join(answers, same, "left").select(
+        *message,
         "reply_to",
         F.coalesce("thread", "turn").alias("thread"),
         F.coalesce("depth", F.lit(0)).alias("depth"),
-        F.coalesce("quotes", F.lit(0)).alias("quotes"),
-        F.coalesce("linked", F.lit(0)).alias("linked"),
+        F.coalesce("quotes", none).alias("quotes"),
+        F.coalesce("linked", none).alias("linked"),
+    )
+    plain = kept.filter(~has_quotes("text")).select(
+        *message,
+        F.lit(None).cast("bigint").alias("reply_to"),
+        F.col("turn").alias("thread"),
+        F.lit(0).alias("depth"),
+        none.alias("quotes"),
+        none.alias("linked"),
     )
+    return plain.unionByName(answered)
 
 
 def _chains(replies: DataFrame) -> DataFrame:
