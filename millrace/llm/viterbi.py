@@ -10,6 +10,7 @@ as unknown, ten below the lowest score, and counts as its UTF-8 bytes.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,7 +28,7 @@ from millrace.llm.common import map_arrow, text_chunks
 PIECES = "piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-STORE_WORDS = 400_000
+STORE_WORDS = 300_000
 # Python splits on these, the tokenizer does not.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
@@ -52,16 +53,31 @@ class Counter:
         self.automaton.make_automaton()
         self.singles = {piece for piece, _ in pieces if len(piece) == 1}
         self.unknown = min(score for _, score in pieces) - UNKNOWN_PENALTY
+        # Words met lately, and those met before them.
         self.known: dict[str, tuple[int, float]] = {}
+        self.older: dict[str, tuple[int, float]] = {}
 
     def best(self, part: str) -> tuple[int, float]:
         """Number of pieces and score of the best segmentation."""
+        if not self.singles.issuperset(part):
+            return self._best_with_unknown(part)
+        # Matches come by their end, the longest first: among equal sums the
+        # piece that begins first stays.
+        scores, counts = [0.0] + [-math.inf] * len(part), [0] * (len(part) + 1)
+        for last, (length, own) in self.automaton.iter(part):
+            end = last + 1
+            offer = scores[end - length] + own
+            if offer > scores[end]:
+                scores[end], counts[end] = offer, counts[end - length] + 1
+        return counts[-1], scores[-1]
+
+    def _best_with_unknown(self, part: str) -> tuple[int, float]:
+        """The same where a character may have to stand as unknown."""
         counts, scores = [0], [0.0]
         matches = self.automaton.iter(part)
         at, match = -1, None
         for end, char in enumerate(part):
             score = count = None
-            # Longest first: among equal sums the piece that begins first stays.
             while True:
                 if at == end:
                     length, own = match
@@ -92,11 +108,11 @@ class Counter:
             [w for w in _SPACE.split(t) if w] if _SEPARATORS.search(t) else t.split()
             for t in texts
         ]
-        known = self.known
-        if len(known) > STORE_WORDS:
-            known.clear()
+        if len(self.known) > STORE_WORDS:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         for word in set(chain.from_iterable(words)).difference(known):
-            known[word] = self.word(word)
+            known[word] = older.get(word) or self.word(word)
         found = []
         for each in words:
             if not each:
