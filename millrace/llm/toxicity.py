@@ -178,18 +178,27 @@ def vocabulary(train: DataFrame, size: int, least: float, times: float) -> list[
 
     Their chi-square is at least ``least``, and they are ``times`` as frequent in
     one class as in the other: words of a language or a subject that one class
-    merely has more of are left out.
+    merely has more of are left out. What counts is the number of different
+    surroundings a term stands in, one for each text, so that the words of copies
+    and of passages that many texts share are not taken for evidence.
     """
 
     def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_chunks(batches):
-            terms, labels = [], []
+            types = pa.string(), pa.string(), pa.int32()
+            terms, places, labels = [], [], []
             for text, label in zip(texts, batch.column("label").to_pylist()):
-                found = {t for word in set(WORDS.findall(text.lower())) for t in terms_of(word)}
+                words = WORDS.findall(text.lower())
+                found: dict[str, str] = {}
+                for before, word, after in zip(["", *words], words, [*words[1:], ""]):
+                    new = [term for term in terms_of(word) if term not in found]
+                    found.update(dict.fromkeys(new, f"{before} {word} {after}"))
                 terms += found
+                places += found.values()
                 labels += [label] * len(found)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(terms, pa.string()), pa.array(labels, pa.int32())], names=["term", "label"]
+                [pa.array(c, t) for c, t in zip((terms, places, labels), types)],
+                names=["term", "place", "label"],
             )
 
     totals = train.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("toxic"))
@@ -200,7 +209,11 @@ def vocabulary(train: DataFrame, size: int, least: float, times: float) -> list[
     off = both * n - seen * toxic
     chi = off * off * n / (seen * (n - seen) * toxic * (n - toxic))
     ranked = (
-        map_arrow(train.select("text", "label"), presence, "term string, label int")
+        map_arrow(
+            train.select("text", "label"), presence, "term string, place string, label int"
+        )
+        .groupBy("term", F.xxhash64("place").alias("place"))
+        .agg(F.max("label").alias("label"))
         .groupBy("term")
         .agg(F.count("*").cast("double").alias("seen"), F.sum("label").alias("both"))
         .filter((F.col("seen") >= 4) & (F.col("seen") < n))
@@ -273,7 +286,15 @@ def scored(
     """
     drawn = training_rows(labels, target, examples)
     rows = docs.select("doc_id", "text").join(drawn, F.col("doc_id") == F.col("example_id"))
-    train = stored(rows.select("text", F.col("label").cast("int").alias("label")), "toxic-train")
+    # Copies of a text are one example, toxic if any of them is.
+    text = F.coalesce("text", F.lit(""))
+    distinct = rows.groupBy(F.xxhash64(text).alias("digest"), F.length(text).alias("length"))
+    train = distinct.agg(
+        F.min("doc_id").alias("doc_id"),
+        F.max("label").cast("int").alias("label"),
+        F.any_value(text).alias("text"),
+    )
+    train = stored(train.select("doc_id", "label", "text"), "toxic-train")
     chosen = vocabulary(train, terms, chi_square, odds)
     counted = stored(with_counts(docs, [*keep], chosen), "toxic-counts")
 
@@ -287,7 +308,7 @@ def scored(
     rates = tuple(class_rows.get(c, 0) / max(1, taken.get(c, 0)) for c in (0, 1))
 
     held = (
-        with_counts(rows.select("doc_id", "label", "text"), ["doc_id", "label"], chosen)
+        with_counts(train, ["doc_id", "label"], chosen)
         .orderBy("terms", "times", "label", "doc_id")
         .collect()
     )
