@@ -114,3 +114,17 @@ def test_examples_are_bounded(spark):
     _, labels, _ = corpus(spark)
     drawn = toxicity.training_rows(labels, "toxic", 40).groupBy("label").count().collect()
     assert {r.label: r["count"] for r in drawn} == {0: 20, 1: 20}
+
+
+def test_words_of_copies_are_no_evidence(spark):
+    docs, labels, _ = corpus(spark)
+    toxic = "river grobnik stone snarlop cloud mirkwood tree bread light window"
+    copies = [(2000 + i, toxic, "x") for i in range(60)]
+    near = [(2100 + i, f"{toxic} garden paper music {i}", "x") for i in range(60)]
+    clean = [(2200, "river stone mirkwood cloud tree", "x"), (2201, "mirkwood light bread", "x")]
+    more = spark.createDataFrame(copies + near + clean, docs.schema)
+    known = spark.createDataFrame([(r[0], 1, 1, "z") for r in copies + near], LABELS)
+    found = toxicity.toxicity(docs.union(more), labels.union(known)).collect()
+    scores = {r.doc_id: r.score for r in found}
+    assert scores[2200] < 0.3 and scores[2201] < 0.3
+    assert min(scores[r[0]] for r in copies + near) > 0.7
