@@ -2,10 +2,12 @@
 
 Lines that begin with ``>`` marks are quotes; the number of marks is the level.
 A passage is a run of lines of one level without an empty line between. Passages
-are normalised (lower case, single spaces) and hashed; a quoted passage links to
-the earliest message of its conversation whose own words hold it. The message
-that most outermost passages come from is the one replied to. DataFrame
-functions only.
+are normalised (lower case, single spaces); a quoted passage links to the earliest
+message of its conversation whose own words hold it, be it the whole message or
+any whole words that follow each other there. Candidates share a hashed run of
+words with the passage, and their text is compared with it. A passage without
+letters or digits links to a whole message, paragraph or line. The message that
+most outermost passages come from is the one replied to. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -21,6 +23,12 @@ NEW_LINE = r"\r\n|\r|\n"
 INTRODUCTION = r"(?m)^[^\r\n>]*\bwrote:[ \t]*(\r\n|\r|\n)(?=[ \t]*>)"
 QUOTE_LINES = r"(?m)^[ \t]*>[^\r\n]*(\r\n|\r|\n|\z)"
 
+# Signs of scripts that put no space between words are words of their own.
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+WORD = rf"[{UNSPACED}]|[\p{{L}}\p{{M}}\p{{N}}&&[^{UNSPACED}]]+"
+# A passage is looked up by runs of the most words of these that it has.
+RUNS = (8, 4, 2, 1)
+
 
 def has_quotes(text: str) -> Column:
     return F.coalesce(F.col(text).rlike(r"(?m)^[ \t]*>"), F.lit(False))
@@ -78,13 +86,90 @@ def quoted_passages(messages: DataFrame) -> DataFrame:
     )
 
 
-def own_passages(own: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(conv_id, digest, first): where the quoted passages were written first.
+def words(text: str) -> Column:
+    return F.regexp_extract_all(normalised(F.col(text)), F.lit(WORD), 0)
+
 
-    Candidates are the messages' whole own words and their paragraphs, of
-    conversations that have quotes at all.
+def marked(text: str) -> Column:
+    """The normalised text with a mark on both sides of each word.
+
+    A marked text that holds another one holds its words as whole words.
     """
-    asked = wanted.select("conv_id").distinct()
+    return F.regexp_replace(normalised(F.col(text)), f"({WORD})", "\x01$1\x01")
+
+
+def runs(words: str, lengths: Column) -> Column:
+    """Hashes of the different runs of so many words."""
+    none = F.array().cast("array<bigint>")
+
+    def of_length(length: Column) -> Column:
+        last = F.greatest(F.size(words) - length, F.lit(0))
+        hashed = F.transform(
+            F.sequence(F.lit(0), last), lambda at: F.xxhash64(length, F.slice(words, at + 1, length))
+        )
+        return F.when(F.size(words) >= length, hashed).otherwise(none)
+
+    return F.array_distinct(F.flatten(F.transform(lengths, of_length)))
+
+
+def first_holders(own: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(conv_id, digest, first): the earliest messages whose own words hold the passages.
+
+    A passage is compared with the messages that have its rarest run of words in
+    the conversation, so runs that many messages share are met only by passages
+    that have no others. Equal passages and equal messages of a conversation are
+    compared once.
+    """
+    passages = wanted.filter(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
+    passages = passages.groupBy("conv_id", "digest", "passage").agg(F.max("turn").alias("until"))
+    passages = passages.withColumn("words", words("passage")).filter(F.size("words") > 0)
+    length = F.coalesce(*[F.when(F.size("words") >= r, F.lit(r)) for r in RUNS])
+    passages = stored(passages.withColumn("length", length), "distinct-passages")
+    asked = passages.groupBy("conv_id").agg(
+        F.collect_set("length").alias("lengths"), F.max("until").alias("until")
+    )
+    texts = (
+        own.join(asked, "conv_id")
+        .filter(F.col("turn") < F.col("until"))
+        .groupBy("conv_id", "own")
+        .agg(F.min("turn").alias("turn"), F.any_value("lengths").alias("lengths"))
+        .withColumn("message", F.xxhash64("own"))
+    )
+    texts = stored(texts, "asked-messages")
+    ours = passages.select(
+        "conv_id", "digest", F.explode(runs("words", F.array("length"))).alias("run")
+    )
+    ours = stored(ours, "passage-runs")
+    theirs = texts.select("conv_id", "message", words("own").alias("words"), "lengths").select(
+        "conv_id", "message", F.explode(runs("words", F.col("lengths"))).alias("run")
+    )
+    shared = theirs.join(ours.select("conv_id", "run").distinct(), ["conv_id", "run"], "left_semi")
+    shared = stored(shared, "shared-runs")
+    holders = shared.groupBy("conv_id", "run").agg(F.count("*").alias("holders"))
+    rarest = F.min(F.struct(F.coalesce("holders", F.lit(0)).alias("holders"), "run"))
+    looked_up = (
+        ours.join(holders, ["conv_id", "run"], "left")
+        .groupBy("conv_id", "digest")
+        .agg(rarest.alias("rarest"))
+        .filter(F.col("rarest.holders") > 0)
+        .select("conv_id", "digest", F.col("rarest.run").alias("run"))
+    )
+    candidates = (
+        looked_up.join(shared, ["conv_id", "run"])
+        .select("conv_id", "digest", "message")
+        .join(passages.select("conv_id", "digest", marked("passage").alias("passage")), ["conv_id", "digest"])
+        .join(texts.select("conv_id", "message", "turn", marked("own").alias("own")), ["conv_id", "message"])
+    )
+    return (
+        candidates.filter(F.contains("own", "passage"))
+        .groupBy("conv_id", "digest")
+        .agg(F.min("turn").alias("first"))
+    )
+
+
+def first_units(own: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The same for passages without words: messages, paragraphs and lines equal to them."""
+    asked = wanted.filter(F.size(words("passage")) == 0).select("conv_id").distinct()
     texts = own.join(asked, "conv_id", "left_semi")
     paragraphs = F.split("own", rf"({NEW_LINE})[ \t]*({NEW_LINE})[\r\n]*")
     lines = F.split("own", NEW_LINE)
@@ -94,6 +179,7 @@ def own_passages(own: DataFrame, wanted: DataFrame) -> DataFrame:
             "turn",
             F.explode(F.concat(F.array("own"), paragraphs, lines)).alias("passage"),
         )
+        .filter(F.size(words("passage")) == 0)
         .select("conv_id", "turn", F.xxhash64(normalised(F.col("passage"))).alias("digest"))
         .groupBy("conv_id", "digest")
         .agg(F.min("turn").alias("first"))
@@ -120,7 +206,7 @@ def linked(messages: DataFrame) -> DataFrame:
         quoted_passages(quoting).withColumn("digest", F.xxhash64("passage")), "quoted-passages"
     )
     own = kept.select("conv_id", "turn", without_quotes("text").alias("own"))
-    first = own_passages(own, passages)
+    first = first_holders(own, passages).unionByName(first_units(own, passages))
     found = passages.join(first, ["conv_id", "digest"], "left").withColumn(
         "first", F.when(F.col("first") < F.col("turn"), F.col("first"))
     )

@@ -69,6 +69,40 @@ def test_many_messages_quote_one(spark):
     assert Counter(r.reply_to for r in found.values()) == {None: 1, 0: 299}
 
 
+def test_trimmed_quotes(spark):
+    found = linked(
+        spark,
+        [
+            (1, 0, "a", "The plan is late.\nWe need two more weeks.\nCan you help?\n\nThanks\n\nThe end"),
+            (1, 1, "b", "> We need two more weeks.\n> Can you help?\nNo."),
+            (1, 2, "b", "> can you help?\n> Thanks\n> The end\nPerhaps."),
+            (1, 3, "c", "> weeks\nSo long. It is a very long line, really, with a sentence in it. Well."),
+            (1, 4, "d", "> it is a very long line, really, with a sentence in it\nYes."),
+            (1, 5, "d", "> elp?\nA part of a word."),
+            (1, 6, "d", "> We need three more weeks.\nOther words."),
+            (1, 7, "d", "> two more, weeks\nOther signs."),
+            (1, 8, "e", "会议在星期五举行。"),
+            (1, 9, "e", "> 星期五\n好"),
+            (1, 10, "e", "-----\nx"),
+            (1, 11, "e", "> ---\nNo such line."),
+            (1, 12, "e", "> -----\nThis line."),
+            (1, 13, "e", "> other signs. other signs.\nNot across messages."),
+        ],
+    )
+    replies = {turn: r.reply_to for (_, turn), r in found.items()}
+    assert replies == dict.fromkeys(range(14)) | {1: 0, 2: 0, 3: 0, 4: 3, 9: 8, 12: 10}
+
+
+def test_passages_that_share_most_words(spark):
+    same = "all of these many words are found in each of the messages of this talk"
+    rows = [(1, i, "a", f"{same} number{i} {same}") for i in range(200)]
+    rows += [(1, 200 + i, "b", f"> messages of this talk number{i} all of\nyes") for i in range(200)]
+    rows += [(1, 400, "c", f"> {same}\nwell")]
+    found = linked(spark, rows)
+    assert all(found[1, 200 + i].reply_to == i for i in range(200))
+    assert found[1, 400].reply_to == 0
+
+
 def test_odd_rows(spark):
     rows = [
         (1, 0, "a", None),
