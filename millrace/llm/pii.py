@@ -3,7 +3,8 @@
 Four forms (email, ip, card, phone) are found by rule; they are the seeds. The
 one and the two words before a seed are its lexical patterns. Every token that
 looks like an identifier (digits in it, or an at sign) is an instance of the
-patterns before it, whether a rule knows it or not. Patterns and instances form
+patterns before it, whether a rule knows it or not; groups of digits joined by
+single spaces, dots, hyphens or brackets are one instance. Patterns and instances form
 a graph that is scored in rounds: a pattern is as good as the share of its
 occurrences, with any word after it, that are believed instances of one kind; an
 instance is believed as far as one of its accepted patterns is. Instances of
@@ -40,6 +41,10 @@ _NO_DIGIT = re.compile("[^0-9]")
 _DIGIT = re.compile("[0-9]")
 _TOKEN = re.compile(r"\S+")
 _EDGES = "\"'`.,;:!?()[]{}<>|*#&$%=“”‘’«»"
+# A token that is groups of digits, without the punctuation around it.
+_GROUPS = re.compile(
+    rf"[{re.escape(_EDGES)}]*?(\+?\(?[0-9]++(?:\)?[.-]?\(?[0-9]++)*+\)?)[{re.escape(_EDGES)}]*"
+)
 _OPENING = " \t\"'`([{<|*“‘«"
 LONGEST_INSTANCE = 200
 LONGEST_WORD = 40
@@ -96,6 +101,43 @@ def looks_like_identifier(token: str) -> bool:
     return len(token) >= 5 and (digits >= 4 or ("@" in token and len(token.strip("@")) >= 5))
 
 
+def without_edges(text: str, start: int, stop: int) -> tuple[int, int]:
+    part = text[start:stop]
+    return stop - len(part.lstrip(_EDGES)), start + len(part.rstrip(_EDGES))
+
+
+def joined_groups(text: str, tokens: list[tuple]) -> Iterator[tuple[int, int]]:
+    """The places of the tokens; groups of digits with one space between are one place.
+
+    An opening bracket before the first group belongs to it if it is closed within.
+    """
+    first = last = None
+    for token, start, stop in [*tokens, (None, 0, 0)]:
+        groups = token and _GROUPS.fullmatch(text, token.start(), token.end())
+        begin, end = groups.span(1) if groups else (start, stop)
+        if last is not None:
+            if groups and begin == token.start() == last + 1 and text[last] == " " and text[begin] != "+":
+                last = end
+                if end < token.end():
+                    yield run_place(text, first, last)
+                    first = last = None
+                continue
+            yield run_place(text, first, last)
+            first = last = None
+        if groups and end == token.end():
+            first, last = begin, end
+        elif groups:
+            yield run_place(text, begin, end)
+        elif token:
+            yield start, stop
+
+
+def run_place(text: str, start: int, stop: int) -> tuple[int, int]:
+    inner, stop = without_edges(text, start, stop)
+    part = text[start:stop]
+    return (start if part.count("(") == part.count(")") else inner), stop
+
+
 def hints(text: str, base: list[tuple[str, int, int]]) -> list[tuple]:
     """(pattern, kind or null, instance, start, stop) for seeds and other instances."""
     found = [(kind, start, stop) for kind, start, stop in base]
@@ -106,14 +148,15 @@ def hints(text: str, base: list[tuple[str, int, int]]) -> list[tuple]:
         furthest = max(furthest, stop)
         reach.append(furthest)
     if "@" in text or _DIGIT.search(text):
+        free = []
         for token in _TOKEN.finditer(text):
             if not ("@" in token.group() or _DIGIT.search(token.group())):
                 continue
-            start = token.start() + len(token.group()) - len(token.group().lstrip(_EDGES))
-            stop = token.end() - len(token.group()) + len(token.group().rstrip(_EDGES))
+            start, stop = without_edges(text, token.start(), token.end())
             place = bisect_right(starts, stop - 1) - 1
-            if stop <= start or (place >= 0 and reach[place] > start):
-                continue
+            if stop > start and not (place >= 0 and reach[place] > start):
+                free.append((token, start, stop))
+        for start, stop in joined_groups(text, free):
             if looks_like_identifier(text[start:stop]):
                 found.append((None, start, stop))
     rows = []

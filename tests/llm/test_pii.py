@@ -118,6 +118,53 @@ def test_contexts_find_what_no_form_knows(spark):
     assert found == {i: ("card", number) for i, number in hidden}
 
 
+def instances(text):
+    base = pii.base_spans(text)
+    return {text[start:stop] for _, kind, _, start, stop in pii.hints(text, base) if kind is None}
+
+
+def test_groups_of_digits_are_one_instance():
+    for text, wanted in (
+        ("call 555 123 4567 now", {"555 123 4567"}),
+        ("card: 4111 1111 1111 1112.", {"4111 1111 1111 1112"}),
+        ("phone: (555) 123-4567, or", {"(555) 123-4567"}),
+        ("phone: 1 (800) 555.1234", {"1 (800) 555.1234"}),
+        ("phone (555 123 4567) or", {"555 123 4567"}),
+        ("phone (555)123-4567", {"(555)123-4567"}),
+        ("at 555 1234, 555 9876", {"555 1234", "555 9876"}),
+        ("at 555 1234\nor 555 9876  555 4444", {"555 1234", "555 9876", "555 4444"}),
+        ("on 2024-01-05 10:30 at", {"2024-01-05", "10:30"}),
+        ("from 10.0.0.1 5551234567", {"5551234567"}),
+        ("id x1234 567 890 +4", {"x1234", "567 890"}),
+        ("the 12 and 5", set()),
+    ):
+        assert instances(text) == wanted, text
+    pii.hints("1 " * 200_000, [])
+    pii.hints("1." * 200_000, [])
+    pii.hints("(1)" * 200_000, [])
+    pii.hints("(" * 200_000 + "1", [])
+
+
+def test_contexts_find_numbers_written_in_groups(spark):
+    random_ = random.Random(5)
+    digits = lambda n: "".join(random_.choices("0123456789", k=n))
+    rows, hidden = [], {}
+    for i in range(200):
+        before, number = "my phone:", f"+1 555 {digits(3)} {digits(4)}"
+        if i % 10 == 1:
+            number = hidden[i] = f"({digits(3)}) {digits(3)}-{digits(4)}"
+        if i % 10 == 2:
+            number = hidden[i] = f"{digits(3)} {digits(3)} {digits(4)}"
+        if i % 10 == 3:
+            before, number = "the order", f"{digits(3)} {digits(3)} {digits(4)}"
+        rows.append((i, f"it is {before} {number} and so on"))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    masked = {r.doc_id: r.text for r in pii.without_personal_data(frame).collect()}
+    for i, text in rows:
+        assert (masked[i] == "it is my phone: [PHONE] and so on") == (i % 10 != 3)
+        assert (masked[i] == text) == (i % 10 == 3)
+
+
 def test_masking(spark):
     frame, texts, hidden = planted(spark)
     masked = {r.doc_id: r.text for r in pii.without_personal_data(frame).collect()}
