@@ -15,10 +15,12 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +50,8 @@ _GROUPS = re.compile(
 _OPENING = " \t\"'`([{<|*“‘«"
 LONGEST_INSTANCE = 200
 LONGEST_WORD = 40
+FILTER_BITS = 24
+MOST_COUNTED = 200_000
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -209,27 +213,73 @@ _HINTS = pa.list_(
 )
 
 
-def occurrences(docs: DataFrame, patterns: list[str], text: str) -> DataFrame:
-    """(pattern, uses): how often the patterns occur, with any word after them."""
-    ones = {p for p in patterns if " " not in p}
-    twos = {tuple(p.split(" ")) for p in patterns if " " in p}
+def pattern_bits(patterns: DataFrame) -> np.ndarray:
+    """A bit for each CRC of a pattern, cut to its size; always 2**FILTER_BITS / 8 bytes."""
+    place = F.crc32(F.col("pattern").cast("binary")).bitwiseAND((1 << FILTER_BITS) - 1) + 1
+    parts = (
+        patterns.select(place.alias("place"))
+        .groupBy(F.bitmap_bucket_number("place").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    )
+    # Spark counts places and buckets of 32768 of them from 1.
+    bits = np.zeros((1 << FILTER_BITS) // 8, dtype=np.uint8)
+    for row in parts.collect():
+        stop = row["bucket"] * 4096
+        bits[stop - 4096 : stop] = np.frombuffer(row["bits"], dtype=np.uint8)
+    return bits
+
+
+def maybe_pattern(bits: np.ndarray, text: str) -> bool:
+    place = zlib.crc32(text.encode()) & ((1 << FILTER_BITS) - 1)
+    return bool(bits[place >> 3] >> (place & 7) & 1)
+
+
+def occurrences(docs: DataFrame, patterns: DataFrame, text: str) -> DataFrame:
+    """(pattern, uses): how often the patterns occur, with any word after them.
+
+    The words and pairs of words are counted within tasks and joined to the
+    patterns, however many there are. A bit table of fixed size leaves out most
+    words that are none before that; those that it lets through find no partner.
+    The last word of a pattern of two is a pattern too, as it has the same seeds.
+    """
+    bits = pattern_bits(patterns)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uses: Counter = Counter()
+        met: set[str] = set()
+        likely: set[str] = set()
+
+        def counted() -> pa.RecordBatch:
+            names, values = pa.array(list(uses), pa.string()), pa.array(list(uses.values()), pa.int64())
+            return pa.RecordBatch.from_arrays([names, values], names=["pattern", "uses"])
+
         for _, texts in text_chunks(batches, "searched_text"):
             for text in texts:
                 words = text.lower().split()
-                uses.update(filter(ones.__contains__, words[:-1]))
-                pairs = filter(twos.__contains__, zip(words, words[1:-1]))
-                uses.update(map(" ".join, pairs))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(uses), pa.string()), pa.array(list(uses.values()), pa.int64())],
-            names=["pattern", "uses"],
-        )
+                new = set(words) - met
+                met |= new
+                likely.update(word for word in new if maybe_pattern(bits, word))
+                uses.update(filter(likely.__contains__, words[:-1]))
+                pairs = (pair for pair in zip(words, words[1:-1]) if pair[1] in likely)
+                uses.update(filter(pair_met, map(" ".join, pairs)))
+                if len(uses) > MOST_COUNTED:
+                    yield counted()
+                    uses.clear()
+                if len(met) > MOST_COUNTED:
+                    met.clear()
+                    likely.clear()
+        yield counted()
+
+    def pair_met(pair: str) -> bool:
+        return maybe_pattern(bits, pair)
 
     texts = docs.select(F.col(text).alias("searched_text"))
     counted = map_arrow(texts, work, "pattern string, uses bigint")
-    return counted.groupBy("pattern").agg(F.sum("uses").alias("uses"))
+    return (
+        counted.groupBy("pattern")
+        .agg(F.sum("uses").alias("uses"))
+        .join(patterns, "pattern", "left_semi")
+    )
 
 
 def discovered(
@@ -238,15 +288,13 @@ def discovered(
     keep: list[str],
     text: str = "text",
     rounds: int = 3,
-    least_share: float = 1e-4,
     least_seeds: int = 5,
     belief: float = 0.6,
 ) -> DataFrame:
     """The kept columns with ``more``, the spans added to a row; rows with any only.
 
-    A pattern needs ``least_seeds`` different seeds and ``least_share`` of all
-    seeds of its kind, so there are at most two patterns in ``1 / least_share``
-    for each kind, however large the corpus.
+    A pattern needs ``least_seeds`` different seeds, however large the corpus, so
+    documents that do not use a pattern have no say in it.
     """
     graph = stored(
         found.select(F.explode("hints").alias("hint"))
@@ -255,22 +303,16 @@ def discovered(
         "pii-graph",
     )
     seeds = graph.filter(F.col("kind").isNotNull())
-    by_kind = seeds.groupBy("kind").agg((F.sum("times") / 2).alias("all_seeds"))
     likely = (
         seeds.groupBy("pattern", "kind")
-        .agg(F.count("*").alias("seeds"), F.sum("times").alias("uses_by_seeds"))
-        .join(by_kind, "kind")
-        .filter(
-            (F.col("seeds") >= least_seeds)
-            & (F.col("uses_by_seeds") >= least_share * F.col("all_seeds"))
-        )
+        .agg(F.count("*").alias("seeds"))
+        .filter(F.col("seeds") >= least_seeds)
         .select("pattern", "kind")
     )
     likely = stored(likely, "pii-patterns")
-    names = [row["pattern"] for row in likely.select("pattern").distinct().collect()]
-    if not names:
+    if likely.isEmpty():
         return found.filter(F.lit(False)).select(*keep, F.array().cast(SPAN).alias("more"))
-    counted = stored(occurrences(docs, names, text), "pii-uses")
+    counted = stored(occurrences(docs, likely.select("pattern"), text), "pii-uses")
     # A pattern glued to its instances is no word of its own and counts them alone.
     uses = F.coalesce("uses", F.lit(0)).alias("uses")
     pairs = likely.join(counted, "pattern", "left").select("pattern", "kind", uses)

@@ -165,6 +165,23 @@ def test_contexts_find_numbers_written_in_groups(spark):
         assert (masked[i] == text) == (i % 10 == 3)
 
 
+def test_other_documents_take_no_pattern_away(spark):
+    rows = [(i, f"or reach: ann{i}@mail.com today") for i in range(6)]
+    rows += [(6, "or reach: jane@localhost today")]
+    rows += [(7 + i, " ".join(f"mail: u{i}x{j}@mail.com" for j in range(10_000))) for i in range(8)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    masked = {r.doc_id: r.text for r in pii.without_personal_data(frame).collect()}
+    assert masked[6] == "or reach: [EMAIL] today"
+
+
+def test_uses_are_counted_with_any_word_after(spark):
+    texts = ["a b c a b", "B  c\na x b", "é é b é", "", None, "b"]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    wanted = spark.createDataFrame([("b",), ("a b",), ("é",), ("zz",), ("é é",)], "pattern string")
+    found = {r.pattern: r.uses for r in pii.occurrences(frame, wanted, "text").collect()}
+    assert found == {"b": 3, "a b": 1, "é": 2, "é é": 1}
+
+
 def test_masking(spark):
     frame, texts, hidden = planted(spark)
     masked = {r.doc_id: r.text for r in pii.without_personal_data(frame).collect()}
