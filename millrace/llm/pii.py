@@ -142,6 +142,13 @@ def run_place(text: str, start: int, stop: int) -> tuple[int, int]:
     return (start if part.count("(") == part.count(")") else inner), stop
 
 
+def instance_key(instance: str) -> str:
+    """The instance, a digest of the whole if it is long; no instance holds a line break."""
+    if len(instance) <= LONGEST_INSTANCE:
+        return instance
+    return "\n" + hashlib.sha256(instance.encode()).hexdigest()
+
+
 def hints(text: str, base: list[tuple[str, int, int]]) -> list[tuple]:
     """(pattern, kind or null, instance, start, stop) for seeds and other instances."""
     found = [(kind, start, stop) for kind, start, stop in base]
@@ -168,7 +175,7 @@ def hints(text: str, base: list[tuple[str, int, int]]) -> list[tuple]:
         line = text[max(0, start - 3 * LONGEST_WORD) : start].rsplit("\n", 1)[-1]
         before = line.lower().rstrip(_OPENING).split()
         before = [word for word in before[-2:] if len(word) <= LONGEST_WORD]
-        instance = text[start:stop][:LONGEST_INSTANCE]
+        instance = instance_key(text[start:stop])
         if before:
             rows.append((before[-1], kind, instance, start, stop))
         if len(before) == 2:

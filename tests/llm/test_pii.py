@@ -145,6 +145,14 @@ def test_groups_of_digits_are_one_instance():
     pii.hints("(" * 200_000 + "1", [])
 
 
+def test_long_instances_with_one_beginning_are_different():
+    long = "https://x.org/?id=1234" + "a" * 300
+    text = f"see {long}1 and {long}2 and {long}1 then"
+    keys = [key for pattern, _, key, _, _ in pii.hints(text, []) if " " not in pattern]
+    assert len(keys) == 3 and keys[0] == keys[2] != keys[1]
+    assert all(len(key) < 100 for key in keys)
+
+
 def test_contexts_find_numbers_written_in_groups(spark):
     random_ = random.Random(5)
     digits = lambda n: "".join(random_.choices("0123456789", k=n))
