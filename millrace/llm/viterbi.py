@@ -6,6 +6,10 @@ dynamic program carries the best score and the number of pieces of the best
 segmentation up to each character. Ties go as the tokenizers library has them:
 the piece that begins first wins. A character that is no piece itself may stand
 as unknown, ten below the lowest score, and counts as its UTF-8 bytes.
+
+No unigram vocabulary is supplied. The pieces and scores are those of a BPE model,
+whose scores are negative merge ranks and not log probabilities, so the counts
+are those of no tokenizer in use.
 """
 
 from __future__ import annotations
