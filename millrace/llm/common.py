@@ -5,27 +5,46 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from millrace.session import fresh_path
+from millrace.session import fresh_path, remove_path
 
 CHUNK_BYTES = 8_000_000
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at the end what ``stored`` wrote inside; read its results before."""
+    paths: list[str] = []
+    outer = _written.set(paths)
+    try:
+        yield
+    finally:
+        _written.reset(outer)
+        for path in paths:
+            remove_path(spark, path)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written once to the shared folder and read back.
 
     Cuts the lineage: what follows reads the files, and a lost executor costs a
-    reread instead of the work before.
+    reread instead of the work before. The files stay unless ``scratch`` is around.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
+    paths = _written.get()
+    if paths is not None:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

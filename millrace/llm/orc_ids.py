@@ -1,6 +1,6 @@
 """Token ids of documents in ORC files, in ascending order of document ids.
 
-Each file holds a range of ids, sorted. ORC stores the ids run-length encoded,
+Each file holds a range of ids, sorted, with the number of its range. ORC stores the ids run-length encoded,
 keeps minima and maxima for every stripe and row group, and a Bloom filter on
 the document id; stripes are read in parallel, and a lookup of a few documents
 skips the stripes and row groups that cannot hold them.
@@ -14,13 +14,14 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import map_arrow, text_slices
-from millrace.llm.tokens import END_ID, TOKENIZER, encoder
+from millrace.llm.tokens import END_ID, SLICE_BYTES, TOKENIZER, encoder
 
-FILE_SCHEMA = "doc_id bigint, first bigint, n_tokens bigint, ids array<int>"
+FILE_SCHEMA = "doc_id bigint, part bigint, first bigint, n_tokens bigint, ids array<int>"
 END_BYTES = END_ID.to_bytes(4, "little")
 
 
@@ -38,7 +39,8 @@ def write_ids(
 
     A null text has the end id alone. A null document id sorts first. Rows with
     the same document id are all kept, ordered by a digest of their text.
-    Other columns are ignored. An empty table gives readable files without rows.
+    Very long texts are encoded one at a time. Other columns are ignored. An empty
+    table gives readable files without rows.
     """
     path_of_tokenizer = tokenizer or public_tokenizers.path(TOKENIZER)
     ordered = (
@@ -51,8 +53,9 @@ def write_ids(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_texts = encoder(path_of_tokenizer).encode
-        first = 0
-        for batch, texts in text_slices(batches):
+        # Ranges are numbered in the order of the ids; names of files are in no number's order.
+        part, first = TaskContext.get().partitionId(), 0
+        for batch, texts in text_slices(batches, limit=SLICE_BYTES):
             held = [part + END_BYTES for part in encode_texts(texts)]
             counts = np.fromiter((len(x) // 4 for x in held), dtype=np.int64, count=len(held))
             stops = np.cumsum(counts)
@@ -61,8 +64,14 @@ def write_ids(
                 pa.array(np.frombuffer(b"".join(held), dtype="<i4")),
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(first + stops - counts), pa.array(counts), ids],
-                names=["doc_id", "first", "n_tokens", "ids"],
+                [
+                    batch.column("doc_id"),
+                    pa.array(np.full(len(counts), part)),
+                    pa.array(first + stops - counts),
+                    pa.array(counts),
+                    ids,
+                ],
+                names=["doc_id", "part", "first", "n_tokens", "ids"],
             )
             first += int(stops[-1])
 
@@ -74,6 +83,7 @@ def write_ids(
         .option("orc.bloom.filter.columns", "doc_id")
         .option("orc.bloom.filter.fpp", bloom_fpp)
         .option("compression", "zstd")
+        .option("maxRecordsPerFile", 0)
         .orc(path)
     )
 
@@ -93,21 +103,24 @@ def read_ids(
     the ids, which then stay in the task that reads them.
     """
     files = spark.read.schema(FILE_SCHEMA).orc(path)
-    part = F.col("_metadata.file_path").alias("part")
-    order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row a file.
-    bases = (
-        files.groupBy(part)
-        .agg(F.sum("n_tokens").alias("total"))
-        .select("part", F.coalesce(F.sum("total").over(order), F.lit(0)).alias("base"))
-    )
     rows = files if doc_ids is None else files.filter(F.col("doc_id").isin(list(doc_ids)))
-    rows, last = rows.select("doc_id", "first", "n_tokens", part, "ids"), "ids"
+    rows, last = rows.select("doc_id", "part", "first", "n_tokens", "ids"), "ids"
     if checksum:
-        schema = "doc_id bigint, first bigint, n_tokens bigint, part string, ids_crc32 bigint"
+        schema = "doc_id bigint, part bigint, first bigint, n_tokens bigint, ids_crc32 bigint"
         rows, last = map_arrow(rows, _checksums, schema), "ids_crc32"
     start = (F.col("base") + F.col("first")).alias("start")
-    return rows.join(bases, "part").select("doc_id", start, "n_tokens", last)
+    return rows.join(range_starts(files), "part").select("doc_id", start, "n_tokens", last)
+
+
+def range_starts(files: DataFrame) -> DataFrame:
+    """The number of ids before each range, ``base``, whatever files the range lies in."""
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row a range.
+    return (
+        files.groupBy("part")
+        .agg(F.sum("n_tokens").alias("total"))
+        .select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
+    )
 
 
 # Arrow holds the ids as 32-bit numbers, little-endian on all machines Spark runs on.

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import map_arrow, stored, text_slices
-from millrace.llm.tokens import END_ID, TOKENIZER, encoder
+from millrace.llm.tokens import END_ID, SLICE_BYTES, TOKENIZER, encoder
 
 LENGTH = 4096
 UNIT = 64
@@ -185,7 +185,7 @@ def cut_pieces(
         encode_texts = encoder(path).encode
         task = TaskContext.get().partitionId()
         seen: Counter = Counter()
-        for batch, texts in text_slices(batches):
+        for batch, texts in text_slices(batches, limit=SLICE_BYTES):
             rows = []
             for doc, ids in enumerate(encode_texts(texts)):
                 ids += end

@@ -25,7 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fresh_names, map_arrow, stored, text_chunks, with_row_keys
+from millrace.llm.common import (
+    fresh_names,
+    map_arrow,
+    stored,
+    text_chunks,
+    text_slices,
+    with_row_keys,
+)
 
 KINDS = ("email", "ip", "card", "phone")
 SPAN = "array<struct<kind:string,start:bigint,stop:bigint>>"
@@ -47,6 +54,7 @@ _EDGES = "\"'`.,;:!?()[]{}<>|*#&$%=“”‘’«»"
 _GROUPS = re.compile(
     rf"[{re.escape(_EDGES)}]*?(\+?\(?[0-9]++(?:\)?[.-]?\(?[0-9]++)*+\)?)[{re.escape(_EDGES)}]*"
 )
+SLICE_BYTES = 1_000_000
 _OPENING = " \t\"'`([{<|*“‘«"
 LONGEST_INSTANCE = 200
 LONGEST_WORD = 40
@@ -430,7 +438,7 @@ def without_personal_data(docs: DataFrame, **how) -> DataFrame:
     names = docs.columns
 
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch, _ in text_slices(batches, limit=SLICE_BYTES):
             texts = batch.column("text")
             found = batch.column(column).to_pylist()
             new = [

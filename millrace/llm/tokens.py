@@ -3,8 +3,8 @@
 The tokenizer drops white space, and cuts the rest into runs of letters, single
 digits, runs of other signs and a few endings such as ``'s`` before it looks up
 anything. Words and runs repeat far more often than they are new, so each worker
-keeps the ids of those it has met lately and calls the tokenizer for others only;
-what it still keeps costs time but never changes a result.
+keeps the ids of those it has met lately, ``STORE_BYTES`` of them, and calls the
+tokenizer for others only; what it keeps costs time but never changes a result.
 Texts with characters for which cutting first could differ (combining marks,
 scripts beyond Latin, names of special tokens) go to the tokenizer whole.
 """
@@ -23,7 +23,11 @@ import pyarrow as pa
 
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-STORED = 400_000
+# What a worker keeps of words met lately, and what an entry takes beside its characters.
+STORE_BYTES = 64_000_000
+ENTRY_BYTES = 200
+# Characters of text encoded at once; the arrays beside them are many times as wide.
+SLICE_BYTES = 1_000_000
 ASK_RUNS = 32
 
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
@@ -66,15 +70,16 @@ _TIMES = ("×".encode(), "÷".encode())
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers, in bytes."""
 
-    def __init__(self, path: str, stored: int = STORED):
+    def __init__(self, path: str, store_bytes: int = STORE_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.stored = stored
-        # Runs met lately, and those met before them; each of ``stored`` at most.
+        # Words met lately, and those met before them; each generation takes half the store.
+        self.most = store_bytes // 2
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.held = 0
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends_run = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_run[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
@@ -95,19 +100,23 @@ class Encoder:
         stops = stops.tolist()
         return [held[a:b] for a, b in zip([0, *stops], stops)]
 
+    def _keep(self, pieces: list[str], ids: list[bytes]) -> None:
+        """Store the ids of pieces; a full generation takes the place of the one before."""
+        for piece, each in zip(pieces, ids):
+            size = ENTRY_BYTES + len(piece) + len(each)
+            if self.held + size > self.most:
+                self.known, self.older, self.held = {}, self.known, 0
+            if size <= self.most:
+                self.known[piece] = each
+                self.held += size
+
     def _ids_of(self, pieces: list[str]) -> list[bytes]:
         """The ids of distinct pieces: a run each, or a word that needs a look."""
-        if len(self.known) > self.stored:
-            self.known, self.older = {}, self.known
         found = list(map(self.known.get, pieces))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        for i in missing:
+        absent = [i for i, ids in enumerate(found) if ids is None]
+        for i in absent:
             found[i] = self.older.get(pieces[i])
-        missed = [pieces[i] for i in missing]
-        self.known.update(
-            (piece, found[i]) for i, piece in zip(missing, missed) if found[i] is not None
-        )
-        missing = [i for i in missing if found[i] is None]
+        missing = [i for i in absent if found[i] is None]
         # Letters alone are one run.
         runs = [i for i in missing if pieces[i].isalpha()]
         words = [i for i in missing if not pieces[i].isalpha()]
@@ -120,7 +129,7 @@ class Encoder:
         ids_of_part = dict(zip(parts, answers[len(runs) :]))
         for i, each in zip(words, cut):
             found[i] = b"".join([ids_of_part[part] for part in each])
-        self.known.update((pieces[i], found[i]) for i in missing)
+        self._keep([pieces[i] for i in absent], [found[i] for i in absent])
         return found
 
     def encode(self, texts: pa.Array) -> list[bytes]:
@@ -161,29 +170,6 @@ class Encoder:
         return encoded
 
 
-def _first_of_piece(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Where to cut: at runs, but a word with a sign that needs a look stays whole.
-
-    Those are the apostrophe, signs of two bytes that are no letters, and longer ones.
-    """
-    kind = _CLASS[data]
-    first = np.ones(len(data) + 1, dtype=bool)
-    first[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
-    if len(data):
-        after = np.append(data[1:], 0)
-        look = (data == 0x27) | (data == 0xC2) | (data >= 0xCA)
-        look |= (data == 0xC3) & ((after == 0x97) | (after == 0xB7))
-        word = np.zeros(len(data) + 1, dtype=bool)
-        word[1:-1] = (kind[1:] == _SPACE) != (kind[:-1] == _SPACE)
-        word[starts] = True
-        number = np.cumsum(word[:-1], dtype=np.int32)
-        keep_whole = np.zeros(int(number[-1]) + 1, dtype=bool)
-        keep_whole[number[look]] = True
-        first[:-1] &= word[:-1] | ~keep_whole[number]
-    first[starts] = True
-    return first
-
-
 def _suspects(data: np.ndarray, starts: np.ndarray) -> list[int]:
     """Texts with bytes that may stand for signs that are not safe to cut."""
     held = data.tobytes()

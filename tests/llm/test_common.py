@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import common
+from millrace.session import shared_folder
 from odd_corpus import odd, odd_rows  # noqa: F401
 
 
@@ -47,3 +50,12 @@ def test_chunks_hold_all_rows_in_order(limit):
         assert part.num_rows == len(found)
         seen += zip(part.column("i").to_pylist(), found)
     assert seen == [(i, text or "") for i, text in enumerate(texts)]
+
+
+def test_scratch_takes_its_tables_away(spark):
+    kept = common.stored(spark.range(3), "kept")
+    with common.scratch(spark):
+        inner = common.stored(spark.range(5), "inner")
+        assert inner.count() == 5
+    assert kept.count() == 3
+    assert not list(Path(shared_folder(spark).removeprefix("file:")).glob("inner-*"))

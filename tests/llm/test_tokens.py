@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import re
+import subprocess
+import sys
 import zlib
 from array import array
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -30,7 +33,7 @@ def checksum(ids):
 
 @pytest.fixture(scope="module")
 def encoder():
-    return Encoder(public_tokenizers.path("word_bpe_49k.json"), stored=50)
+    return Encoder(public_tokenizers.path("word_bpe_49k.json"), store_bytes=20_000)
 
 
 @settings(max_examples=300, deadline=None)
@@ -49,6 +52,40 @@ def test_slices_of_columns(encoder, tokenizer):
     ]
 
 
+def test_the_store_is_bounded_by_bytes(tokenizer):
+    small = Encoder(public_tokenizers.path("word_bpe_49k.json"), store_bytes=100_000)
+    for turn in range(20):
+        texts = [f"word{turn}x{i} " + "y" * (i % 300) for i in range(200)]
+        found = small.encode(pa.array(texts))
+        assert list(np.frombuffer(found[7], "<u4")) == tokenizer.encode(texts[7]).ids
+        held = {**small.known, **small.older}
+        assert sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in held.items()) <= 100_000
+    assert small.older and small.known
+
+
+def test_the_encoder_takes_little_memory():
+    """A worker of its own meets 40 MB of new words and long texts."""
+    program = """
+import resource, random, pyarrow as pa, public_tokenizers
+from millrace.llm.common import text_slices
+from millrace.llm.tokens import SLICE_BYTES, Encoder
+encode = Encoder(public_tokenizers.path("word_bpe_49k.json")).encode
+start = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+draw = random.Random(1)
+for _ in range(20):
+    texts = [" ".join("%x" % draw.getrandbits(40) for _ in range(200)) for _ in range(1000)]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts)})
+    for _, column in text_slices(iter([batch]), limit=SLICE_BYTES):
+        encode(column)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - start) // 1024)
+"""
+    root = str(Path(__file__).resolve().parents[2])
+    done = subprocess.run(
+        [sys.executable, "-c", program], cwd=root, capture_output=True, text=True, check=True
+    )
+    assert int(done.stdout.split()[-1]) < 250
+
+
 def expected_ids(rows, ids_of):
     """(doc_id, start, n_tokens, checksum) in order; equal ids in any order."""
     by_id = defaultdict(list)
@@ -90,6 +127,26 @@ def test_orc_lookup_reaches_the_files(spark, odd, ids_of, odd_rows, capsys):
     assert all(r.start == whole[r.doc_id] for r in found.collect())
 
 
+def test_orc_starts_hold_whatever_files_a_range_takes(spark, odd_rows, ids_of):
+    docs = spark.createDataFrame([(i, "word " * (i % 50)) for i in range(500)], "doc_id long, text string")
+    path = fresh_path(spark, "ids")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 20)
+    try:
+        orc_ids.write_ids(docs, path)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    rows = sorted(orc_ids.read_ids(spark, path).collect(), key=lambda r: r.doc_id)
+    assert [r.start for r in rows] == list(np.cumsum([0] + [r.n_tokens for r in rows[:-1]]))
+
+
+def test_ranges_follow_their_numbers(spark):
+    """More ranges than names of files have digits for, each in several files."""
+    parts = [9, 10, 99_998, 99_999, 100_000, 100_001, 1_000_000]
+    files = spark.createDataFrame([(p, 1) for p in parts for _ in range(3)], "part long, n_tokens long")
+    found = {r.part: r.base for r in orc_ids.range_starts(files).collect()}
+    assert found == {p: 3 * i for i, p in enumerate(parts)}
+
+
 def test_orc_of_nothing(spark, nothing):
     path = fresh_path(spark, "ids")
     orc_ids.write_ids(nothing, path)
