@@ -113,12 +113,17 @@ def with_row_keys(docs: DataFrame, label: str) -> tuple[DataFrame, list[str]]:
     retried task gets the same ones.
     """
     names = fresh_names(docs, "row_file", "row_number")
-    scan = docs if _is_scan(docs) else stored(docs, label)
+    scan = as_scan(docs, label)
     row = scan.metadataColumn("_metadata")
     keys = [row["file_path"].alias(names[0]), row["row_index"].alias(names[1])]
     return scan.select("*", *keys), names
 
 
+def as_scan(docs: DataFrame, label: str) -> DataFrame:
+    """The rows as a scan of Parquet files, which gives a retried task the same ones again."""
+    return docs if _is_scan(docs) else stored(docs, label)
+
+
 def _is_scan(df: DataFrame) -> bool:
     """Whether the frame is a scan of Parquet files, with columns or rows left out at most.
 

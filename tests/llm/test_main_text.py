@@ -1,0 +1,162 @@
+"""Least cuts against all labellings, and the main text of pages of several makes."""
+
+from __future__ import annotations
+
+import html
+import itertools
+import random
+import re
+
+import pytest
+
+from millrace.llm.main_text import Reader, labelled_blocks, labels, main_blocks, main_text
+from millrace.llm.mincut import source_side
+from odd_corpus import prose
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def energy(costs, edges, side):
+    own = sum(max(c, 0) if not s else max(-c, 0) for c, s in zip(costs, side))
+    return own + sum(w for a, b, w in edges if a != b and side[a] != side[b])
+
+
+@pytest.mark.parametrize("seed", range(300))
+def test_no_labelling_is_cheaper(seed):
+    draw = random.Random(seed)
+    n = draw.randint(1, 9)
+    costs = [draw.choice([-3, -2, -1, -0.5, 0, 0.5, 1, 2, 3]) * draw.random() for _ in range(n)]
+    edges = [
+        (draw.randrange(n), draw.randrange(n), draw.choice([0, 0.25, 0.5, 1, 2]))
+        for _ in range(draw.randint(0, 20))
+    ]
+    found = source_side(costs, edges)
+    least = min(energy(costs, edges, side) for side in itertools.product([True, False], repeat=n))
+    assert energy(costs, edges, found) == pytest.approx(least, abs=1e-6)
+
+
+def test_a_long_chain_needs_no_deep_recursion():
+    n = 20_000
+    costs = [1.0 if i == 0 else -1.0 if i == n - 1 else 0.0 for i in range(n)]
+    edges = [(i, i + 1, 2.0) for i in range(n - 1)]
+    assert len(set(source_side(costs, edges))) == 1
+
+
+def page_of(draw, make):
+    """A page and the text it is meant to have."""
+    title = prose(draw, 6).capitalize()
+    paragraphs = [prose(draw, draw.choice([1, 4, 30, 80])).capitalize() + "." for _ in range(draw.randint(3, 9))]
+    paragraphs[0] += " " + prose(draw, 40) + "."
+    text = "".join(f"<p>{html.escape(p)}</p>" for p in paragraphs)
+    menu = "".join(f'<li><a href="/{i}">{prose(draw, 1)}</a></li>' for i in range(6))
+    other = prose(draw, 25).capitalize() + "."
+    comment = f'<div class="comment"><p>{other}</p></div>'
+    if make == "tags":
+        page = (
+            f"<html><head><title>{title}</title><style>p {{}}</style></head><body class='has-sidebar'>"
+            f"<header><h2>{other}</h2></header><nav><ul>{menu}</ul></nav>"
+            f"<div class='cookie-notice'><p>{other}</p></div>"
+            f"<main><article><header><h1>{title}</h1></header>{text}"
+            f"<form action='/x'><label>{other}</label><input name=q></form>"
+            f"<aside><p>{other}</p></aside></article></main>"
+            f"<section id='comments'><article>{comment}</article></section>"
+            f"<script>if (a < b) document.write('<p>{other}</p>')</script><footer><p>{other}</p></footer>"
+        )
+    elif make == "classes":
+        page = (
+            f"<body><div id=top-menu><ul>{menu}</ul></div><div class='page'><div class=\"post-content\">"
+            f"<h1>{title}</h1>{text}<div class='share-buttons'>{other}</div></div>"
+            f"<div class=sidebar><h3>More</h3><p>{other}</p></div></div>"
+            f"<div class='ad-slot'>{other}</div><div id=commentList>{comment}</div>"
+            f"<div class='site-footer'><div class='content'>&copy; {other}</div></div></body>"
+        )
+        page = page.replace("site-footer'><div class='content'>", "site-footer'><div>")
+    else:
+        page = (
+            f"<table><tr><td><ul>{menu}</ul><td><div><h1>{title}</h1>{text}</div>"
+            f"<tr><td><a href=/a>{prose(draw, 2)}</a> | <a href=/b>{prose(draw, 2)}</a></table>"
+        )
+    return page, "\n".join([title, *paragraphs])
+
+
+@pytest.mark.parametrize("make", ["tags", "classes", "bare"])
+def test_pages_of_several_makes(make):
+    draw = random.Random(make)
+    for _ in range(40):
+        page, wanted = page_of(draw, make)
+        assert "\n".join(main_blocks(page)) == wanted
+
+
+@pytest.mark.parametrize(
+    "page, wanted",
+    [
+        ("", []),
+        (" \n ", []),
+        ("<nav>a</nav>", []),
+        ("<article>a&amp;b &lt;p&gt; &#233; &copy &am x&nbsp;&nbsp;y</article>", ["a&b <p> é © &am x y"]),
+        ("<article><p>one<br>two<p>three</article>", ["one two", "three"]),
+        ("<article><p>a<b>b</b>c <!-- no <p> --> d</p>tail", ["abc d", "tail"]),
+        ("<article title='a > b'><p>x < y</p></article></div></b>", ["x < y"]),
+        ("<article><p hidden>no</p><p style='display: none'>no</p><p>yes</p></article>", ["yes"]),
+        ("<article><ul><li>one<li>two</ul><table><tr><td>a<td>b</table></article>", ["one", "two", "a", "b"]),
+        ("<article>a<script>var t='</p>'; // <b></script>b<style>c</style></article>", ["ab"]),
+        ("<article>a<script>never closed", ["a"]),
+        ("<article>a<", ["a<"]),
+        ("<article>a<!-- never closed", ["a"]),
+        ("<ARTICLE><P>Big</P></ARTICLE>", ["Big"]),
+    ],
+)
+def test_odd_markup(page, wanted):
+    assert main_blocks(page) == wanted
+
+
+def test_long_and_deep_pages():
+    words = "word " * 400_000
+    assert main_blocks(f"<article><p>{words}</p></article>") == [words.strip()]
+    deep = "<div>" * 5_000 + "<article><p>Text.</p></article>"
+    assert main_blocks(deep) == ["Text."]
+    many = "<article>" + "<p>Some text here.</p>" * 20_000 + "</article>"
+    assert len(main_blocks(many)) == 20_000
+
+
+def test_short_lines_stay_with_their_neighbours():
+    long = "This is a sentence of a text that has a good many words to be read by all of us here."
+    page = f"<div><p>{long}</p><p>Yes</p><p>{long}</p></div><div><a href=/>Home</a></div>"
+    assert main_blocks(page) == [long, "Yes", long]
+    blocks = Reader().read("<div><p>Yes</p></div>")
+    assert labels(blocks) == [False]
+
+
+def test_whole_tables(spark):
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet")
+    found = {r.page_id: r for r in main_text(pages).collect()}
+    for row in pages.collect():
+        article = row.html[row.html.index("<article>") + 9 : row.html.index("</article>")]
+        parts = re.split("</?h1>|</?p>|<br>", article)
+        texts = [" ".join(html.unescape(re.sub("<[^>]*>", "", part)).split()) for part in parts]
+        wanted = "\n".join(text for text in texts if text)
+        assert found[row.page_id].text == wanted and found[row.page_id].n_chars == len(wanted)
+        assert found[row.page_id].url == row.url
+    blocks = labelled_blocks(pages).filter("main").orderBy("page_id", "block").collect()
+    for page_id, rows in itertools.groupby(blocks, lambda r: r.page_id):
+        assert "\n".join(r.text for r in rows) == found[page_id].text
+
+
+def test_odd_rows(spark):
+    schema = "page_id bigint, url string, html string, text string, n_chars string, page string"
+    rows = [
+        (1, "u", None, "a", "b", "c"),
+        (1, "u", None, "a", "b", "c"),
+        (None, None, "<article>x</article>", None, None, None),
+        (2, None, "", "a", "b", "c"),
+    ]
+    found = main_text(spark.createDataFrame(rows, schema))
+    assert found.columns == ["page_id", "url", "text", "n_chars"]
+    assert sorted(map(tuple, found.collect()), key=repr) == [
+        (1, "u", "", 0),
+        (1, "u", "", 0),
+        (2, None, "", 0),
+        (None, None, "x", 1),
+    ]
+    assert main_text(spark.createDataFrame([], schema)).count() == 0
+    assert labelled_blocks(spark.createDataFrame([], schema)).count() == 0
