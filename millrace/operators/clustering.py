@@ -10,13 +10,13 @@ cluster and its shuffle settings.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
-from functools import partial
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.numeric import label_flag, to_double
+from millrace.operators.centres import nearest_rows
 from millrace.operators.cleaning import clean_numeric
 from millrace.operators.scaling import Bounds, fit_bounds, scaled, unscaled
 from millrace.session import fresh_path, remove_path
@@ -35,6 +36,12 @@ Centre = tuple[float, ...]
 PARTS = 8
 # Centres times axes that may travel as literals of an expression.
 MOST_LITERALS = 512
+# Rows on which the centres of an elbow start, those among them that seeds are drawn
+# from, and draws and steps.
+START_ROWS = 10_000
+START_DRAWN = 2_000
+START_DRAWS = 4
+START_STEPS = 20
 
 
 @contextmanager
@@ -219,30 +226,155 @@ def leading_centres(centres: DataFrame, axis: str, n: int) -> DataFrame:
     return centres.orderBy(F.desc(axis), "cluster").limit(n)
 
 
+def _starts(rows: DataFrame, ks: Sequence[int], seed: int) -> dict[int, np.ndarray]:
+    """Centres to start from for every k, found on ``START_ROWS`` rows.
+
+    They are the rows with the least digests, so the choice depends on the values
+    alone. Seeds are drawn far from each other, and the best of a few draws, each
+    improved on these rows, is taken.
+    """
+    digest = F.xxhash64(F.lit(seed), *rows.columns)
+    drawn = rows.orderBy(digest, *rows.columns).limit(START_ROWS).toArrow()
+    points = np.column_stack([drawn.column(c).to_numpy() for c in rows.columns])
+    few, draw = points[:START_DRAWN], np.random.default_rng(seed)
+    starts: dict[int, tuple[float, np.ndarray]] = {}
+    for _ in range(START_DRAWS):
+        seeds = _seeds(few, max(ks), draw)
+        for k in ks:
+            centres = _settled(few, seeds[:k])
+            cost = _partial_sums(few, centres)[:, 1].sum()
+            if k not in starts or cost < starts[k][0]:
+                starts[k] = cost, centres
+    return {k: _settled(points, centres) for k, (_, centres) in starts.items()}
+
+
+def _settled(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The centres after some steps over these points."""
+    for _ in range(START_STEPS):
+        found = _partial_sums(points, centres)
+        moved = _moved(centres, found[:, 0], found[:, 2:])
+        if np.array_equal(moved, centres):
+            break
+        centres = moved
+    return centres
+
+
+def _seeds(points: np.ndarray, count: int, draw: np.random.Generator) -> np.ndarray:
+    """Different rows, each drawn by its squared distance to those drawn before."""
+    chosen = [int(draw.integers(len(points)))]
+    gaps = ((points - points[chosen[0]]) ** 2).sum(axis=1)
+    while len(chosen) < count and gaps.sum() > 0:
+        tries = draw.choice(len(points), size=4, p=gaps / gaps.sum())
+        offers = [np.minimum(gaps, ((points - points[i]) ** 2).sum(axis=1)) for i in tries]
+        best = min(range(len(tries)), key=lambda i: offers[i].sum())
+        chosen.append(int(tries[best]))
+        gaps = offers[best]
+    return points[chosen]
+
+
+def _summing():
+    """The function that tasks call; a nested one travels by value."""
+    find = nearest_rows
+
+    def partial_sums(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+        """For each centre the points nearest to it, their cost and the sums of their axes."""
+        number, gap = find(points, np.arange(len(centres)), centres)
+        weights = [np.ones(len(points)), gap, *points.T]
+        return np.column_stack([np.bincount(number, w, len(centres)) for w in weights])
+
+    return partial_sums
+
+
+_partial_sums = _summing()
+
+
+def _moved(centres: np.ndarray, counts: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """The means; a centre without points stays."""
+    held = counts > 0
+    means = sums / np.where(held, counts, 1)[:, None]
+    return np.where(held[:, None], means, centres)
+
+
+def _sums_for_all(rows: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """``_partial_sums`` of the whole table for every k, from one scan.
+
+    Each task sends one row for each centre of each k; so many rows in the end.
+    """
+    names = ["n", "cost", *[f"axis_{i}" for i in range(len(rows.columns))]]
+    columns, partial_sums = rows.columns, _partial_sums
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = {k: np.zeros((len(held), len(names))) for k, held in centres.items()}
+        for batch in batches:
+            points = np.column_stack([batch.column(c).to_numpy() for c in columns])
+            for k, held in centres.items():
+                totals[k] += partial_sums(points, held)
+        sizes = [len(total) for total in totals.values()]
+        whole = np.concatenate(list(totals.values()))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.repeat(list(totals), sizes), pa.int64()),
+                pa.array(np.concatenate([np.arange(size) for size in sizes]), pa.int64()),
+                *[pa.array(column) for column in whole.T],
+            ],
+            names=["k", "cluster", *names],
+        )
+
+    schema = "k bigint, cluster bigint, " + ", ".join(f"{name} double" for name in names)
+    partial = rows.mapInArrow(add_up, schema)
+    added = partial.groupBy("k", "cluster").agg(*[F.sum(name).alias(name) for name in names])
+    result = {k: np.zeros((len(held), len(names))) for k, held in centres.items()}
+    for row in added.collect():
+        result[row["k"]][row["cluster"]] = [row[name] for name in names]
+    return result
+
+
+def fit_all(
+    rows: DataFrame, ks: Sequence[int], seed: int = 1, max_iter: int = 20, tol: float = 1e-4
+) -> dict[int, tuple[np.ndarray, float]]:
+    """Centres and cost for every k, all moved by the same scans of the rows.
+
+    ``rows`` are complete doubles, best a stored table. A scan measures the centres
+    of every k that is still moving and gives their means; a k comes to rest when
+    the cost has fallen by no more than the share ``tol`` since the scan before.
+    With fewer different rows than k there are as many centres as rows.
+    """
+    centres = _starts(rows, ks, seed)
+    found: dict[int, tuple[np.ndarray, float]] = {}
+    before = dict.fromkeys(ks, math.inf)
+    for step in range(max_iter + 1):
+        moving = {k: held for k, held in centres.items() if k not in found}
+        if not moving:
+            break
+        for k, sums in _sums_for_all(rows, moving).items():
+            cost = float(sums[:, 1].sum())
+            if step == max_iter or cost >= (1 - tol) * before[k]:
+                found[k] = centres[k], cost
+            else:
+                before[k] = cost
+                centres[k] = _moved(centres[k], sums[:, 0], sums[:, 2:])
+    return found
+
+
 def elbow(
     df: DataFrame,
     columns: list[str],
     low: int,
     high: int,
     seed: int = 1,
-    parallelism: int = 4,
-    parts: int = PARTS,
+    max_iter: int = 20,
+    tol: float = 1e-4,
 ) -> DataFrame:
     """Cost of the k-means fit for every k from ``low`` to ``high``.
 
-    All fits share one stored table and a few run at a time.
+    All of them share one stored table and its scans. Without a complete row there
+    is no cost and no row.
     """
-    ks = list(range(low, high + 1))
-    on_thread = inheritable_thread_target(df.sparkSession)
-
-    def cost_of(rows: DataFrame, k: int) -> float:
-        return fit_clustering(rows, columns, k, seed=seed, parts=parts).cost(rows).first()["cost"]
-
     with stored_rows(clean_numeric(df.select(*columns), columns)) as rows:
-        fits = [on_thread(partial(cost_of, rows, k)) for k in ks]
-        with ThreadPool(min(parallelism, len(ks))) as pool:
-            costs = pool.map(lambda fit: fit(), fits)
-    return df.sparkSession.createDataFrame(list(zip(ks, costs)), "k int, cost double")
+        ks = list(range(low, high + 1)) if rows.head(1) else []
+        fitted = fit_all(rows, ks, seed, max_iter, tol) if ks else {}
+    costs = [(k, fitted[k][1]) for k in ks]
+    return df.sparkSession.createDataFrame(costs, "k int, cost double")
 
 
 def distances(columns: Sequence[str], centres: Sequence[Centre]) -> list[Column]:

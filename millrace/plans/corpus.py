@@ -16,7 +16,7 @@ from millrace.operators.numbers import (
 from millrace.plans.tidy import LINES
 from millrace.session import fresh_path
 from millrace.sources.tables import table
-from millrace.sources.text import read_lines, write_lines
+from millrace.sources.text import first_lines_of_files, numbered_lines, read_lines, write_lines
 
 TOKEN = "the"
 
@@ -65,6 +65,27 @@ def first_lines(spark: SparkSession, folder: str) -> DataFrame:
     return ops.first_lines(_documents(spark, folder), "text", "doc_id")
 
 
+def _customer_files(spark: SparkSession, folder: str) -> str:
+    """Customers as text, a folder with a file for each nation, lines by key."""
+    path = fresh_path(spark, "customer-text")
+    line = F.concat_ws(" ", "c_custkey", "c_name").alias("value")
+    customers = table(spark, folder, "customer").repartition("c_nationkey")
+    lines = customers.sortWithinPartitions("c_nationkey", "c_custkey").select("c_nationkey", line)
+    lines.write.partitionBy("c_nationkey").text(path)
+    return f"{path}/*/*.txt"
+
+
+def file_line_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of many files with their number in the file and over all of them."""
+    lines = numbered_lines(spark, _customer_files(spark, folder))
+    return lines.select("line_no", "number", "value")
+
+
+def first_file_lines(spark: SparkSession, folder: str) -> DataFrame:
+    lines = first_lines_of_files(spark, _customer_files(spark, folder), 100)
+    return lines.select("number", "value")
+
+
 def brackets(spark: SparkSession, folder: str) -> DataFrame:
     return bracket_audit(_documents(spark, folder), "text", ["lang", "source"])
 
@@ -214,6 +235,15 @@ SELECT vec_id, round(list_sum(list_transform(
 FROM embeddings
 """
 
+# Files go by their paths, which hold the nation as text.
+FILE_LINES = """
+SELECT row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS line_no,
+       row_number() OVER (ORDER BY CAST(c_nationkey AS VARCHAR), c_custkey) - 1 AS number,
+       CAST(c_custkey AS VARCHAR) || ' ' || c_name AS value
+FROM customer
+"""
+FIRST_FILE_LINES = f"SELECT number, value FROM ({FILE_LINES}) WHERE number < 100"
+
 QUERIES = {
     "line_count": (line_count, LINE_COUNT),
     "char_count": (char_count, CHAR_COUNT),
@@ -223,6 +253,8 @@ QUERIES = {
     "word_count_summed": (word_sum, _count_sql("conversations")),
     "word_count_plain": (plain_word_count, PLAIN_WORDS),
     "word_count_files": (file_word_count, FILE_WORDS),
+    "file_line_numbers": (file_line_numbers, FILE_LINES),
+    "first_file_lines": (first_file_lines, FIRST_FILE_LINES),
     "first_lines": (first_lines, FIRST_LINES),
     "bracket_audit": (brackets, _bracket_sql("documents", "doc_id", "text", "lang, source")),
     "bracket_audit_pages": (page_brackets, _bracket_sql("pages", "page_id", "html", "")),

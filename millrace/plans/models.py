@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators import clustering, regression
+from millrace.operators import centres, clustering, regression
 from millrace.operators.cleaning import keyed_split, split_side
 from millrace.operators.scaling import fit_bounds, minmax_scale, unscaled
 from millrace.sources.tables import inline, table
@@ -75,6 +75,42 @@ def stretched_centres(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Every part is a centre, every order a point.
+def _many_centres(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey",
+        F.dayofmonth("o_orderdate").alias("a"),
+        (F.col("o_totalprice") / 300).alias("b"),
+        (F.month("o_orderdate") * 4).alias("c"),
+    )
+    parts = _parts(spark, folder).select(
+        F.col("p_partkey").alias("cluster"),
+        F.col("p_size").alias("a"),
+        F.col("p_retailprice").alias("b"),
+        F.length("p_name").alias("c"),
+    )
+    return orders, parts
+
+
+def centre_table_assigned(spark: SparkSession, folder: str) -> DataFrame:
+    """Every order with the part it is nearest to."""
+    orders, parts = _many_centres(spark, folder)
+    return centres.assign_from(orders, ["a", "b", "c"], parts).select("o_orderkey", "cluster")
+
+
+def centre_blocks_assigned(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with parts in blocks of five hundred, as a table too large for every task is."""
+    orders, parts = _many_centres(spark, folder)
+    found = centres.assign_from(orders, ["a", "b", "c"], parts, most_numbers=2_000)
+    return found.select("o_orderkey", "cluster")
+
+
+def centre_table_cost(spark: SparkSession, folder: str) -> DataFrame:
+    orders, parts = _many_centres(spark, folder)
+    cost = centres.cost_from(orders, ["a", "b", "c"], parts)
+    return cost.select(F.round("cost", 2).alias("cost"))
+
+
 def cluster_means_2d(spark: SparkSession, folder: str) -> DataFrame:
     return clustering.cluster_means(_parts(spark, folder), AXES, 5)
 
@@ -247,6 +283,35 @@ def new_points(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("x", F.round("prediction", 3).alias("prediction"))
 
 
+# What a line brings in after its discount, by price and discount.
+REVENUE = ["x1", "x2"]
+
+
+def _revenues(spark: SparkSession, folder: str) -> DataFrame:
+    price, discount = F.col("l_extendedprice"), F.col("l_discount")
+    return table(spark, folder, "lineitem").select(
+        price.alias("x1"), discount.alias("x2"), (price * (1 - discount)).alias("y")
+    )
+
+
+def plane_fit(spark: SparkSession, folder: str) -> DataFrame:
+    """Slopes and intercept of a fit with two features."""
+    plane = regression.fit_plane(_revenues(spark, folder), REVENUE, "y")
+    row = (*plane.slopes, plane.intercept)
+    found = inline(spark, [row], "slope_1 double, slope_2 double, intercept double")
+    return found.select(
+        F.round("slope_1", 6).alias("slope_1"), *[F.round(c, 3).alias(c) for c in found.columns[1:]]
+    )
+
+
+def plane_error(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and error of that fit over its own rows."""
+    rows = _revenues(spark, folder)
+    scored = regression.score_plane(rows, regression.fit_plane(rows, REVENUE, "y"))
+    gap = F.col("prediction") - F.col("y")
+    return scored.agg(F.count("*").alias("n"), F.round(F.sqrt(F.avg(gap * gap)), 3).alias("rmse"))
+
+
 SCALED = """
 SELECT o_orderkey, round((o_totalprice - lo) / (hi - lo) * 2 - 1, 6) AS scaled
 FROM orders, (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders)
@@ -283,6 +348,18 @@ SELECT cluster, n, round(a, 4) AS p_size, round(b, 4) AS p_retailprice FROM m{ST
 )
 WSSSE = STEPPED + f"SELECT round(sum(d), 2) AS cost FROM ({_nearest(f'c{STEPS}')})"
 NEAREST = STEPPED + f"SELECT p_partkey, cluster FROM ({_nearest('c0')})"
+MANY_CENTRES = """
+WITH best AS (
+  SELECT o_orderkey, min({'gap': (a - x) * (a - x) + (b - y) * (b - y) + (c - z) * (c - z),
+                          'cluster': p_partkey}) AS best
+  FROM (SELECT o_orderkey, day(o_orderdate) AS a, o_totalprice / 300 AS b,
+               month(o_orderdate) * 4 AS c FROM orders),
+       (SELECT p_partkey, p_size AS x, p_retailprice AS y, length(p_name) AS z FROM part)
+  GROUP BY o_orderkey
+)
+"""
+MANY_ASSIGNED = MANY_CENTRES + "SELECT o_orderkey, CAST(best.cluster AS BIGINT) AS cluster FROM best"
+MANY_COST = MANY_CENTRES + "SELECT round(sum(best.gap), 2) AS cost FROM best"
 LEADING = (
     STEPPED
     + f"""
@@ -398,6 +475,34 @@ FROM line, (VALUES (0.25), (17.5), (120.0)) AS points(p)
 """
 )
 
+# Both slopes are far from zero, so the signs of the correlations are theirs, and
+# the fit solves two linear equations.
+PLANE = """
+WITH rows AS (
+  SELECT l_extendedprice AS x1, l_discount AS x2, l_extendedprice * (1 - l_discount) AS y FROM lineitem
+), stats AS (
+  SELECT corr(x1, y) AS r1, corr(x2, y) AS r2, corr(x1, x2) AS r, stddev_pop(x1) AS s1,
+         stddev_pop(x2) AS s2, stddev_pop(y) AS sy, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my
+  FROM rows
+), pulls AS (
+  SELECT *, r1 - sign(r1) * 0.24 / sy AS t1, r2 - sign(r2) * 0.24 / sy AS t2,
+         1 + 0.3 * (1 - 0.8) / sy AS d
+  FROM stats
+), plane AS (
+  SELECT *, (d * t1 - r * t2) / (d * d - r * r) * sy / s1 AS slope_1,
+         (d * t2 - r * t1) / (d * d - r * r) * sy / s2 AS slope_2
+  FROM pulls
+), whole AS (SELECT slope_1, slope_2, my - slope_1 * m1 - slope_2 * m2 AS intercept FROM plane)
+"""
+PLANE_FIT = PLANE + """
+SELECT round(slope_1, 6) AS slope_1, round(slope_2, 3) AS slope_2, round(intercept, 3) AS intercept
+FROM whole
+"""
+PLANE_ERROR = PLANE + """
+SELECT count(*) AS n, round(sqrt(avg(pow(slope_1 * x1 + slope_2 * x2 + intercept - y, 2))), 3) AS rmse
+FROM rows, whole
+"""
+
 QUERIES = {
     "minmax_scaled": (minmax_scaled, SCALED),
     "unscaled_roundtrip": (
@@ -409,6 +514,9 @@ QUERIES = {
     "nearest_centre": (nearest_centre, NEAREST),
     "stretched_centres": (stretched_centres, STRETCHED),
     "leading_centres": (leading_centres, LEADING),
+    "centre_table_assigned": (centre_table_assigned, MANY_ASSIGNED),
+    "centre_blocks_assigned": (centre_blocks_assigned, MANY_ASSIGNED),
+    "centre_table_cost": (centre_table_cost, MANY_COST),
     "cluster_means_2d": (cluster_means_2d, None),
     "cluster_means_3d": (cluster_means_3d, None),
     "cluster_means_3d_refit": (cluster_means_3d_refit, None),
@@ -422,6 +530,8 @@ QUERIES = {
     "group_cost": (group_cost, GROUP_COST),
     "linear_fit": (linear_fit, FIT),
     "linear_fit_moments": (linear_fit_moments, FIT),
+    "plane_fit": (plane_fit, PLANE_FIT),
+    "plane_error": (plane_error, PLANE_ERROR),
     "holdout_fit": (holdout_fit, HOLDOUT),
     "linear_scores": (linear_scores, SCORES),
     "linear_in_sample": (in_sample, IN_SAMPLE),

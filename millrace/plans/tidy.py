@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 from millrace.functions.numeric import label_flag
 from millrace.operators.cleaning import clean_numeric, random_split, split_side
 from millrace.operators.corpus import lines_of
-from millrace.operators.members import group_members, without_listed, without_values
+from millrace.operators.members import (
+    group_members,
+    without_listed,
+    without_many_listed,
+    without_values,
+)
 from millrace.sources.tables import table
 
 
@@ -91,6 +96,16 @@ def drop_listed_lines(spark: SparkSession, folder: str) -> DataFrame:
     return kept.groupBy("lang").agg(F.count("*").alias("lines"))
 
 
+def lines_off_list(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of orders that are not urgent, the list being one of order keys."""
+    urgent = table(spark, folder, "orders").filter("o_orderpriority = '1-URGENT'")
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_returnflag", "l_quantity")
+    kept = without_many_listed(lines, "l_orderkey", urgent.select("o_orderkey"))
+    return kept.groupBy("l_returnflag").agg(
+        F.count("*").alias("n"), F.sum("l_quantity").cast("double").alias("quantity")
+    )
+
+
 def supplier_members(spark: SparkSession, folder: str) -> DataFrame:
     """Suppliers behind each return flag, with their line counts."""
     return group_members(table(spark, folder, "lineitem"), "l_returnflag", "l_suppkey")
@@ -142,6 +157,13 @@ WHERE line NOT IN (SELECT line FROM (SELECT unnest({LINES}) AS line FROM benchma
 GROUP BY 1
 """
 
+OFF_LIST = """
+SELECT l_returnflag, count(*) AS n, CAST(sum(l_quantity) AS DOUBLE) AS quantity
+FROM lineitem
+WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')
+GROUP BY 1
+"""
+
 MEMBERS = "SELECT l_returnflag, l_suppkey, count(*) AS copies FROM lineitem GROUP BY ALL"
 
 # About 70 % of any orders fall into the first part; the shares are checked, not fixed.
@@ -158,5 +180,6 @@ QUERIES = {
     "customer_card": (customer_card, CARD),
     "drop_values": (drop_values, DROP),
     "drop_listed_lines": (drop_listed_lines, DROP_LINES),
+    "lines_off_list": (lines_off_list, OFF_LIST),
     "group_members": (supplier_members, MEMBERS),
 }

@@ -88,6 +88,114 @@ def test_elbow(spark):
     assert spark.catalog is not None and not spark.sparkContext._jsc.getPersistentRDDs()
 
 
+def test_an_elbow_reads_the_rows_once_a_step(spark):
+    """All k together take one job a step, and the start and the cleaning a few."""
+    df, context = blobs(spark), spark.sparkContext
+    with clustering.stored_rows(df.select("a", "b").na.drop().distinct()) as rows:
+        context.setJobGroup("elbow-scans", "fits for nine k")
+        try:
+            fitted = clustering.fit_all(rows, range(2, 11), max_iter=7)
+            jobs = len(context.statusTracker().getJobIdsForGroup("elbow-scans"))
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+    # With adaptive execution an aggregate is two jobs: the scan and the sum.
+    assert sorted(fitted) == list(range(2, 11)) and jobs <= 2 * (7 + 1) + 3
+    assert all(len(centres) == k for k, (centres, _) in fitted.items())
+
+
+def test_an_elbow_finds_groups_that_lie_apart(spark):
+    """The same centres as plain averages, whatever the partitions."""
+    draw = random.Random(6)
+    groups = [(i * 100.0, (i % 3) * 70.0) for i in range(6)]
+    points = [(x + draw.random(), y + draw.random()) for x, y in groups for _ in range(200)]
+    # A third of the rows in one group.
+    points += [(300 + draw.random(), draw.random()) for _ in range(600)]
+    df = spark.createDataFrame(points, "a double, b double")
+    wanted = sorted(
+        (sum(x for x, _ in held) / len(held), sum(y for _, y in held) / len(held))
+        for held in (
+            [p for p in points if round(p[0] // 100) == i] for i in range(6)
+        )
+    )
+    for parts in (1, 4, 7):
+        fitted = clustering.fit_all(df.repartition(parts), [5, 6, 7])
+        centres, cost = fitted[6]
+        assert [tuple(c) for c in centres[centres[:, 0].argsort()]] == pytest.approx(
+            [pytest.approx(c) for c in wanted]
+        )
+        by_hand = sum(min((a - x) ** 2 + (b - y) ** 2 for x, y in wanted) for a, b in points)
+        assert cost == pytest.approx(by_hand) and fitted[5][1] > 10 * cost > 10 * fitted[7][1] * 0.9
+
+
+def test_an_elbow_of_few_or_no_rows(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 2.0), (5.0, None), (9.0, 2.0)], "a double, b double")
+    assert [tuple(r) for r in clustering.elbow(df, ["a", "b"], 1, 3).collect()] == [
+        (1, 32.0),
+        (2, 0.0),
+        (3, 0.0),
+    ]
+    assert clustering.elbow(df.limit(0), ["a", "b"], 1, 3).count() == 0
+
+
+def plane_rows(n=400, seed=2):
+    draw = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        a, b, c = draw.gauss(5, 2), draw.uniform(-1, 1) * 100, draw.gauss(0, 0.01)
+        rows.append((a, b, c + a / 300, 4.0, 3 * a - 0.05 * b + 200 * c + 7 + draw.gauss(0, 1)))
+    return rows + [(None, 1.0, 1.0, 4.0, 1.0), (1.0, 1.0, 1.0, 4.0, None), (1.0, float("nan"), 1.0, 4.0, 0.0)]
+
+
+@pytest.mark.parametrize("reg, mix", [(0.0, 0.0), (0.3, 0.8), (0.3, 0.0), (1.0, 1.0), (2.0, 0.5)])
+def test_a_plane_is_the_librarys(spark, reg, mix):
+    names = ["a", "b", "c"]
+    df = spark.createDataFrame(plane_rows(), "a double, b double, c double, d double, y double")
+    plane = regression.fit_plane(df, names, "y", reg, mix)
+    model = regression.fit_line(df, names, "y", reg, mix, max_iter=500)
+    assert plane.slopes == pytest.approx(list(model.coefficients), abs=2e-6, rel=1e-6)
+    assert plane.intercept == pytest.approx(model.intercept, abs=2e-6, rel=1e-6)
+    assert plane.rows == 400
+    complete = df.na.drop("any")
+    ours = regression.score_plane(complete, plane).orderBy("a").collect()
+    theirs = regression.score(complete, names, model).orderBy("a").collect()
+    assert [r.prediction for r in ours] == pytest.approx([r.prediction for r in theirs], abs=1e-4)
+
+
+def test_a_plane_of_one_feature_is_the_line(spark):
+    df = spark.createDataFrame(plane_rows(), "a double, b double, c double, d double, y double")
+    slope, intercept = regression.fit_by_moments(df, "a", "y")
+    plane = regression.fit_plane(df, ["a"], "y")
+    assert (*plane.slopes, plane.intercept) == pytest.approx((slope, intercept))
+
+
+def test_planes_at_the_edges(spark):
+    df = spark.createDataFrame(plane_rows(), "a double, b double, c double, d double, y double")
+    constant = regression.fit_plane(df, ["a", "d"], "y")
+    assert constant.slopes[1] == 0.0
+    assert constant.slopes[0] == pytest.approx(regression.fit_plane(df, ["a"], "y").slopes[0])
+    flat = regression.fit_plane(df, ["a", "b"], "d")
+    assert flat.slopes == (0.0, 0.0) and flat.intercept == 4.0
+    twins = df.withColumn("e", F.col("a"))
+    assert sum(regression.fit_plane(twins, ["a", "e"], "y").slopes) > 0
+    with pytest.raises(ValueError):
+        regression.fit_plane(df.limit(0), ["a"], "y")
+    with pytest.raises(ValueError):
+        regression.fit_plane(df, ["a"] * 31, "y")
+
+
+def test_a_plane_reads_the_table_once(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(plane_rows(), "a double, b double, c double, d double, y double").write.parquet(path)
+    spark.sparkContext.setJobGroup("plane", "one aggregate")
+    try:
+        regression.fit_plane(spark.read.parquet(path), ["a", "b", "c"], "y")
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("plane")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # Scan and sum of one aggregate.
+    assert len(jobs) <= 3
+
+
 def test_fits_leave_nothing_in_the_shared_folder(spark):
     before = set(Path(shared_folder(spark)).iterdir())
     df = blobs(spark)
