@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from millrace.operators.cleaning import clean_numeric
 from millrace.operators.extremes import describe_long, extremes_by, global_extremes
 from millrace.session import fresh_path
+from millrace.sources import checked
 from millrace.sources.csv import infer_schema, read_csv, write_csv
+from millrace.sources.merged import read_merged
 from millrace.sources.tables import name_relation, query, table
+from millrace.sources.text import write_lines
 
 
 def orders_with_year(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,6 +72,62 @@ def dirty_csv(spark: SparkSession, folder: str) -> DataFrame:
     return clean_numeric(rows, ["a", "b"])
 
 
+EXPORT = "value double, user_id bigint, kind string"
+
+
+def _loose_export(spark: SparkSession, folder: str) -> str:
+    """Events as CSV lines: some with a text for a number, some cut short, some too long."""
+    path = fresh_path(spark, "loose-csv")
+    fields = [F.col(c).cast("string") for c in ("value", "user_id", "event_type")]
+    whole = F.concat_ws(",", *fields)
+    line = (
+        F.when(F.col("event_type") == "error", F.concat_ws(",", F.lit("broken"), *fields[1:]))
+        .when(F.col("event_type") == "view", F.concat_ws(",", *fields[:2]))
+        .when(F.col("event_type") == "click", F.concat_ws(",", whole, F.lit("more")))
+        .otherwise(whole)
+    )
+    write_lines(table(spark, folder, "events").select(line.alias("line")), "line", path)
+    return path
+
+
+def _by_problem(counts: DataFrame) -> DataFrame:
+    return counts.agg(*[F.sum(c).alias(c) for c in ("rows", "good", "fields", "value")])
+
+
+def checked_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of an export, and those that do not parse by what is wrong with them."""
+    rows = checked.read_checked(spark, _loose_export(spark, folder), EXPORT, header=False)
+    return _by_problem(checked.problem_counts(rows))
+
+
+def checked_csv_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from a stream, which writes good and bad rows to two tables."""
+    rows = checked.checked_stream(spark, _loose_export(spark, folder), EXPORT, header=False, files_per_batch=4)
+    good_path, bad_path, state = (fresh_path(spark, f"checked-{name}") for name in ("good", "bad", "state"))
+    checked.start_checked(rows, good_path, bad_path, state).awaitTermination()
+    good = spark.read.parquet(good_path).select(F.lit(None).cast("string").alias("problem"))
+    both = good.unionByName(spark.read.parquet(bad_path).select("problem"))
+    return _by_problem(checked.problem_counts(both.withColumn("file", F.lit(""))))
+
+
+def merged_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers from files with two headers: columns in another order, one more, other types."""
+    path = fresh_path(spark, "merged-csv")
+    customers = table(spark, folder, "customer")
+    names = ["c_custkey", "c_name", "c_acctbal"]
+    write_csv(customers.filter("c_custkey % 2 = 0").select(*names), f"{path}/even")
+    whole = F.floor("c_acctbal").alias("c_acctbal")
+    odd = customers.filter("c_custkey % 2 = 1")
+    write_csv(odd.select(whole, "c_nationkey", "c_custkey", "c_name"), f"{path}/odd")
+    rows = read_merged(spark, f"{path}/*/*.csv")
+    return rows.select(
+        F.col("c_custkey").cast("bigint").alias("c_custkey"),
+        "c_name",
+        "c_acctbal",
+        F.col("c_nationkey").cast("bigint").alias("c_nationkey"),
+    )
+
+
 def statistics(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["o_orderkey", "o_custkey", "o_totalprice"]
     return describe_long(table(spark, folder, "orders"), columns).select(
@@ -95,6 +154,21 @@ FROM events WHERE event_type NOT IN ('error', 'view')
 """
 
 
+CHECKED = """
+SELECT count(*) AS rows, count(*) FILTER (WHERE event_type NOT IN ('error', 'view', 'click')) AS good,
+       count(*) FILTER (WHERE event_type IN ('view', 'click')) AS fields,
+       count(*) FILTER (WHERE event_type = 'error') AS value
+FROM events
+"""
+
+MERGED = """
+SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name,
+       CAST(CASE WHEN c_custkey % 2 = 0 THEN c_acctbal ELSE floor(c_acctbal) END AS DOUBLE) AS c_acctbal,
+       CASE WHEN c_custkey % 2 = 1 THEN CAST(c_nationkey AS BIGINT) END AS c_nationkey
+FROM customer
+"""
+
+
 def _statistics_sql() -> str:
     parts = [
         f"""SELECT '{c}' AS "column", count({c}) AS n, round(avg({c}), 2) AS mean,
@@ -112,5 +186,8 @@ QUERIES = {
     "year_extremes_sql": (by_year_sql, BY_YEAR),
     "year_extremes_csv": (by_year_csv, BY_YEAR),
     "dirty_csv": (dirty_csv, DIRTY),
+    "checked_csv": (checked_csv, CHECKED),
+    "checked_csv_stream": (checked_csv_stream, CHECKED),
+    "merged_csv": (merged_csv, MERGED),
     "describe_orders": (statistics, _statistics_sql()),
 }

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.functions.numeric import to_int
 from millrace.operators.totals import first_match, leaders, top_groups, total_by
@@ -15,6 +16,7 @@ from millrace.session import fresh_path, remove_path
 from millrace.sources.csv import write_csv
 from millrace.sources.tables import table
 from millrace.streaming.files import csv_stream, parquet_stream, run_to_parquet, run_to_table
+from millrace.streaming.keyed import keyed_table, start_keyed
 from millrace.streaming.totals import running_leaders, running_totals
 
 # The stream reports take the tables as so many files at least, a few a batch.
@@ -76,6 +78,22 @@ def daily_totals_stream(spark: SparkSession, folder: str) -> DataFrame:
         return _to_cents(run_to_parquet(totals, fresh_path(spark, "daily-totals")))
 
 
+def daily_totals_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals by day in a keyed table: half of the files arrive, the stream stops and goes on."""
+    arriving, path, state = (fresh_path(spark, f"kept-{name}") for name in ("in", "totals", "state"))
+    events = table(spark, folder, "events").select(_day("ts"), "value")
+    halves = [events.filter("pmod(xxhash64(day, value), 2) = 0"), events.filter("pmod(xxhash64(day, value), 2) = 1")]
+    schema = StructType.fromDDL("day string, total double")
+    for half in halves:
+        half.repartition(ARRIVALS).write.mode("append").parquet(arriving)
+        stream = parquet_stream(spark, arriving, events.schema, files_per_batch=1)
+        totals = total_by(stream, "day", "value")
+        start_keyed(totals, path, state, ["day"], merge_every=3).awaitTermination()
+    remove_path(spark, arriving)
+    remove_path(spark, state)
+    return _to_cents(keyed_table(spark, path, schema, ["day"]))
+
+
 def units_per_year(spark: SparkSession, folder: str) -> DataFrame:
     """Whole units sold per year: a sum of ints, kept as bigint."""
     rows = table(spark, folder, "lineitem").select(
@@ -119,6 +137,7 @@ QUERIES = {
     ),
     "best_days_stream": (best_days_stream, _best("events", "ts", "value", "LIMIT 10")),
     "daily_totals_stream": (daily_totals_stream, _best("events", "ts", "value", "")),
+    "daily_totals_kept": (daily_totals_kept, _best("events", "ts", "value", "")),
     "year_totals": (units_per_year, UNITS),
     "year_totals_int": (
         units_per_year_int,

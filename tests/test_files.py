@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import members
-from millrace.sources import text
+from millrace.sources import checked, merged, text
 
 
 @contextmanager
@@ -182,3 +182,113 @@ def test_fewer_bytes_are_shuffled(tmp_path):
     filtered = shuffled_bytes(tmp_path, "without_many_listed")
     print(f"shuffled {whole} bytes before, {filtered} after")
     assert 0 < filtered < 0.35 * whole
+
+
+ROWS = 'x,y,z\n1,2.5,a\n2,oops,b\n3\n4,5,c,d\n,,\n"5",6,"q,r"\n7,,"s"\n'
+WANTED = {
+    (1, 2.5, "a", None, None),
+    (2, None, "b", "value", "2,oops,b"),
+    (3, None, None, "fields", "3"),
+    (4, 5.0, "c", "fields", "4,5,c,d"),
+    (None, None, None, None, None),
+    (5, 6.0, "q,r", None, None),
+    (7, None, "s", None, None),
+}
+
+
+def test_rows_that_do_not_parse(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text(ROWS)
+    (tmp_path / "in" / "b.csv").write_text("x,y,z\n")
+    (tmp_path / "in" / "c.csv").write_text("x,y,z\nbad,1,u\n8,1,u\n")
+    rows = checked.read_checked(spark, str(tmp_path / "in"), "x int, y double, z string")
+    found = {(r.x, r.y, r.z, r.problem, r.bad_line) for r in rows.collect()}
+    assert found == WANTED | {(None, 1.0, "u", "value", "bad,1,u"), (8, 1.0, "u", None, None)}
+    counts = {os.path.basename(r.file): tuple(r)[1:] for r in checked.problem_counts(rows).collect()}
+    assert counts == {"a.csv": (7, 4, 2, 1), "c.csv": (2, 1, 0, 1)}
+    # Fewer columns asked for, the same verdicts.
+    assert rows.select("z", "problem").filter("problem = 'value'").count() == 2
+    assert rows.select("problem").filter("problem is null").count() == 5
+    good = checked.put_aside(rows, str(tmp_path / "bad"))
+    assert good.columns == ["x", "y", "z"] and good.count() == 5
+    bad = spark.read.parquet(str(tmp_path / "bad"))
+    assert sorted((r.problem, r.bad_line) for r in bad.collect()) == [
+        ("fields", "3"),
+        ("fields", "4,5,c,d"),
+        ("value", "2,oops,b"),
+        ("value", "bad,1,u"),
+    ]
+    with pytest.raises(ValueError):
+        checked.read_checked(spark, str(tmp_path / "in"), "x int, problem string")
+
+
+def test_rows_of_a_stream_that_do_not_parse(spark, tmp_path):
+    for i in range(4):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"{i}.csv").write_text(ROWS)
+    stream = checked.checked_stream(
+        spark, str(tmp_path / "in"), "x int, y double, z string", files_per_batch=1
+    )
+    places = [str(tmp_path / name) for name in ("good", "bad", "state")]
+    for _ in range(2):
+        # The second start finds nothing new.
+        checked.start_checked(stream, *places).awaitTermination()
+    good, bad = (spark.read.parquet(place) for place in places[:2])
+    assert good.count() == 16 and bad.count() == 12
+    assert good.select("batch").distinct().count() == 4
+    assert {r.bad_line for r in bad.collect()} == {line for *_, line in WANTED if line}
+
+
+def test_files_whose_headers_differ(spark, tmp_path):
+    texts = {
+        "a.csv": "id,name,price\n1,x,2\n2,y,3\n",
+        "b.csv": "price,id,more,when\n2.5,3,k,2020-01-01\n",
+        "c.csv": "id,name,price\n30000000000,,\n",
+        "d.csv": "",
+        "e.csv": "name,when\n\"a,b\",2020-01-02 10:00:00\n",
+        "f.csv": "price,id,more,when\n",
+    }
+    for name, content in texts.items():
+        (tmp_path / name).write_text(content)
+    path = f"{tmp_path}/*.csv"
+    known = merged.layouts(spark, path)
+    assert {names: [os.path.basename(f) for f in files] for names, files in known.files.items()} == {
+        ("id", "name", "price"): ["a.csv", "c.csv"],
+        ("name", "when"): ["e.csv"],
+        ("price", "id", "more", "when"): ["b.csv", "f.csv"],
+    }
+    assert known.schema.simpleString() == "struct<id:bigint,name:string,price:double,when:timestamp,more:string>"
+    assert set(known.widened) == {"id", "price", "when"}
+    rows = merged.read_merged(spark, path)
+    key = lambda row: repr(row)
+    found = sorted(((r.id, r.name, r.price, r.more, str(r.when)) for r in rows.collect()), key=key)
+    assert found == sorted(
+        [
+            (1, "x", 2.0, None, "None"),
+            (2, "y", 3.0, None, "None"),
+            (3, None, 2.5, "k", "2020-01-01 00:00:00"),
+            (30000000000, None, None, None, "None"),
+            (None, "a,b", None, None, "2020-01-02 10:00:00"),
+        ],
+        key=key,
+    )
+    pinned = merged.read_merged(spark, path, "price double, id string, absent int")
+    assert pinned.columns == ["price", "id", "absent"] and pinned.count() == 5
+    assert {r.id for r in pinned.collect()} == {"1", "2", "3", "30000000000", None}
+
+
+@pytest.mark.parametrize("text_, named", [("a,a\n1,2\n", "a"), ("a,\n1,2\n", "''"), ("A,b\n1,2\n", "case")])
+def test_headers_that_no_merge_can_mend(spark, tmp_path, text_, named):
+    (tmp_path / "one.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "two.csv").write_text(text_)
+    with pytest.raises(ValueError, match=named):
+        merged.read_merged(spark, f"{tmp_path}/*.csv")
+
+
+@pytest.mark.parametrize("kinds, wanted", [
+    (["int", "bigint"], "bigint"), (["int", "double"], "double"), (["date", "timestamp"], "timestamp"),
+    (["boolean", "int"], "string"), (["string", "int"], "string"), (["date", "int"], "string"),
+])
+def test_wider_types(kinds, wanted):
+    a, b = (merged.StructType.fromDDL(f"c {kind}").fields[0].dataType for kind in kinds)
+    assert merged.wider(a, b).simpleString() == merged.wider(b, a).simpleString() == wanted
