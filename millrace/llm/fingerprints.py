@@ -9,6 +9,7 @@ but a few numbers for each text is shuffled. DataFrame functions only.
 
 from __future__ import annotations
 
+import json
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,6 +25,9 @@ ONES = 1 + (1 << FIELD) + (1 << 2 * FIELD)
 HEAVIEST = 16
 # So many terms of the heaviest weight fit a counter.
 PART_TERMS = (1 << FIELD) // HEAVIEST // 2
+# Fingerprints of one key of a block table that a task compares with others of it.
+MOST_OF_KEY = 2_000
+RADIUS = 3
 
 
 def fingerprints(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
@@ -110,15 +114,50 @@ def near_prints(
     first = F.coalesce(
         *[F.when(apart.bitwiseAND(F.lit(m)) == 0, F.lit(i)) for i, m in enumerate(choices)]
     )
+    held = tables(prints, "fp")
+    # Keys with many fingerprints, of which there are few: they are dealt to several tasks.
+    crowded = (
+        held.groupBy("n", "key")
+        .agg(F.ceil(F.count("*") / MOST_OF_KEY).cast("int").alias("shares"))
+        .filter(F.col("shares") > 1)
+    )
+    shares = F.coalesce("shares", F.lit(1))
+    dealt = held.join(crowded, ["n", "key"], "left").withColumn(
+        "share", F.pmod(F.xxhash64("fp"), shares).cast("int")
+    )
+    asked = tables(queries, "query_fp").join(crowded, ["n", "key"], "left")
+    asked = asked.withColumn("share", F.explode(F.sequence(F.lit(0), shares - 1)))
     return (
-        tables(queries, "query_fp")
-        .join(tables(prints, "fp"), ["n", "key"])
+        asked.drop("shares")
+        .join(dealt.drop("shares"), ["n", "key", "share"])
         .withColumn("distance", F.bit_count(apart))
         .filter((F.col("distance") <= radius) & (F.col("n") == first))
         .select("query_fp", "fp", "distance")
     )
 
 
+def neighbours(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(fp, near_prints): how many other fingerprints lie within ``radius`` bits, if any do.
+
+    Pairs are counted where they are found; a group of m fingerprints that are all
+    near each other takes m * m comparisons, dealt to tasks, and no more rows than m.
+    """
+    pairs = near_prints(prints, prints, radius).filter("distance > 0")
+    counts = pairs.groupBy("query_fp").agg(F.count("*").alias("near_prints"))
+    return counts.withColumnRenamed("query_fp", "fp")
+
+
+def _below(bounds: list[int], value: Column) -> Column:
+    """How many of the ascending bounds are below a value, found by halving."""
+    held = F.from_json(F.lit(json.dumps(bounds)), "array<bigint>")
+    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
+
+    def halve(found: Column, step: Column) -> Column:
+        return F.when(F.get(held, found + step - 1) < value, found + step).otherwise(found)
+
+    return F.aggregate(F.array(*map(F.lit, steps)).cast("array<int>"), F.lit(0), halve)
+
+
 def in_ranges(docs: DataFrame, parts: int) -> DataFrame:
     """doc_id, text, digest and ``part``, a number for each range of document ids."""
     rows = docs.select(
@@ -128,8 +167,7 @@ def in_ranges(docs: DataFrame, parts: int) -> DataFrame:
     shares = [i / parts for i in range(1, parts)]
     # As many numbers as parts.
     bounds = rows.agg(F.percentile_approx("doc_id", shares, 10 * parts)).first()[0] or []
-    limits = F.array(*[F.lit(b) for b in sorted(set(bounds))]).cast("array<bigint>")
-    part = F.size(F.filter(limits, lambda b: b < F.col("doc_id")))
+    part = _below(sorted(set(bounds)), F.col("doc_id"))
     part = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(part)
     return rows.withColumn("part", part).withColumn("digest", F.xxhash64("text"))
 
@@ -137,9 +175,14 @@ def in_ranges(docs: DataFrame, parts: int) -> DataFrame:
 ORDER = ["doc_id", "digest", "text"]
 
 
-def document_fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
+def document_fingerprints(
+    docs: DataFrame, parts: int | None = None, radius: int = RADIUS
+) -> DataFrame:
     """Fingerprints of every text and of the text with its last quarter replaced.
 
+    ``near_prints`` is the number of other fingerprints of texts within ``radius``
+    bits of the text's, found in permuted block tables.
+
     The last floor(n_chars / 4) code points give way to the first as many (or
     all) of the next document's, in ascending doc_id, the first after the last.
     Null ids come first, rows with equal ids go by a digest of the text; a
@@ -218,9 +261,11 @@ def document_fingerprints(docs: DataFrame, parts: int | None = None) -> DataFram
     )
     ahead = Window.partitionBy("part").orderBy("place")
     after = both.withColumn("after_fp", F.lead("fp").over(ahead))
+    near = stored(neighbours(both.select("fp"), radius), "fingerprint-neighbours")
     return (
         after.join(next_part.join(first_prints, "next_part").drop("next_part"), "part")
         .withColumn("next_fp", F.coalesce("after_fp", "head_fp"))
+        .join(near, "fp", "left")
         .select(
             "doc_id",
             "n_chars",
@@ -229,5 +274,6 @@ def document_fingerprints(docs: DataFrame, parts: int | None = None) -> DataFram
             hex_print("edited_fp").alias("edited_fingerprint"),
             likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
             likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+            F.coalesce("near_prints", F.lit(0).cast("bigint")).alias("near_prints"),
         )
     )

@@ -7,7 +7,8 @@ message of its conversation whose own words hold it, be it the whole message or
 any whole words that follow each other there. Candidates share a hashed run of
 words with the passage, and their text is compared with it. A passage without
 letters or digits links to a whole message, paragraph or line. The message that
-most outermost passages come from is the one replied to. DataFrame functions only.
+most outermost passages come from is the one replied to, the latest of several that
+as many come from. Very long messages are searched whole. DataFrame functions only.
 """
 
 from __future__ import annotations

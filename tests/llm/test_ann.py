@@ -83,6 +83,26 @@ def test_fewer_candidates_than_asked_for(spark):
     assert ann_vp.nearest(frame, F.lit(None).cast("boolean")).count() == 0
 
 
+@pytest.mark.parametrize("factor, least", [(1.0, 1.0), (1.1, 0.95), (1.25, 0.9), (1.5, 0.9), (2.0, 0.5), (3.0, 0.2)])
+def test_recall_by_factor(spark, factor, least):
+    """Against all pairs, over several shards; the README recommends up to 1.25."""
+    rows = vectors(3000, 8, 5)
+    frame = spark.createDataFrame([(*r, "x", "y", 1) for r in rows], SCHEMA)
+    asks = F.col("vec_id") % 20 == 0
+    found = ann_vp.nearest(frame, asks, factor=factor, shard_rows=1000).collect()
+    ids = np.array([i for i, _ in rows])
+    units = np.array([v for _, v in rows], dtype=float)
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    wanted = set()
+    for i in np.flatnonzero(ids % 20 == 0):
+        cosine = units @ units[i]
+        cosine[i] = -2
+        wanted |= {(int(ids[i]), int(ids[j])) for j in np.argsort(-cosine)[:5]}
+    share = len(wanted & {(r.query_id, r.vec_id) for r in found}) / len(wanted)
+    print(f"recall {share:.3f} at factor {factor}")
+    assert share >= least
+
+
 def test_factor_trades_recall_for_work():
     rows = np.array([v for _, v in vectors(3000, 8, 1)], dtype=float)
     ids = np.arange(len(rows))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -189,6 +190,9 @@ def test_fingerprint_query(spark):
         assert row.near_edited == 1 - apart / 64
         assert row.near_next == 1 - (p ^ after).bit_count() / 64
     assert max(map(len, by_text.values())) == 1
+    different = set(prints)
+    for p, row in zip(prints, rows):
+        assert row.near_prints == sum(0 < (p ^ q).bit_count() <= 3 for q in different)
     closer = sum(r.near_edited > r.near_next for r in rows)
     assert closer > 0.95 * len(rows)
 
@@ -203,6 +207,38 @@ def test_fingerprints_of_odd_rows(spark, odd, odd_rows, nothing):
     assert fingerprints.document_fingerprints(nothing).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 2, 3, 200, 20_000])
+def test_ranges_of_ids_in_any_number(spark, parts):
+    draw = random.Random(parts)
+    ids = [draw.randint(-50, 10**9) for _ in range(500)] + [7] * 100 + [None]
+    docs = spark.createDataFrame([(i, "x") for i in ids], "doc_id long, text string")
+    began = time.perf_counter()
+    rows = fingerprints.in_ranges(docs, parts).collect()
+    assert time.perf_counter() - began < 20
+    by_id = sorted((r.doc_id is not None, r.doc_id or 0, r.part) for r in rows)
+    found = [part for *_, part in by_id]
+    assert found == sorted(found) and len({(r.doc_id, r.part) for r in rows}) == len(set(ids))
+    assert len(set(found)) <= parts and (parts < 3 or len(set(found)) >= min(parts, 400) // 2)
+
+
+def test_bounds_below_a_value(spark):
+    for count in range(0, 18):
+        bounds = [3 * i for i in range(count)]
+        frame = spark.range(-2, 60).select("id", fingerprints._below(bounds, F.col("id")).alias("n"))
+        assert all(r.n == sum(b < r.id for b in bounds) for r in frame.collect())
+
+
+def test_a_crowded_key_is_dealt_to_several_tasks(spark, monkeypatch):
+    """Two thousand fingerprints of one ball, all in one key of some tables."""
+    monkeypatch.setattr(fingerprints, "MOST_OF_KEY", 100)
+    base = 0x0123456789ABCDEF
+    values = [base ^ (1 << a) ^ (1 << b) for a in range(64) for b in range(a)]
+    signed = [(v - (1 << 64) if v >> 63 else v,) for v in values]
+    frame = spark.createDataFrame(signed, "fp bigint")
+    found = {r.fp % (1 << 64): r.near_prints for r in fingerprints.neighbours(frame, 3).collect()}
+    assert found == {a: sum(0 < (a ^ b).bit_count() <= 3 for b in values) for a in values}
+
+
 @pytest.mark.parametrize("radius", [0, 2, 3])
 def test_block_tables_find_all(spark, radius):
     random_ = np.random.default_rng(1)

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import random
+import re
 from collections import Counter
 
+import pytest
+
 from millrace.llm import quotes
 from millrace.llm.queries import QUERIES
 
@@ -137,3 +141,108 @@ def test_query_returns_every_message(spark, capsys):
     found.explain()
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def plain_own(text):
+    lines = re.split("\r\n|\r|\n", text)
+    quote = [bool(re.match(r"[ \t]*>", line)) for line in lines]
+    if not any(quote):
+        return text
+    kept = [
+        line
+        for i, line in enumerate(lines)
+        if not quote[i]
+        and not (re.search(r"\bwrote:[ \t]*$", line) and i + 1 < len(lines) and quote[i + 1])
+    ]
+    return "\n".join(kept).strip(" \t\r\n")
+
+
+def plain_passages(text):
+    """(level, words) of the quoted passages."""
+    found, before = [], (None, True)
+    for line in re.split("\r\n|\r|\n", text):
+        marks = re.match("[> \t]*", line).group()
+        level, content = marks.count(">"), line[len(marks) :].strip(" ")
+        if level and content:
+            if before != (level, False):
+                found.append([level, ""])
+            found[-1][1] += " " + content
+        before = level, not content
+    return found
+
+
+def in_words(text):
+    return re.sub("([a-z0-9]+)", "\x01\\1\x01", re.sub(r"\s+", " ", text.lower()).strip(" "))
+
+
+def plain(rows):
+    """(conv_id, turn) to (text, reply_to, thread, depth, quotes, linked), message by message."""
+    own = {(conv, turn): plain_own(text) for conv, turn, _, text in rows}
+    shape = {}
+    for conv, turn, _, text in sorted(rows):
+        passages = plain_passages(text)
+        votes, linked = Counter(), 0
+        for level, passage in passages:
+            holders = [
+                t for c, t in own if c == conv and t < turn and in_words(passage) in in_words(own[c, t])
+            ]
+            if holders:
+                linked += 1
+                votes[min(holders)] += level == min(level for level, _ in passages)
+        voted = [(n, t) for t, n in votes.items() if n]
+        reply = max(voted)[1] if voted else None
+        above = shape.get((conv, reply))
+        thread, depth = (above[2], above[3] + 1) if above else (turn, 0)
+        shape[conv, turn] = own[conv, turn], reply, thread, depth, len(passages), linked
+    return shape
+
+
+def conversation(draw, conv):
+    """Messages that quote earlier ones whole, in part, nested, restyled or wrongly."""
+    vocabulary = [f"w{i}" for i in range(draw.choice([4, 30, 300]))]
+    texts = []
+    for turn in range(draw.randint(2, 14)):
+        parts = []
+        for _ in range(draw.choice([0, 0, 1, 1, 2, 3]) if texts else 0):
+            lines = draw.choice(texts).split("\n")
+            first = draw.randrange(len(lines))
+            quoted = lines[first : first + draw.randint(1, 4)] if draw.random() < 0.6 else lines
+            if draw.random() < 0.4:
+                words = " ".join(quoted).split()
+                cut = draw.randrange(len(words)) if words else 0
+                quoted = [" ".join(words[cut : cut + draw.randint(1, 9)])]
+            if draw.random() < 0.2:
+                quoted = [line.upper().replace(" ", "   ") for line in quoted]
+            if draw.random() < 0.1:
+                quoted = [line + " never" for line in quoted]
+            if draw.random() < 0.3:
+                parts.append("On Monday somebody wrote:")
+            mark = draw.choice(["> ", ">", ">> ", "> > "])
+            parts += [mark + line for line in quoted]
+            if draw.random() < 0.5:
+                parts.append("")
+        for _ in range(draw.randint(0 if parts else 1, 4)):
+            line = " ".join(draw.choices(vocabulary, k=draw.randint(1, 7)))
+            parts.append(line + draw.choice(["", ".", ",", "\n"]))
+        texts.append("\n".join(parts))
+    return [(conv, turn, draw.choice("ab"), text) for turn, text in enumerate(texts)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_conversations_against_every_pair_of_messages(spark, seed):
+    draw = random.Random(seed)
+    rows = [row for conv in range(60) for row in conversation(draw, conv)]
+    found = {
+        key: (r.text, r.reply_to, r.thread, r.depth, r.quotes, r.linked)
+        for key, r in linked(spark, rows).items()
+    }
+    wanted = plain(rows)
+    assert sum(shape[5] for shape in wanted.values()) > 100
+    assert found == wanted
+
+
+def test_of_messages_quoted_equally_often_the_latest_is_answered(spark):
+    rows = [(1, 0, "a", "one thing"), (1, 1, "b", "other thing"), (1, 2, "c", "> other thing\n\n> one thing\nboth")]
+    assert linked(spark, rows)[1, 2].reply_to == 1
+    rows[2] = (1, 2, "c", "> one thing\n\n> other thing\n\n> one thing\nboth")
+    assert linked(spark, rows)[1, 2].reply_to == 0
