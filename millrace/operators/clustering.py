@@ -32,8 +32,10 @@ from millrace.session import fresh_path, remove_path
 
 Centre = tuple[float, ...]
 
-# Partitions of a fit. Raise it for large tables; other numbers start elsewhere.
+# Partitions of a fit: so many at least, and one for so many rows of a large table.
+# They depend on the rows alone; other numbers start elsewhere.
 PARTS = 8
+ROWS_OF_PART = 500_000
 # Centres times axes that may travel as literals of an expression.
 MOST_LITERALS = 512
 # Rows on which the centres of an elbow start, those among them that seeds are drawn
@@ -59,6 +61,11 @@ def stored_rows(rows: DataFrame) -> Iterator[DataFrame]:
         remove_path(spark, path)
 
 
+def parts_of(rows: DataFrame) -> int:
+    """Partitions for a stored table, whose rows its files' footers count."""
+    return max(PARTS, math.ceil(rows.count() / ROWS_OF_PART))
+
+
 def fixed_layout(rows: DataFrame, columns: Sequence[str], parts: int) -> DataFrame:
     """Rows dealt by value over ``parts`` partitions, sorted in each."""
     return rows.repartition(parts, *columns).sortWithinPartitions(*columns)
@@ -125,15 +132,16 @@ def fit_clustering(
     k: int,
     scale_columns: Sequence[str] = (),
     seed: int = 1,
-    parts: int = PARTS,
+    parts: int | None = None,
 ) -> Clustering:
     """Fit k-means to rows whose columns are complete numbers.
 
     ``scale_columns`` are mapped to [-1, 1] first. The rows are read as often as
-    the fit needs them; give it a stored table.
+    the fit needs them; give it a stored table. ``parts`` follows its size by
+    default (``parts_of``).
     """
     name = {c: f"axis_{i}" for i, c in enumerate(columns)}
-    laid = fixed_layout(rows, columns, parts).withColumns(
+    laid = fixed_layout(rows, columns, parts or parts_of(rows)).withColumns(
         {axis: F.col(c).cast("double") for c, axis in name.items()}
     )
     stages = []
@@ -161,7 +169,7 @@ def cluster(
     k: int,
     scale_columns: Sequence[str] = (),
     seed: int = 1,
-    parts: int = PARTS,
+    parts: int | None = None,
 ) -> Clustering:
     """Clean the columns and cluster them; repeated rows count once."""
     with stored_rows(clean_numeric(df.select(*columns), columns)) as rows:
@@ -181,7 +189,7 @@ def cluster_means(
     scale_columns: Sequence[str] = (),
     seed: int = 1,
     unscale: str = "inverse",
-    parts: int = PARTS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Clean the columns, cluster them and return the centres in their own units.
 
@@ -208,7 +216,7 @@ def labelled_cluster_means(
     k: int,
     top: int = 2,
     seed: int = 1,
-    parts: int = PARTS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Cluster on the columns and a 0/1 label; the centres with most 1-labels.
 

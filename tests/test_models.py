@@ -127,6 +127,17 @@ def test_an_elbow_finds_groups_that_lie_apart(spark):
         assert cost == pytest.approx(by_hand) and fitted[5][1] > 10 * cost > 10 * fitted[7][1] * 0.9
 
 
+def test_partitions_follow_the_size(spark, monkeypatch):
+    assert clustering.parts_of(spark.range(100)) == clustering.PARTS
+    monkeypatch.setattr(clustering, "ROWS_OF_PART", 10)
+    assert clustering.parts_of(spark.range(101)) == 11
+    df = blobs(spark).select("a", "b").na.drop()
+    found = sorted(map(tuple, clustering.cluster_means(df, ["a", "b"], 5).drop("cluster").collect()))
+    monkeypatch.undo()
+    few = sorted(map(tuple, clustering.cluster_means(df, ["a", "b"], 5).drop("cluster").collect()))
+    assert found == [pytest.approx(centre) for centre in few]
+
+
 def test_an_elbow_of_few_or_no_rows(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 2.0), (5.0, None), (9.0, 2.0)], "a double, b double")
     assert [tuple(r) for r in clustering.elbow(df, ["a", "b"], 1, 3).collect()] == [
