@@ -218,7 +218,8 @@ def pack(
     """One row a piece: where it starts in its document and where it lies.
 
     A null text counts as empty and has the end id alone, so every row has a
-    piece; repeated rows are packed each on its own, null document ids too.
+    piece; repeated rows are packed each on its own, null document ids too. A very
+    long text is encoded on its own and cut into as many pieces as it takes.
     Other columns are ignored. An empty table gives no rows.
     """
     if not 1 <= unit <= length or length % unit:

@@ -429,7 +429,7 @@ def masked(text: str, spans: list[tuple[int, int, str]]) -> str:
 def without_personal_data(docs: DataFrame, **how) -> DataFrame:
     """The documents, all of them, with spans masked; n_chars follows the text.
 
-    A null text stays null.
+    A null text stays null. Texts are masked some at a time, a very long one alone.
     """
     keyed, keys, spans = with_spans(docs, **how)
     (column,) = fresh_names(keyed, "masked_spans")

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections import Counter
+from pathlib import Path
 
 import corpus_pipeline
 from millrace.llm import pii, toxicity
 from millrace.llm.common import stored
-from odd_corpus import ids_of, tokenizer  # noqa: F401
+from millrace.session import fresh_path, shared_folder
+from odd_corpus import ids_of, nothing, odd, odd_rows, tokenizer  # noqa: F401
 from test_mixing import plain_targets, words
 from test_prints import plain_components, plain_print
 from test_tokens import check_packing
@@ -67,3 +69,33 @@ def test_run(spark):
     found = corpus_pipeline.run(spark, SMALL)
     assert found.columns[:3] == ["doc_id", "start", "length"]
     assert found.count() > 0
+
+
+def tables(spark, docs):
+    """A folder with these documents and a few labels of them."""
+    folder = fresh_path(spark, "odd-tables")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    labels = [(i, 1, int(i % 5 == 0)) for i in range(15)] + [(None, 1, 1), (3, None, None)]
+    kind = "doc_id bigint, quality int, toxic int"
+    spark.createDataFrame(labels, kind).write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+def test_odd_documents_as_a_whole(spark, odd, odd_rows, ids_of):  # noqa: F811
+    """Nulls, empty and very long texts, repeated rows and names that clash."""
+    folder = tables(spark, odd)
+    found = corpus_pipeline.run(spark, folder).collect()
+    assert {r.doc_id for r in found} <= {row[0] for row in odd_rows}
+    kept = Counter()
+    for r in found:
+        kept[r.doc_id, r.doc_tokens] += r.length
+    assert kept and all(total % tokens == 0 for (_, tokens), total in kept.items())
+
+
+def test_a_run_leaves_its_result_alone(spark, nothing):  # noqa: F811
+    folder = tables(spark, nothing)
+    there = lambda: {p.name for p in Path(shared_folder(spark).removeprefix("file:")).iterdir()}
+    before = there()
+    assert corpus_pipeline.run(spark, folder).count() == 0
+    left = [name for name in there() - before if Path(shared_folder(spark).removeprefix("file:"), name).is_dir()]
+    assert [name.rsplit("-", 1)[0] for name in left if name.count("-") < 4] == ["pipeline-packing"]
