@@ -85,7 +85,7 @@ def test_fewer_candidates_than_asked_for(spark):
 
 @pytest.mark.parametrize("factor, least", [(1.0, 1.0), (1.1, 0.95), (1.25, 0.9), (1.5, 0.9), (2.0, 0.5), (3.0, 0.2)])
 def test_recall_by_factor(spark, factor, least):
-    """Against all pairs, over several shards; the README recommends up to 1.25."""
+    """Against all pairs, over several shards; the README recommends up to 1.5."""
     rows = vectors(3000, 8, 5)
     frame = spark.createDataFrame([(*r, "x", "y", 1) for r in rows], SCHEMA)
     asks = F.col("vec_id") % 20 == 0
