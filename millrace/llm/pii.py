@@ -1,14 +1,19 @@
 """Personal data by fixed forms and by bootstrapped contexts.
 
 Four forms (email, ip, card, phone) are found by rule; they are the seeds. The
-one and the two words before a seed are its lexical patterns. Every token that
-looks like an identifier (digits in it, or an at sign) is an instance of the
-patterns before it, whether a rule knows it or not; groups of digits joined by
-single spaces, dots, hyphens or brackets are one instance. Patterns and instances form
-a graph that is scored in rounds: a pattern is as good as the share of its
-occurrences, with any word after it, that are believed instances of one kind; an
-instance is believed as far as one of its accepted patterns is. Instances of
-accepted patterns that no rule knows are added to the spans.
+one and the two words before an instance, and the words on both sides of it, are its
+lexical patterns. Every token that looks like an identifier (5 characters or more, with 4
+digits or an at sign) is an instance of the patterns around it, whether a rule
+knows it or not; groups of digits joined by single spaces, dots, hyphens or
+brackets are one instance. Patterns are whole words, as far as the line and the
+next instance go.
+
+Patterns and instances form a graph that is scored in rounds: a pattern is as good
+as the share of its occurrences, with any word there, that are believed instances of
+one kind; an instance is believed as far as its accepted patterns are, and what is
+believed in one place is believed wherever it stands. So instances that one round
+discovers are the seeds of the patterns of the next. Believed instances that no
+rule knows are added to the spans, in all their places.
 """
 
 from __future__ import annotations
@@ -37,7 +42,8 @@ from millrace.llm.common import (
 KINDS = ("email", "ip", "card", "phone")
 SPAN = "array<struct<kind:string,start:bigint,stop:bigint>>"
 HINT = (
-    "array<struct<pattern:string,kind:string,instance:string,start:bigint,stop:bigint>>"
+    "array<struct<patterns:array<string>,kind:string,instance:string,"
+    "start:bigint,stop:bigint>>"
 )
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -56,6 +62,9 @@ _GROUPS = re.compile(
 )
 SLICE_BYTES = 1_000_000
 _OPENING = " \t\"'`([{<|*“‘«"
+_CLOSING = " \t\"'`.,;:!?)]}>|*”’»"
+# Stands for the instance in patterns on both sides; no word holds white space.
+HOLE = "\t"
 LONGEST_INSTANCE = 200
 LONGEST_WORD = 40
 FILTER_BITS = 24
@@ -152,13 +161,36 @@ def run_place(text: str, start: int, stop: int) -> tuple[int, int]:
 
 def instance_key(instance: str) -> str:
     """The instance, a digest of the whole if it is long; no instance holds a line break."""
-    if len(instance) <= LONGEST_INSTANCE:
-        return instance
-    return "\n" + hashlib.sha256(instance.encode()).hexdigest()
+    return short_or_digest(instance, LONGEST_INSTANCE)
+
+
+def word_key(word: str) -> str:
+    return short_or_digest(word, LONGEST_WORD)
+
+
+def short_or_digest(text: str, longest: int) -> str:
+    return text if len(text) <= longest else "\n" + hashlib.sha256(text.encode()).hexdigest()
+
+
+def patterns_between(before: str, after: str) -> list[str]:
+    """The last word of ``before``, its last two, and the words on both sides."""
+    ahead = before.rsplit("\n", 1)[-1].lower().rstrip(_OPENING).rsplit(None, 2)[-2:]
+    behind = after.split("\n", 1)[0].lower().lstrip(_CLOSING).split(None, 1)[:1]
+    ahead = [word_key(word) for word in ahead]
+    patterns = ahead[-1:]
+    if len(ahead) == 2:
+        patterns.append(" ".join(ahead))
+    if ahead and behind:
+        patterns.append(ahead[-1] + HOLE + word_key(behind[0]))
+    return patterns
 
 
 def hints(text: str, base: list[tuple[str, int, int]]) -> list[tuple]:
-    """(pattern, kind or null, instance, start, stop) for seeds and other instances."""
+    """(patterns, kind or null, instance, start, stop) for seeds and other instances.
+
+    Spans that overlap have the same patterns, those around all of them. Each gap
+    between instances is looked at twice, so a text takes linear time.
+    """
     found = [(kind, start, stop) for kind, start, stop in base]
     taken = sorted((start, stop) for _, start, stop in base)
     starts = [start for start, _ in taken]
@@ -178,16 +210,20 @@ def hints(text: str, base: list[tuple[str, int, int]]) -> list[tuple]:
         for start, stop in joined_groups(text, free):
             if looks_like_identifier(text[start:stop]):
                 found.append((None, start, stop))
+    found.sort(key=lambda span: span[1:])
+    groups: list[list] = []
+    for span in found:
+        if groups and span[1] < groups[-1][1]:
+            groups[-1][1] = max(groups[-1][1], span[2])
+            groups[-1][2].append(span)
+        else:
+            groups.append([span[1], span[2], [span]])
     rows = []
-    for kind, start, stop in found:
-        line = text[max(0, start - 3 * LONGEST_WORD) : start].rsplit("\n", 1)[-1]
-        before = line.lower().rstrip(_OPENING).split()
-        before = [word for word in before[-2:] if len(word) <= LONGEST_WORD]
-        instance = instance_key(text[start:stop])
-        if before:
-            rows.append((before[-1], kind, instance, start, stop))
-        if len(before) == 2:
-            rows.append((" ".join(before), kind, instance, start, stop))
+    ends = [0, *(stop for _, stop, _ in groups)]
+    nexts = [*(start for start, _, _ in groups[1:]), len(text)]
+    for (start, stop, spans), end, following in zip(groups, ends, nexts):
+        patterns = patterns_between(text[end:start], text[stop:following])
+        rows += [(patterns, k, instance_key(text[a:b]), a, b) for k, a, b in spans]
     return rows
 
 
@@ -199,7 +235,7 @@ def found_in(docs: DataFrame, keep: list[str], text: str) -> DataFrame:
             base = [base_spans(text) for text in texts]
             context = [hints(text, spans) for text, spans in zip(texts, base)]
             columns = [batch.column(name) for name in keep]
-            names = ("kind", "start", "stop"), ("pattern", "kind", "instance", "start", "stop")
+            names = ("kind", "start", "stop"), ("patterns", "kind", "instance", "start", "stop")
             for rows, fields, types in zip((base, context), names, (_SPANS, _HINTS)):
                 dicts = [[dict(zip(fields, row)) for row in each] for each in rows]
                 columns.append(pa.array(dicts, types))
@@ -218,7 +254,7 @@ _SPANS = pa.list_(
 _HINTS = pa.list_(
     pa.struct(
         [
-            ("pattern", pa.string()),
+            ("patterns", pa.list_(pa.string())),
             ("kind", pa.string()),
             ("instance", pa.string()),
             ("start", pa.int64()),
@@ -229,10 +265,15 @@ _HINTS = pa.list_(
 
 
 def pattern_bits(patterns: DataFrame) -> np.ndarray:
-    """A bit for each CRC of a pattern, cut to its size; always 2**FILTER_BITS / 8 bytes."""
-    place = F.crc32(F.col("pattern").cast("binary")).bitwiseAND((1 << FILTER_BITS) - 1) + 1
+    """A bit for each CRC of a pattern, cut to its size; always 2**FILTER_BITS / 8 bytes.
+
+    The word right before the instance, which every pattern has, has its bit too.
+    """
+    nearest = F.substring_index(F.substring_index("pattern", " ", -1), HOLE, 1)
+    marked = patterns.select(F.explode(F.array("pattern", nearest)).alias("marked"))
+    place = F.crc32(F.col("marked").cast("binary")).bitwiseAND((1 << FILTER_BITS) - 1) + 1
     parts = (
-        patterns.select(place.alias("place"))
+        marked.select(place.alias("place"))
         .groupBy(F.bitmap_bucket_number("place").alias("bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
     )
@@ -250,12 +291,11 @@ def maybe_pattern(bits: np.ndarray, text: str) -> bool:
 
 
 def occurrences(docs: DataFrame, patterns: DataFrame, text: str) -> DataFrame:
-    """(pattern, uses): how often the patterns occur, with any word after them.
+    """(pattern, uses): how often the patterns occur, with any word at the instance's place.
 
     The words and pairs of words are counted within tasks and joined to the
     patterns, however many there are. A bit table of fixed size leaves out most
     words that are none before that; those that it lets through find no partner.
-    The last word of a pattern of two is a pattern too, as it has the same seeds.
     """
     bits = pattern_bits(patterns)
 
@@ -270,13 +310,16 @@ def occurrences(docs: DataFrame, patterns: DataFrame, text: str) -> DataFrame:
 
         for _, texts in text_chunks(batches, "searched_text"):
             for text in texts:
-                words = text.lower().split()
+                words = [word_key(word) for word in text.lower().split()]
                 new = set(words) - met
                 met |= new
                 likely.update(word for word in new if maybe_pattern(bits, word))
-                uses.update(filter(likely.__contains__, words[:-1]))
-                pairs = (pair for pair in zip(words, words[1:-1]) if pair[1] in likely)
-                uses.update(filter(pair_met, map(" ".join, pairs)))
+                if not likely.isdisjoint(words):
+                    uses.update(filter(likely.__contains__, words[:-1]))
+                    pairs = (pair for pair in zip(words, words[1:-1]) if pair[1] in likely)
+                    sides = (side for side in zip(words, words[2:]) if side[0] in likely)
+                    uses.update(filter(longer_met, map(" ".join, pairs)))
+                    uses.update(filter(longer_met, map(HOLE.join, sides)))
                 if len(uses) > MOST_COUNTED:
                     yield counted()
                     uses.clear()
@@ -285,8 +328,8 @@ def occurrences(docs: DataFrame, patterns: DataFrame, text: str) -> DataFrame:
                     likely.clear()
         yield counted()
 
-    def pair_met(pair: str) -> bool:
-        return maybe_pattern(bits, pair)
+    def longer_met(pattern: str) -> bool:
+        return maybe_pattern(bits, pattern)
 
     texts = docs.select(F.col(text).alias("searched_text"))
     counted = map_arrow(texts, work, "pattern string, uses bigint")
@@ -308,64 +351,86 @@ def discovered(
 ) -> DataFrame:
     """The kept columns with ``more``, the spans added to a row; rows with any only.
 
-    A pattern needs ``least_seeds`` different seeds, however large the corpus, so
-    documents that do not use a pattern have no say in it.
+    A pattern needs ``least_seeds`` different believed instances, however large the
+    corpus, so documents that do not use a pattern have no say in it. Its uses are
+    counted once, in the round in which it could first be accepted; a round without
+    such patterns reads no text. ``rounds`` bounds the chain from one context to the
+    next; it ends before if a round changes no belief.
     """
     graph = stored(
         found.select(F.explode("hints").alias("hint"))
-        .groupBy("hint.pattern", "hint.kind", "hint.instance")
+        .select(F.explode("hint.patterns").alias("pattern"), "hint.kind", "hint.instance")
+        .groupBy("pattern", "kind", "instance")
         .agg(F.count("*").alias("times")),
         "pii-graph",
     )
-    seeds = graph.filter(F.col("kind").isNotNull())
-    likely = (
-        seeds.groupBy("pattern", "kind")
-        .agg(F.count("*").alias("seeds"))
-        .filter(F.col("seeds") >= least_seeds)
-        .select("pattern", "kind")
+    unknown = graph.filter(F.col("kind").isNull()).select("pattern", "instance", "times")
+    sums = F.sum("weight").alias("weight"), F.sum("support").alias("support")
+    seeds = (
+        graph.filter(F.col("kind").isNotNull())
+        .groupBy("pattern", "kind")
+        .agg(F.sum("times").cast("double").alias("weight"), F.count("*").alias("support"))
     )
-    likely = stored(likely, "pii-patterns")
-    if likely.isEmpty():
-        return found.filter(F.lit(False)).select(*keep, F.array().cast(SPAN).alias("more"))
-    counted = stored(occurrences(docs, likely.select("pattern"), text), "pii-uses")
-    # A pattern glued to its instances is no word of its own and counts them alone.
-    uses = F.coalesce("uses", F.lit(0)).alias("uses")
-    pairs = likely.join(counted, "pattern", "left").select("pattern", "kind", uses)
-
-    # Belief of an instance in a kind; seeds are certain.
-    edges = graph.withColumnRenamed("kind", "seed_kind").join(pairs, "pattern")
-    believed = None
+    totals = graph.groupBy("pattern").agg(F.sum("times").alias("total"))
+    counted = believed = None
+    all_belief = 0.0
     for _ in range(rounds):
-        own = F.when(F.col("seed_kind") == F.col("kind"), 1.0).otherwise(0.0)
-        scored = edges
+        # The weight of a pattern in a kind: believed instances, seeds count fully.
+        weights = seeds
         if believed is not None:
-            scored = edges.join(believed, ["instance", "kind"], "left")
-            own = F.greatest(own, F.coalesce("believed", F.lit(0.0)))
-        good = F.sum(own * F.col("times")) / (F.greatest("uses", F.sum("times")) + 1)
-        patterns = stored(
-            scored.groupBy("pattern", "kind", "uses").agg(good.alias("good")),
-            "pii-patterns",
+            sure = F.count_if(F.col("believed") >= belief)
+            weights = seeds.unionByName(
+                unknown.join(believed, "instance")
+                .groupBy("pattern", "kind")
+                .agg(
+                    F.sum(F.col("believed") * F.col("times")).alias("weight"),
+                    sure.alias("support"),
+                )
+            )
+        weights = (
+            weights.groupBy("pattern", "kind")
+            .agg(*sums)
+            .filter(F.col("support") >= least_seeds)
+            .join(totals, "pattern")
+            .filter(F.col("weight") / (F.col("total") + 1) >= belief)
         )
-        accepted = patterns.filter(F.col("good") >= belief)
+        weights = stored(weights, "pii-weights")
+        # Only patterns that the other instances leave a chance are counted in the texts.
+        new = weights.select("pattern").distinct()
+        if counted is not None:
+            new = new.join(counted, "pattern", "left_anti")
+        new = stored(new, "pii-patterns")
+        if not new.isEmpty():
+            # A pattern glued to its instances is no word of its own and counts them alone.
+            uses = F.coalesce("uses", F.lit(0)).cast("bigint").alias("uses")
+            more = new.join(occurrences(docs, new, text), "pattern", "left").select("pattern", uses)
+            more = stored(more, "pii-uses")
+            counted = more if counted is None else counted.unionByName(more)
+        if counted is None:
+            break
+        good = F.col("weight") / (F.greatest("uses", "total") + 1)
+        accepted = weights.join(counted, "pattern").withColumn("good", good)
+        accepted = accepted.filter(F.col("good") >= belief).select("pattern", "kind", "good")
         unlike = F.exp(F.sum(F.log(F.greatest(1 - F.col("good"), F.lit(1e-9)))))
         believed = stored(
-            edges.filter(F.col("seed_kind").isNull())
-            .join(accepted, ["pattern", "kind"])
+            unknown.join(accepted, "pattern")
             .groupBy("instance", "kind")
             .agg((1 - unlike).alias("believed")),
             "pii-beliefs",
         )
+        before = all_belief
+        all_belief = believed.agg(F.coalesce(F.sum("believed"), F.lit(0.0))).first()[0]
+        if abs(all_belief - before) <= 1e-9 * all_belief:
+            break
+    if believed is None:
+        return found.filter(F.lit(False)).select(*keep, F.array().cast(SPAN).alias("more"))
+    # Of the kinds that fit an instance, the one believed most, then by name.
+    best = F.max_by("kind", F.struct("believed", "kind")).alias("kind")
+    chosen = believed.filter(F.col("believed") >= belief).groupBy("instance").agg(best)
     here = found.select(*keep, F.explode("hints").alias("hint")).filter("hint.kind is null")
-    spans = (
-        here.select(*keep, "hint.pattern", "hint.instance", "hint.start", "hint.stop")
-        .join(accepted.select("pattern", "kind"), "pattern")
-        .join(believed.filter(F.col("believed") >= belief), ["instance", "kind"])
-    )
-    # Of the kinds that fit a span, the one believed most, then by name.
-    best = F.max_by("kind", F.struct("believed", "kind"))
     return (
-        spans.groupBy(*keep, "start", "stop")
-        .agg(best.alias("kind"))
+        here.select(*keep, "hint.instance", "hint.start", "hint.stop")
+        .join(chosen, "instance")
         .groupBy(*keep)
         .agg(F.collect_list(F.struct("kind", "start", "stop")).alias("more"))
     )
