@@ -86,13 +86,24 @@ class BlockMaxIndex:
 
     def nearest(self, vector: dict[int, float], skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k nearest examples with a cosine above 0, the closest first, ties in index order."""
+        best, cosines, _ = self.with_ties(vector, skip)
+        return best[: self.k], cosines[: self.k]
+
+    def with_ties(
+        self, vector: dict[int, float], skip: int = -1
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The k nearest and all as close as the k-th, their cosines and their parts.
+
+        An example closer than the k-th counts whole; those as close as the k-th
+        share what is left of k evenly, so no order among them decides.
+        """
         terms = [(t, w) for t, w in vector.items() if t in self.postings]
         bound = np.zeros(self.blocks)
         for term, weight in terms:
             bound += weight * self.tops[term]
         best, cosines, worst = np.empty(0, int), np.empty(0), 0.0
         for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 0 or (len(best) == self.k and bound[block] < worst - 1e-12):
+            if bound[block] <= 0 or (len(best) >= self.k and bound[block] < worst - 2e-12):
                 break
             scores = np.zeros(BLOCK)
             for term, weight in terms:
@@ -104,10 +115,17 @@ class BlockMaxIndex:
             found = np.flatnonzero(scores)
             best = np.concatenate([best, found + block * BLOCK])
             cosines = np.concatenate([cosines, scores[found]])
-            top = np.lexsort((best, -np.round(cosines, 12)))[: self.k]
+            near = np.round(cosines, 12)
+            top = np.lexsort((best, -near))
+            if len(top) >= self.k:
+                worst = near[top[self.k - 1]]
+                top = top[near[top] >= worst]
             best, cosines = best[top], cosines[top]
-            worst = cosines[-1] if len(cosines) else 0.0
-        return best, cosines
+        parts = np.ones(len(best))
+        if len(best) > self.k:
+            tied = np.round(cosines, 12) <= worst
+            parts[tied] = (self.k - np.count_nonzero(~tied)) / np.count_nonzero(tied)
+        return best, cosines, parts
 
 
 class Scorer:
@@ -123,11 +141,11 @@ class Scorer:
         return {t: w / length for t, w in weights.items()}
 
     def vote(self, vector: dict[int, float], skip: int = -1) -> tuple[float | None, np.ndarray]:
-        best, cosines = self.index.nearest(vector, skip)
+        best, cosines, parts = self.index.with_ties(vector, skip)
         if not len(best):
             return None, best
         labels = self.index.labels[best]
-        weights = cosines**2 * np.where(labels == 1, self.rates[1], self.rates[0])
+        weights = parts * cosines**2 * np.where(labels == 1, self.rates[1], self.rates[0])
         return float(weights @ labels / weights.sum()), best
 
     def fit(self, vectors: list[dict[int, float]], labels: np.ndarray) -> None:
@@ -179,8 +197,9 @@ def vocabulary(train: DataFrame, size: int, least: float, times: float) -> list[
     Their chi-square is at least ``least``, and they are ``times`` as frequent in
     one class as in the other: words of a language or a subject that one class
     merely has more of are left out. What counts is the number of different
-    surroundings a term stands in, one for each text, so that the words of copies
-    and of passages that many texts share are not taken for evidence.
+    surroundings a term stands in within each class, one for each text, so that the
+    words of copies and of passages that many texts share are not taken for
+    evidence, and words that both classes use in the same surroundings are none.
     """
 
     def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,8 +231,8 @@ def vocabulary(train: DataFrame, size: int, least: float, times: float) -> list[
         map_arrow(
             train.select("text", "label"), presence, "term string, place string, label int"
         )
-        .groupBy("term", F.xxhash64("place").alias("place"))
-        .agg(F.max("label").alias("label"))
+        .select("term", F.xxhash64("place").alias("place"), "label")
+        .distinct()
         .groupBy("term")
         .agg(F.count("*").cast("double").alias("seen"), F.sum("label").alias("both"))
         .filter((F.col("seen") >= 4) & (F.col("seen") < n))
@@ -309,7 +328,7 @@ def scored(
 
     held = (
         with_counts(train, ["doc_id", "label"], chosen)
-        .orderBy("terms", "times", "label", "doc_id")
+        .orderBy("terms", "times", "doc_id")
         .collect()
     )
     answers = np.array([row["label"] for row in held], dtype=int)

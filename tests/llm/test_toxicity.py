@@ -128,3 +128,46 @@ def test_words_of_copies_are_no_evidence(spark):
     scores = {r.doc_id: r.score for r in found}
     assert scores[2200] < 0.3 and scores[2201] < 0.3
     assert min(scores[r[0]] for r in copies + near) > 0.7
+
+
+def test_examples_as_close_as_the_last_share_its_place():
+    """20 clean and 80 toxic examples with one vector vote the share of the toxic."""
+    for labels in ([0] * 20 + [1] * 80, [1] * 80 + [0] * 20):
+        vectors = [{0: 1.0}] * 100
+        index = toxicity.BlockMaxIndex(vectors, np.array(labels), list(range(100)), 15)
+        scorer = toxicity.Scorer(index, np.ones(1), (1.0, 1.0))
+        assert scorer.vote({0: 1.0})[0] == pytest.approx(0.8)
+        assert len(index.nearest({0: 1.0})[0]) == 15
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_votes_against_all_examples(seed):
+    random_ = random.Random(seed)
+    unit = lambda raw: {t: w / sum(x * x for x in raw.values()) ** 0.5 for t, w in raw.items()}
+    vectors = [unit({t: 1.0 for t in random_.sample(range(6), 3)}) for _ in range(300)]
+    labels = np.array([random_.randint(0, 1) for _ in vectors])
+    index = toxicity.BlockMaxIndex(vectors, labels, list(range(300)), 15)
+    scorer = toxicity.Scorer(index, np.ones(6), (1.0, 2.0))
+    for vector in vectors[:20]:
+        cosines = [round(sum(w * v.get(t, 0.0) for t, w in vector.items()), 12) for v in vectors]
+        last = sorted(cosines, reverse=True)[14]
+        closer, tied = sum(c > last for c in cosines), sum(c == last for c in cosines)
+        votes = [0.0, 0.0]
+        for cosine, label in zip(cosines, labels):
+            part = 1.0 if cosine > last else (15 - closer) / tied if cosine == last else 0.0
+            votes[label] += part * cosine**2 * (1.0, 2.0)[label]
+        assert scorer.vote(vector)[0] == pytest.approx(votes[1] / sum(votes))
+
+
+def test_words_of_both_classes_are_no_terms(spark):
+    """Neutral words in the same surroundings in both classes, more often in the toxic."""
+    random_ = random.Random(3)
+    neutral = [f"{a}{b}ness" for a in ("stel", "morn", "quip", "brav", "dusk") for b in ("a", "o")]
+    rows = []
+    for i in range(400):
+        words = [w for n in random_.sample(neutral, 4) for w in ("the", n, "of")]
+        # The toxic word varies its surroundings, the neutral ones have one each.
+        rows.append((i, i % 2, " ".join([*words, *(["by", f"x{i}y", "grobnik"] if i % 2 else [])])))
+    train = spark.createDataFrame(rows, "doc_id bigint, label int, text string")
+    chosen = toxicity.vocabulary(train, 1000, 25.0, 3.0)
+    assert not [term for term in chosen if term[:4] in ("stel", "morn", "quip", "brav", "dusk")]
