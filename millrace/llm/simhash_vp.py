@@ -11,6 +11,10 @@ boundary-overlapping shards are exactly the point's shards in the other trees.
 Within a shard an ordinary vantage-point tree over whole fingerprints finds all
 pairs within the radius. A shard gives the links that connect its points, one
 for each point at most, not all pairs.
+
+A shard of more than ``SHARD`` points is put aside as it streams by, and dealt
+anew by one more vantage point: its rings are cut into blocks of half that size,
+and every two blocks whose rings lie within the radius are a task of their own.
 """
 
 from __future__ import annotations
@@ -30,6 +34,8 @@ SEED = 42
 FIELDS = 32
 EVEN_BITS = 0x5555555555555555
 VANTAGE = 0x2545F4914F6CDD1D
+SECOND_SEED = 7
+SHARD = 1 << 14
 LEAF = 192
 WIDE = 1 << 14
 VOTE_ROWS = 1 << 16
@@ -168,28 +174,51 @@ class _Links:
         self.between(a[~near], b[of_b > middle - self.radius])
 
 
-def _links_of_shards(radius: int):
+def _links_of_shards(radius: int, most: int | None):
+    """Links of sorted shards; the points of one above ``most`` come back with its key."""
+
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, prints = np.empty(0, np.int64), np.empty(0, np.uint64)
+        crowded = None
         for batch in batches:
+            if not batch.num_rows:
+                continue
             more = batch.column("fp").to_numpy().view(np.uint64)
             keys = np.concatenate([keys, batch.column("shard").to_numpy()])
             prints = np.concatenate([prints, more])
+            if keys[0] == crowded:
+                end = np.searchsorted(keys, crowded, side="right")
+                yield _put_aside(keys[:end], prints[:end])
+                keys, prints = keys[end:], prints[end:]
             # The last shard may go on in the next batch.
             whole = np.searchsorted(keys, keys[-1]) if len(keys) else 0
-            yield from _link_sorted(keys[:whole], prints[:whole], radius)
+            yield from _link_sorted(keys[:whole], prints[:whole], radius, most)
             keys, prints = keys[whole:], prints[whole:]
-        yield from _link_sorted(keys, prints, radius)
+            if most is not None and len(keys) > most:
+                crowded = keys[0]
+                yield _put_aside(keys, prints)
+                keys, prints = keys[:0], prints[:0]
+        yield from _link_sorted(keys, prints, radius, most)
 
     return link
 
 
-def _link_sorted(keys: np.ndarray, prints: np.ndarray, radius: int) -> Iterator[pa.RecordBatch]:
+def _put_aside(keys: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(prints.view(np.int64)), pa.nulls(len(keys), pa.int64()), pa.array(keys)]
+    return pa.RecordBatch.from_arrays(columns, names=["a", "b", "shard"])
+
+
+def _link_sorted(
+    keys: np.ndarray, prints: np.ndarray, radius: int, most: int | None
+) -> Iterator[pa.RecordBatch]:
     if len(keys) < 2:
         return
     links = _Links(prints, radius)
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     sizes = np.diff(np.concatenate([starts, [len(keys)]]))
+    over = sizes > most if most is not None else np.zeros(len(sizes), dtype=bool)
+    for start, size in zip(starts[over].tolist(), sizes[over].tolist()):
+        yield _put_aside(keys[start : start + size], prints[start : start + size])
     # Small shards at once: each point with the next, the one after, and so on.
     small = np.repeat(sizes <= LEAF, sizes)
     for ahead in range(1, int(min(sizes.max(), LEAF))):
@@ -198,29 +227,86 @@ def _link_sorted(keys: np.ndarray, prints: np.ndarray, radius: int) -> Iterator[
             break
         a = a[np.bitwise_count(prints[a] ^ prints[a + ahead]) <= radius]
         links.add(a, a + ahead)
-    for start, size in zip(starts[sizes > LEAF].tolist(), sizes[sizes > LEAF].tolist()):
+    large = (sizes > LEAF) & ~over
+    for start, size in zip(starts[large].tolist(), sizes[large].tolist()):
         links.within(np.arange(start, start + size))
     linked = np.flatnonzero(links.part != np.arange(len(prints)))
     if len(linked):
         ends = prints.view(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ends[linked]), pa.array(ends[links.part[linked]])], names=["a", "b"]
+            [
+                pa.array(ends[linked]),
+                pa.array(ends[links.part[linked]]),
+                pa.nulls(len(linked), pa.int64()),
+            ],
+            names=["a", "b", "shard"],
         )
 
 
+def _block(ring: Column, part: Column) -> Column:
+    return F.shiftleft(ring.cast("bigint"), 32) + part
+
+
+def block_pairs(crowded: DataFrame, radius: int) -> DataFrame:
+    """(shard, fp): the points of crowded shards, dealt so that none has many.
+
+    A point's ring is its distance to a vantage point of its shard. Rings are cut
+    into blocks, and a point goes with each block that may hold a partner: by the
+    triangle inequality, one whose ring is at most ``radius`` from its own. The two
+    blocks together are the new shard. A shard has 65 rings at most.
+    """
+    apart = F.col("fp").bitwiseXOR(F.xxhash64(F.lit(SECOND_SEED), "shard"))
+    points = crowded.select("shard", "fp", F.bit_count(apart).alias("ring"))
+    counts = points.groupBy("shard", "ring").agg(F.count("*").alias("n"))
+    blocks = F.ceil(F.col("n") / F.lit(SHARD // 2)).cast("int")
+    rings = counts.groupBy("shard").agg(
+        F.collect_list(F.struct("ring", blocks.alias("blocks"))).alias("rings")
+    )
+    meets = F.flatten(
+        F.transform(
+            F.filter("rings", lambda x: F.abs(x["ring"] - F.col("own")["ring"]) <= radius),
+            lambda x: F.transform(
+                F.sequence(F.lit(0), x["blocks"] - 1),
+                lambda part: _block(x["ring"], part),
+            ),
+        )
+    )
+    plan = rings.select("shard", "rings", F.explode("rings").alias("own")).select(
+        "shard", "own.ring", "own.blocks", meets.alias("meets")
+    )
+    own = _block(F.col("ring"), F.pmod(F.xxhash64("fp"), "blocks"))
+    dealt = points.join(plan, ["shard", "ring"]).select(
+        "shard", "fp", own.alias("own"), F.size("meets").alias("n"), F.explode("meets").alias("met")
+    )
+    # A block meets itself in any task where it meets another.
+    dealt = dealt.filter((F.col("n") == 1) | (F.col("own") != F.col("met")))
+    pair = F.xxhash64("shard", F.least("own", "met"), F.greatest("own", "met"))
+    return dealt.select(pair.alias("shard"), "fp")
+
+
 def linked_prints(points: DataFrame, radius: int, clean: int = 2) -> DataFrame:
     """(a, b): links that connect all distinct ``fp`` within ``radius`` of each other."""
     if not 0 <= radius or radius + clean > FIELDS:
         raise ValueError("radius and clean groups must fit the fields of a fingerprint")
-    dealt = shards(points, radius, clean).repartition("shard").sortWithinPartitions("shard")
-    return map_arrow(dealt, _links_of_shards(radius), "a bigint, b bigint")
+    found = stored(_linked(shards(points, radius, clean), radius, SHARD), "simhash-links")
+    links = found.filter(F.col("shard").isNull()).select("a", "b")
+    crowded = found.filter(F.col("shard").isNotNull()).select("shard", F.col("a").alias("fp"))
+    if crowded.isEmpty():
+        return links
+    within = _linked(block_pairs(crowded, radius), radius, None).select("a", "b")
+    return links.unionByName(stored(within, "simhash-crowded"))
+
+
+def _linked(dealt: DataFrame, radius: int, most: int | None) -> DataFrame:
+    ordered = dealt.repartition("shard").sortWithinPartitions("shard")
+    return map_arrow(ordered, _links_of_shards(radius, most), "a bigint, b bigint, shard bigint")
 
 
 def _classes(docs: DataFrame, shingle: int, radius: int, keep: list[str], text: str) -> DataFrame:
     """The kept columns with fp, the root of its class and the class's least doc_id."""
     prints = stored(with_fingerprints(docs, keep, shingle, text), "simhash")
     points = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-points")
-    roots = component_roots(stored(linked_prints(points.select("fp"), radius), "simhash-links"))
+    roots = component_roots(linked_prints(points.select("fp"), radius))
     rooted = points.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )

@@ -91,8 +91,11 @@ def test_one_of_each_group_stays(odd, odd_rows, nothing):
     assert simhash_vp.near_duplicates(nothing).count() == 0
 
 
-@pytest.mark.parametrize("radius", [0, 1, 4, 7])
-def test_links_lose_no_pair(spark, radius):
+@pytest.mark.parametrize(
+    "radius, shard", [(0, 1 << 14), (1, 1 << 14), (4, 1 << 14), (7, 1 << 14), (4, 40), (7, 9)]
+)
+def test_links_lose_no_pair(spark, monkeypatch, radius, shard):
+    monkeypatch.setattr(simhash_vp, "SHARD", shard)
     random_ = np.random.default_rng(radius)
     centres = random_.integers(0, 1 << 63, 30, dtype=np.uint64)
     near = [
@@ -123,6 +126,24 @@ def test_links_lose_no_pair(spark, radius):
     assert len(set(zip(found, wanted))) == len(set(found)) == len(set(wanted))
 
 
+def test_a_crowded_shard_is_dealt_to_many_tasks(spark):
+    random_ = np.random.default_rng(5)
+    centre = 0x0F1E2D3C4B5A6978
+    prints = {centre}
+    while len(prints) < 50_000:
+        flips = random_.choice(64, random_.integers(1, 5), False)
+        prints.add(centre ^ sum(1 << int(bit) for bit in flips))
+    signed = [(v - (1 << 64) if v >> 63 else v,) for v in sorted(prints)]
+    points = spark.createDataFrame(signed, "fp bigint")
+    one_shard = points.select(F.lit(3).cast("bigint").alias("shard"), "fp")
+    sizes = simhash_vp.block_pairs(one_shard, 4).groupBy("shard").count()
+    least, most, tasks = sizes.agg(F.min("count"), F.max("count"), F.count("*")).first()
+    assert least > 0 and most < simhash_vp.SHARD * 1.1 and tasks >= 10
+    # All are within the radius of the centre, so the links make them one component.
+    roots = component_roots(simhash_vp.linked_prints(points, 4))
+    assert (roots.count(), roots.select("root").distinct().count()) == (50_000, 1)
+
+
 def test_components(spark):
     random_ = random.Random(3)
     chain = list(range(200))
