@@ -28,6 +28,7 @@ WORDS = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (4, 5, 6, 7)
 STORE_WORDS = 300_000
 BLOCK = 64
+ROWS_A_TASK = 50_000
 
 
 def held_out(doc_id: str) -> Column:
@@ -191,8 +192,8 @@ def training_rows(labels: DataFrame, target: str, examples: int) -> DataFrame:
     return drawn[0].unionByName(drawn[1])
 
 
-def vocabulary(train: DataFrame, size: int, least: float, times: float) -> list[str]:
-    """The terms whose presence tells the classes apart best.
+def vocabulary(train: DataFrame, least: float, times: float) -> list[str]:
+    """All terms whose presence tells the classes apart.
 
     Their chi-square is at least ``least``, and they are ``times`` as frequent in
     one class as in the other: words of a language or a subject that one class
@@ -227,7 +228,7 @@ def vocabulary(train: DataFrame, size: int, least: float, times: float) -> list[
     both, seen = F.col("both").cast("double"), F.col("seen")
     off = both * n - seen * toxic
     chi = off * off * n / (seen * (n - seen) * toxic * (n - toxic))
-    ranked = (
+    telling = (
         map_arrow(
             train.select("text", "label"), presence, "term string, place string, label int"
         )
@@ -239,10 +240,8 @@ def vocabulary(train: DataFrame, size: int, least: float, times: float) -> list[
         .withColumn("chi", chi)
         .withColumn("odds", (both + 0.5) / toxic / ((seen - both + 0.5) / (n - toxic)))
         .filter((F.col("chi") >= least) & ~F.col("odds").between(1 / times, times))
-        .orderBy(F.col("chi").desc(), "term")
-        .limit(size)
     )
-    return sorted(row["term"] for row in ranked.collect())
+    return sorted(row["term"] for row in telling.select("term").collect())
 
 
 def with_counts(docs: DataFrame, keep: list[str], terms: list[str]) -> DataFrame:
@@ -289,16 +288,15 @@ def scored(
     keep: tuple[str, ...] = ("doc_id",),
     target: str = "toxic",
     examples: int = 6000,
-    terms: int = 1000,
     chi_square: float = 25.0,
     odds: float = 3.0,
     neighbours: int = 15,
 ) -> DataFrame:
     """The kept columns with ``score`` and ``evidence``, the nearest examples' ids.
 
-    ``examples`` and ``terms`` bound the fitted model: that many labelled
-    documents at most, half of each class, and that many terms. Texts without
-    a known term (null and empty ones too) get the rate of such examples. Label
+    ``examples`` bounds the fitted model: that many labelled documents at most,
+    half of each class, and of their terms all that tell the classes apart. Texts
+    without a known term (null and empty ones too) get the rate of such examples. Label
     rows that repeat an id count as toxic if any says so; null ids or labels
     teach nothing. Without labels of both classes every score is that of an
     unknown text. An empty table gives no rows.
@@ -314,7 +312,7 @@ def scored(
         F.any_value(text).alias("text"),
     )
     train = stored(train.select("doc_id", "label", "text"), "toxic-train")
-    chosen = vocabulary(train, terms, chi_square, odds)
+    chosen = vocabulary(train, chi_square, odds)
     counted = stored(with_counts(docs, [*keep], chosen), "toxic-counts")
 
     seen, total = document_frequencies(counted, len(chosen)), counted.count()
@@ -356,7 +354,9 @@ def scored(
 
     ids = F.array().cast("array<bigint>").alias("evidence")
     schema = counted.select(*keep, F.lit(0.0).alias("score"), ids).schema
-    return map_arrow(counted, score, schema)
+    # Counts are few bytes and long work, so tasks are dealt by rows, not by bytes.
+    tasks = max(4 * docs.sparkSession.sparkContext.defaultParallelism, total // ROWS_A_TASK + 1)
+    return map_arrow(counted.repartition(tasks), score, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **how) -> DataFrame:

@@ -169,5 +169,5 @@ def test_words_of_both_classes_are_no_terms(spark):
         # The toxic word varies its surroundings, the neutral ones have one each.
         rows.append((i, i % 2, " ".join([*words, *(["by", f"x{i}y", "grobnik"] if i % 2 else [])])))
     train = spark.createDataFrame(rows, "doc_id bigint, label int, text string")
-    chosen = toxicity.vocabulary(train, 1000, 25.0, 3.0)
+    chosen = toxicity.vocabulary(train, 25.0, 3.0)
     assert not [term for term in chosen if term[:4] in ("stel", "morn", "quip", "brav", "dusk")]
