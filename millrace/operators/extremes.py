@@ -43,3 +43,21 @@ def describe_long(df: DataFrame, columns: list[str]) -> DataFrame:
         for name in columns
     ]
     return df.agg(F.array(*summaries).alias("rows")).select(F.inline("rows"))
+
+
+def describe_text(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Count, minimum and maximum of text columns, one row per column, in one pass.
+
+    Texts compare by their bytes. Nulls are not counted; a column of nulls, or
+    of a table without rows, has count 0 and null limits.
+    """
+    summaries = [
+        F.struct(
+            F.lit(name).alias("column"),
+            F.count(name).alias("n"),
+            F.min(name).cast("string").alias("lowest"),
+            F.max(name).cast("string").alias("highest"),
+        )
+        for name in columns
+    ]
+    return df.agg(F.array(*summaries).alias("rows")).select(F.inline("rows"))

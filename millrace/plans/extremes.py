@@ -6,7 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.cleaning import clean_numeric
-from millrace.operators.extremes import describe_long, extremes_by, global_extremes
+from millrace.operators.extremes import (
+    describe_long,
+    describe_text,
+    extremes_by,
+    global_extremes,
+)
 from millrace.session import fresh_path
 from millrace.sources import checked
 from millrace.sources.csv import infer_schema, read_csv, write_csv
@@ -140,6 +145,10 @@ def statistics(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def text_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    return describe_text(table(spark, folder, "documents"), ["text", "lang", "source"])
+
+
 OVERALL = "SELECT min(o_totalprice) AS lowest, max(o_totalprice) AS highest FROM orders"
 
 BY_YEAR = """
@@ -179,6 +188,15 @@ def _statistics_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _text_statistics_sql() -> str:
+    parts = [
+        f"""SELECT '{c}' AS "column", count({c}) AS n, min({c}) AS lowest, max({c}) AS highest
+            FROM documents"""
+        for c in ("text", "lang", "source")
+    ]
+    return " UNION ALL ".join(parts)
+
+
 QUERIES = {
     "global_extremes": (overall, OVERALL),
     "global_extremes_sql": (overall_sql, OVERALL),
@@ -190,4 +208,5 @@ QUERIES = {
     "checked_csv_stream": (checked_csv_stream, CHECKED),
     "merged_csv": (merged_csv, MERGED),
     "describe_orders": (statistics, _statistics_sql()),
+    "describe_documents": (text_statistics, _text_statistics_sql()),
 }

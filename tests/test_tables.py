@@ -50,6 +50,15 @@ def test_describe_matches_describe(spark):
             assert typed[name][ours] == pytest.approx(float(shown[theirs][name]))
 
 
+def test_describe_text(spark):
+    rows = [("b", None), ("", None), (None, None), ("Z", None), ("\u00e9", None)]
+    df = spark.createDataFrame(rows, "word string, nothing string")
+    found = [tuple(r) for r in extremes.describe_text(df, ["word", "nothing"]).collect()]
+    assert found == [("word", 4, "", "\u00e9"), ("nothing", 0, None, None)]
+    empty = extremes.describe_text(df.limit(0), ["word"]).collect()
+    assert [tuple(r) for r in empty] == [("word", 0, None, None)]
+
+
 def test_whole_numbers_keep_their_limits(spark):
     df = spark.createDataFrame([(2**53 + 1, 1), (-(2**53) - 1, 2)], "n bigint, m int")
     rows = {r["column"]: r for r in extremes.describe_long(df, ["n", "m"]).collect()}
