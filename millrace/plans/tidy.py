@@ -10,6 +10,7 @@ from millrace.operators.cleaning import clean_numeric, random_split, split_side
 from millrace.operators.corpus import lines_of
 from millrace.operators.members import (
     group_members,
+    member_lists,
     without_listed,
     without_many_listed,
     without_values,
@@ -111,6 +112,21 @@ def supplier_members(spark: SparkSession, folder: str) -> DataFrame:
     return group_members(table(spark, folder, "lineitem"), "l_returnflag", "l_suppkey")
 
 
+def supplier_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """What the lists of suppliers behind each return flag hold together."""
+    lines = table(spark, folder, "lineitem")
+    lists = member_lists(lines, "l_returnflag", "l_suppkey", buckets=64)
+    copies = F.aggregate(
+        F.col("members.copies"), F.lit(0).cast("bigint"), lambda total, n: total + n
+    )
+    return lists.groupBy("l_returnflag").agg(
+        F.sum(F.size("members")).alias("suppliers"),
+        F.sum(copies).alias("lines"),
+        F.min(F.col("members")[0]["member"]).alias("first_supplier"),
+        F.max(F.element_at("members", -1)["member"]).alias("last_supplier"),
+    )
+
+
 EVENT_TEXT = """
 SELECT CASE WHEN event_type = 'error' THEN 'broken'
             ELSE ' ' || CAST(value AS VARCHAR) || ' ' END AS a,
@@ -171,6 +187,12 @@ RANDOM_SPLIT = """
 SELECT count(*) AS n, CAST(0 AS BIGINT) AS in_both, true AS share_holds FROM orders
 """
 
+MEMBER_LISTS = """
+SELECT l_returnflag, count(DISTINCT l_suppkey) AS suppliers, count(*) AS lines,
+       min(l_suppkey) AS first_supplier, max(l_suppkey) AS last_supplier
+FROM lineitem GROUP BY l_returnflag
+"""
+
 QUERIES = {
     "clean_numeric_2d": (clean_two, _clean_sql("a", "b")),
     "clean_numeric_3d": (clean_three, _clean_sql("a", "b", "c")),
@@ -182,4 +204,5 @@ QUERIES = {
     "drop_listed_lines": (drop_listed_lines, DROP_LINES),
     "lines_off_list": (lines_off_list, OFF_LIST),
     "group_members": (supplier_members, MEMBERS),
+    "member_lists": (supplier_lists, MEMBER_LISTS),
 }
