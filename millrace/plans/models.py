@@ -99,7 +99,7 @@ def centre_table_assigned(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def centre_blocks_assigned(spark: SparkSession, folder: str) -> DataFrame:
-    """The same with parts in blocks of five hundred, as a table too large for every task is."""
+    """The same with parts in cells of about five hundred, as a table too large for every task is."""
     orders, parts = _many_centres(spark, folder)
     found = centres.assign_from(orders, ["a", "b", "c"], parts, most_numbers=2_000)
     return found.select("o_orderkey", "cluster")

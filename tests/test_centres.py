@@ -113,3 +113,43 @@ def test_blocks_are_left_out_only_if_they_are_farther(seed, monkeypatch):
     for point, n, g in zip(points.tolist(), number, gap):
         gaps = [(reduce(add, ((a - b) * (a - b) for a, b in zip(point, m))), k) for m, k in zip(middles.tolist(), names)]
         assert (g, n) == min(gaps)
+
+
+@pytest.mark.parametrize("level", [False, True])
+def test_points_meet_the_cells_and_leaves_that_may_be_nearest(spark, monkeypatch, level):
+    draw = np.random.default_rng(5)
+    places = draw.random((3_000, 3)) * [50, 100, 5]
+    spots = draw.random((2_000, 3)) * [30, 900, 5]
+    # A hundred blocks, and on a level no axis that tells them apart.
+    places[:, 1] = 7.0 if level else places[:, 1]
+    table = spark.createDataFrame([(i, *p) for i, p in enumerate(places.tolist())], "cluster long, x double, y double, z double")
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(spots.tolist())], "id long, x double, y double, z double")
+    met, find = spark.sparkContext.accumulator(0), centres._nearest_in
+
+    def counted(points, tree):
+        met.add(len(points))
+        return find(points, tree)
+
+    monkeypatch.setattr(centres, "_nearest_in", counted)
+    rows = centres.assign_from(df, ["x", "y", "z"], table, 120).collect()
+    number, gap = centres.nearest_rows(spots, np.arange(3_000), places)
+    assert {r.id: (r.cluster, r.gap) for r in rows} == {i: (number[i], gap[i]) for i in range(2_000)}
+    assert met.value < 2_000 * 40
+    boxes = centres._tree_of(np.arange(3_000), places)[3]
+    assert sum(len(those) for those, _ in centres._near_boxes(spots, gap, boxes)) < 2_000 * 10
+
+
+def test_centres_on_one_place_count_once(spark):
+    copies = spark.range(4_000).select(F.col("id").alias("cluster"), (F.col("id") % 20).cast("double").alias("x"))
+    df = spark.range(40).select("id", (F.col("id") / 2).alias("x"))
+    found = centres.assign_from(df, ["x"], copies, 100)
+    assert "CoGroup" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {r.id: r.cluster for r in found.collect()} == {i: min(i // 2, 19) for i in range(40)}
+
+
+def test_distances_beyond_all_numbers(spark):
+    table = spark.createDataFrame([(i, 1e200 + i * 1e190, 0.0) for i in range(50)], "cluster long, x double, y double")
+    df = spark.createDataFrame([(1, -1e200, 0.0), (2, 1e200, 3.0)], "id long, x double, y double")
+    for most_numbers in (centres.MOST_NUMBERS, 12):
+        rows = centres.assign_from(df, ["x", "y"], table, most_numbers).collect()
+        assert {r.id: (r.cluster, r.gap) for r in rows} == {1: (None, None), 2: (0, 9.0)}
