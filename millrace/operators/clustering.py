@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
@@ -148,14 +149,21 @@ def fit_clustering(
     inputs = [name[c] for c in columns if c not in scale_columns]
     if scale_columns:
         unscaled_axes = [name[c] for c in scale_columns]
-        stages = [
-            VectorAssembler(inputCols=unscaled_axes, outputCol="unscaled"),
-            MinMaxScaler(min=-1.0, max=1.0, inputCol="unscaled", outputCol="scaled"),
-        ]
+        assembler = VectorAssembler(inputCols=unscaled_axes, outputCol="unscaled")
+        scaler = MinMaxScaler(min=-1.0, max=1.0, inputCol="unscaled", outputCol="scaled")
+        # Bounds depend on no layout, so they are read off the rows before these are dealt.
+        read = rows.select(*[F.col(c).cast("double").alias(name[c]) for c in scale_columns])
+        stages = [assembler, scaler.fit(assembler.transform(read))]
         inputs.append("scaled")
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
     stages.append(KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster"))
-    model = Pipeline(stages=stages).fit(laid)
+    # The library reads them several times before and after it holds its own copy;
+    # kept on disk they are dealt and sorted once.
+    laid.persist(StorageLevel.DISK_ONLY)
+    try:
+        model = Pipeline(stages=stages).fit(laid)
+    finally:
+        laid.unpersist()
     bounds: Bounds = {}
     if scale_columns:
         scaler = model.stages[1]

@@ -358,3 +358,25 @@ def test_moments_at_the_edges(spark):
     model = regression.fit_line(falling, ["x"], "y")
     wanted = (model.coefficients[0], model.intercept)
     assert regression.fit_by_moments(falling, "x", "y") == pytest.approx(wanted, abs=1e-6)
+
+
+def test_a_fit_deals_its_rows_once(spark, monkeypatch):
+    seen, lay = spark.sparkContext.accumulator(0), clustering.fixed_layout
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    def laid(rows, columns, parts):
+        dealt = lay(rows, columns, parts)
+        return dealt.mapInArrow(counted, dealt.schema)
+
+    df = spark.range(600).select((F.col("id") % 3 * 100 + F.col("id") / 600).alias("a"), F.col("id").cast("double").alias("b"))
+    plain = clustering.cluster(df, ["a", "b"], 3, scale_columns=["b"])
+    monkeypatch.setattr(clustering, "fixed_layout", laid)
+    found = clustering.cluster(df, ["a", "b"], 3, scale_columns=["b"])
+    assert seen.value == 600
+    assert found.bounds == plain.bounds == {"b": (0.0, 599.0)} and found.raw_centres() == plain.raw_centres()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= kept
